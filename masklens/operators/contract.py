@@ -52,16 +52,16 @@ def parse_masking_logs(bronze: DataFrame, log_col: str = "masking_log",
 
 
 def conform_operations(ops: DataFrame, processed_time=None,
-                       processed_by: str = DEFAULT_PROCESSED_BY, expand_copies: bool = True) -> DataFrame:
+                       processed_by: str = DEFAULT_PROCESSED_BY, expand: bool = True) -> DataFrame:
     """Raw operations -> the 15 Silver columns, in contract order.
 
     Rows of quarantined documents are left out (see :func:`quarantine_documents`).
-    ``expand_copies`` repeats the operations of a document stored several times,
+    ``expand`` repeats the operations of a document stored several times,
     as the original emits them once per stored copy.
     """
     good = ops.where(F.col("bad_reason").isNull() & _object_id_ok(F.col("object_id")))
-    if expand_copies:
-        good = good.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    if expand:
+        good = expand_copies(good)
     stamp = render_now(_stamp(processed_time))
     return good.select(
         F.coalesce(F.col("cycle"), F.lit(0)).cast("int").alias("cycle"),
@@ -83,6 +83,12 @@ def conform_operations(ops: DataFrame, processed_time=None,
     )
 
 
+def expand_copies(ops: DataFrame) -> DataFrame:
+    """Repeat each operation once per stored copy of its document."""
+    return ops.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop(
+        "_copy")
+
+
 def _object_id_ok(c: Column) -> Column:
     return c.isNull() | c.try_cast("int").isNotNull()
 

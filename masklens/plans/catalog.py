@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masklens.operators import contract
+from masklens.operators import calendar, config, contract, joins, measures
 from masklens.operators.loglines import documents, log_lines
 from masklens.plans import fixtures
 
@@ -38,8 +38,7 @@ def q_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_masking_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every masking operation of every F-LOG document."""
     ops = contract.parse_masking_logs(flog_bronze(spark, sf_dir))
-    ops = ops.where(F.col("bad_reason").isNull())
-    ops = ops.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    ops = contract.expand_copies(ops.where(F.col("bad_reason").isNull()))
     return ops.select("object_id", "line_no", "cycle", "schema", "table", "row_count",
                       "distinct_row_count", "column", "status", "start_time", "end_time",
                       "duration_secs", "duration_mins", "error")
@@ -50,8 +49,104 @@ def q_masking_ops_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
 
 
+def fcfg_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.f_cfg_bronze(table(spark, sf_dir, "part"))
+
+
+def q_config_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every configured column of every F-CFG document (10 columns)."""
+    return config.flatten_config(fcfg_bronze(spark, sf_dir))
+
+
+def q_config_nine_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine-column form."""
+    return config.config_nine_columns(fcfg_bronze(spark, sf_dir))
+
+
+def q_config_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine- and ten-column appends as one union by name."""
+    return config.config_union(fcfg_bronze(spark, sf_dir))
+
+
+def q_config_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: count(distinct object_id) over the flattened config."""
+    return config.distinct_objects(config.flatten_config(fcfg_bronze(spark, sf_dir)))
+
+
+def q_ops_config_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver operations joined to Silver config on object_id."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return joins.ops_config_join(ops, config.flatten_config(fcfg_bronze(spark, sf_dir)))
+
+
+def q_ops_own_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each operation with the config row of its own column."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return joins.ops_own_config(ops, config.flatten_config(fcfg_bronze(spark, sf_dir)))
+
+
+def q_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar over the years of ``o_orderdate``."""
+    dim, _ = calendar.date_dimension(table(spark, sf_dir, "orders"), "o_orderdate")
+    return dim
+
+
+def q_fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 x2: line items by the quarter of their order date and of their ship date."""
+    orders = table(spark, sf_dir, "orders")
+    items = table(spark, sf_dir, "lineitem")
+    fact = items.join(orders, items["l_orderkey"] == orders["o_orderkey"])
+    # partial sums per (start day, end day) before relating the two calendars
+    daily = fact.groupBy(F.to_date("o_orderdate").alias("_start"),
+                         F.to_date("l_shipdate").alias("_end")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"),
+        F.sum("l_extendedprice").alias("price"))
+    sdim, sdays = calendar.date_dimension(orders, "o_orderdate")
+    edim, edays = calendar.date_dimension(items, "l_shipdate")
+    rel = calendar.relate_dates(daily, sdim, sdays, "_start", "start_")
+    rel = calendar.relate_dates(rel, edim, edays, "_end", "end_")
+    return rel.groupBy("start_Year", "start_QuarterNo", "end_Year", "end_QuarterNo").agg(
+        F.sum("n").alias("n_lines"), F.sum("qty").alias("sum_qty"),
+        F.round(F.sum("price"), 2).alias("revenue"))
+
+
+def q_date_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders summed over Year > Quarter > Month > Day with subtotals."""
+    orders = table(spark, sf_dir, "orders")
+    daily = orders.groupBy(F.to_date("o_orderdate").alias("_day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("price"))
+    dim, n_days = calendar.date_dimension(orders, "o_orderdate")
+    rel = calendar.relate_dates(daily, dim, n_days, "_day", "")
+    out = calendar.drilldown(rel, {"n_orders": F.sum("n"),
+                                   "total_price": F.round(F.sum("price"), 2)})
+    return out.withColumn("level", F.col("level").cast("int"))
+
+
+def q_default_sums_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, A4: the Gold model's default sums by schema, table and status."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return measures.default_sums_gold(ops, ["schema", "table", "status"])
+
+
+def q_default_sums_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2, A4: the first model's default sums by status, over the v1 fact."""
+    ops = contract.parse_masking_logs(flog_bronze(spark, sf_dir))
+    return measures.default_sums_v1(measures.v1_fact(ops), ["status"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
     "masking_ops_contract": q_masking_ops_contract,
+    "config_flatten": q_config_flatten,
+    "config_nine_columns": q_config_nine_columns,
+    "config_union": q_config_union,
+    "config_objects": q_config_objects,
+    "ops_config_join": q_ops_config_join,
+    "ops_own_config": q_ops_own_config,
+    "date_dim": q_date_dim,
+    "fact_by_date": q_fact_by_date,
+    "date_drilldown": q_date_drilldown,
+    "default_sums_gold": q_default_sums_gold,
+    "default_sums_v1": q_default_sums_v1,
 }

@@ -69,3 +69,44 @@ def f_log_bronze(events: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE)
         "object_id", F.lit(None).cast("string").alias("config"), "masking_log",
         F.lit(load_date).cast("timestamp").alias("load_date"),
     )
+
+
+def f_cfg_bronze(part: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -> DataFrame:
+    """F-CFG as Bronze rows: one config document per object (``p_partkey % 49``).
+
+    Every part is one configured column; ``lookup`` is present for
+    ``p_partkey % 4 < 2``; documents of even objects have every quote doubled.
+    """
+    k = F.col("p_partkey")
+    element = F.map_filter(
+        F.create_map(
+            F.lit("column_name"), F.concat(F.lit("C"), (k % 5).cast("string")),
+            F.lit("data_type"), F.lit("VARCHAR"),
+            F.lit("data_length"), F.col("p_size").cast("string"),
+            F.lit("pattern_name"), F.col("p_brand"),
+            F.lit("Result"), F.col("p_type"),
+            F.lit("lookup"), F.when(k % 4 < 2, F.col("p_name")),
+            F.lit("parameter"), k.cast("string"),
+        ),
+        lambda _k, v: v.isNotNull())
+    rows = part.select(
+        (k % 49).alias("oid"),
+        F.concat(F.lit("S"), (k % 2).cast("string")).alias("schema"),
+        F.concat(F.lit("T"), (k % 3).cast("string")).alias("table"),
+        k.alias("key"), element.alias("element"))
+    tables = rows.groupBy("oid", "schema", "table").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("key", "element")),
+                         lambda a, b: F.signum(a["key"] - b["key"]).cast("int")),
+            lambda x: x["element"]).alias("cols"))
+    schemas_ = tables.groupBy("oid", "schema").agg(
+        F.map_from_entries(F.collect_list(F.struct("table", "cols"))).alias("tables"))
+    docs = schemas_.groupBy("oid").agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("schema", "tables")))).alias("json"))
+    text = F.when(F.col("oid") % 2 == 0, F.replace(F.col("json"), F.lit('"'), F.lit('""'))).otherwise(
+        F.col("json"))
+    return docs.select(
+        F.col("oid").cast("string").alias("object_id"), text.alias("config"),
+        F.lit(None).cast("string").alias("masking_log"),
+        F.lit(load_date).cast("timestamp").alias("load_date"),
+    )

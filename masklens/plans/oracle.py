@@ -137,7 +137,7 @@ SELECT object_id, line_no, cycle, schema, "table", row_count, distinct_row_count
 FROM ops"""
 
 # F10-F12 contract with a fixed processing stamp (see catalog.PROCESSED_TIME).
-MASKING_OPS_CONTRACT = "WITH RECURSIVE " + MASK_FOLD + """
+SILVER_BODY = """
 SELECT CAST(coalesce(cycle, 0) AS INTEGER) AS cycle, schema, "table",
   CAST(coalesce(CAST(row_count AS DOUBLE), 0) AS REAL) AS row_count,
   CAST(coalesce(CAST(distinct_row_count AS DOUBLE), 0) AS REAL) AS distinct_row_count,
@@ -150,8 +150,93 @@ SELECT CAST(coalesce(cycle, 0) AS INTEGER) AS cycle, schema, "table",
   '2024-02-01 00:00:00' AS processed_time, 'YourName' AS processed_by
 FROM ops"""
 
+MASKING_OPS_CONTRACT = "WITH RECURSIVE " + MASK_FOLD + SILVER_BODY
+
+# F-CFG rows as the flattening must return them (round trip of the fixture).
+CFG_ROWS = """
+cfg AS (
+  SELECT CAST(p_partkey % 49 AS INTEGER) AS object_id,
+    'S' || CAST(p_partkey % 2 AS VARCHAR) AS schema, 'T' || CAST(p_partkey % 3 AS VARCHAR) AS "table",
+    'C' || CAST(p_partkey % 5 AS VARCHAR) AS column_name, 'VARCHAR' AS data_type,
+    CAST(p_size AS VARCHAR) AS data_length, p_brand AS pattern_name, p_type AS result,
+    CASE WHEN p_partkey % 4 < 2 THEN p_name ELSE '' END AS lookup,
+    CAST(p_partkey AS VARCHAR) AS parameter
+  FROM part
+)"""
+
+CONFIG_FLATTEN = "WITH " + CFG_ROWS + " SELECT * FROM cfg"
+CONFIG_NINE = "WITH " + CFG_ROWS + " SELECT * EXCLUDE (lookup) FROM cfg"
+CONFIG_UNION = "WITH " + CFG_ROWS + """
+SELECT * EXCLUDE (lookup) FROM cfg
+UNION ALL BY NAME SELECT * FROM cfg"""
+CONFIG_OBJECTS = "WITH " + CFG_ROWS + " SELECT count(DISTINCT object_id) AS n_objects FROM cfg"
+
+SILVER_AND_CFG = "WITH RECURSIVE " + MASK_FOLD + ", silver AS (" + SILVER_BODY + "), " + CFG_ROWS
+
+OPS_CONFIG_JOIN = SILVER_AND_CFG + """
+SELECT s.*, c.schema AS config_schema, c."table" AS config_table, c.column_name, c.data_type,
+  c.data_length, c.pattern_name, c.result, c.lookup, c.parameter
+FROM silver s JOIN cfg c ON s.object_id = c.object_id"""
+
+OPS_OWN_CONFIG = SILVER_AND_CFG + """
+SELECT s.*, c.column_name, c.data_type, c.data_length, c.pattern_name, c.result, c.lookup, c.parameter
+FROM silver s LEFT JOIN cfg c
+  ON s.object_id = c.object_id AND s.schema = c.schema AND s."table" = c."table" AND s."column" = c.column_name"""
+
+DATE_DIM = """
+WITH b AS (SELECT min(year(o_orderdate)) AS y0, max(year(o_orderdate)) AS y1 FROM orders),
+d AS (SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS "Date" FROM b)
+SELECT "Date", CAST(year("Date") AS BIGINT) AS "Year", CAST(month("Date") AS BIGINT) AS "MonthNo",
+  strftime("Date", '%B') AS "Month", CAST(quarter("Date") AS BIGINT) AS "QuarterNo",
+  'Qtr ' || CAST(quarter("Date") AS VARCHAR) AS "Quarter", CAST(day("Date") AS BIGINT) AS "Day"
+FROM d"""
+
+FACT_BY_DATE = """
+SELECT CAST(year(o.o_orderdate) AS BIGINT) AS "start_Year", CAST(quarter(o.o_orderdate) AS BIGINT) AS "start_QuarterNo",
+  CAST(year(l.l_shipdate) AS BIGINT) AS "end_Year", CAST(quarter(l.l_shipdate) AS BIGINT) AS "end_QuarterNo",
+  count(*) AS n_lines, sum(l.l_quantity) AS sum_qty, round(sum(l.l_extendedprice), 2) AS revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+GROUP BY ALL"""
+
+DATE_DRILLDOWN = """
+WITH f AS (
+  SELECT CAST(year(o_orderdate) AS BIGINT) AS y, CAST(quarter(o_orderdate) AS BIGINT) AS q,
+    CAST(month(o_orderdate) AS BIGINT) AS m, CAST(day(o_orderdate) AS BIGINT) AS d, o_totalprice
+  FROM orders)
+SELECT y AS "Year", q AS "QuarterNo", CASE WHEN q IS NOT NULL THEN 'Qtr ' || CAST(q AS VARCHAR) END AS "Quarter",
+  m AS "MonthNo", CASE WHEN m IS NOT NULL THEN strftime(make_date(2000, CAST(m AS INTEGER), 1), '%B') END AS "Month",
+  d AS "Day", CAST(grouping(y, q, m, d) AS INTEGER) AS level,
+  count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
+FROM f GROUP BY ROLLUP (y, q, m, d)"""
+
+DEFAULT_SUMS_GOLD = "WITH RECURSIVE " + MASK_FOLD + ", silver AS (" + SILVER_BODY + """)
+SELECT schema, "table", status, sum(cycle) AS cycle, round(sum(row_count), 2) AS row_count,
+  round(sum(distinct_row_count), 2) AS distinct_row_count, round(sum(duration_secs), 2) AS duration_secs,
+  round(sum(duration_mins), 2) AS duration_mins, sum(object_id) AS object_id, count(*) AS n_ops
+FROM silver GROUP BY ALL"""
+
+DEFAULT_SUMS_V1 = "WITH RECURSIVE " + MASK_FOLD + """
+SELECT status, sum(CAST(coalesce(CAST(row_count AS DOUBLE), 0) AS BIGINT)) AS row_count,
+  sum(CAST(coalesce(CAST(distinct_row_count AS DOUBLE), 0) AS BIGINT)) AS distinct_row_count,
+  sum(CAST(coalesce(duration_secs, 0) AS BIGINT)) AS "duration(s)",
+  round(sum(coalesce(CASE WHEN duration_secs <> 0 THEN round(duration_secs / 60, 2) END, 0)), 2) AS "duration(min)",
+  sum(CAST(coalesce(cycle, 0) AS BIGINT)) AS cycle, sum(CAST(line_no AS BIGINT)) AS line_number,
+  count(*) AS n_ops
+FROM ops GROUP BY ALL"""
+
 ORACLE_SQL = {
     "log_lines": LOG_LINES,
     "masking_ops": MASKING_OPS,
     "masking_ops_contract": MASKING_OPS_CONTRACT,
+    "config_flatten": CONFIG_FLATTEN,
+    "config_nine_columns": CONFIG_NINE,
+    "config_union": CONFIG_UNION,
+    "config_objects": CONFIG_OBJECTS,
+    "ops_config_join": OPS_CONFIG_JOIN,
+    "ops_own_config": OPS_OWN_CONFIG,
+    "date_dim": DATE_DIM,
+    "fact_by_date": FACT_BY_DATE,
+    "date_drilldown": DATE_DRILLDOWN,
+    "default_sums_gold": DEFAULT_SUMS_GOLD,
+    "default_sums_v1": DEFAULT_SUMS_V1,
 }
