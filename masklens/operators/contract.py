@@ -94,20 +94,20 @@ def _object_id_ok(c: Column) -> Column:
 
 
 def quarantine_documents(bronze: DataFrame, ops: DataFrame, log_col: str = "masking_log") -> DataFrame:
-    """One row per quarantined document with the reason.
+    """One row per quarantined document (per stored copy) with the reason.
 
-    Columns: ``object_id``, ``load_date``, ``reason``.
+    ``ops`` is :func:`parse_masking_logs` of ``bronze``. Columns:
+    ``object_id``, ``load_date``, ``reason``.
     """
     no_log = bronze.where(F.col(log_col).isNull()).select(
         "object_id", "load_date", F.lit("log is null").alias("reason"))
     bad_ops = ops.where(F.col("bad_reason").isNotNull() | ~_object_id_ok(F.col("object_id")))
     per_doc = bad_ops.groupBy(*DOC_KEY).agg(
         F.any_value("object_id").alias("object_id"),
+        F.any_value("load_date").alias("load_date"),
+        F.any_value("copies").alias("copies"),
         F.max(F.coalesce(F.col("bad_reason"), F.lit("object_id is not an integer"))).alias("reason"))
-    docs = documents(bronze.where(F.col(log_col).isNotNull()), log_col).select(
-        *DOC_KEY, "load_date", "copies")
-    bad = per_doc.join(docs, list(DOC_KEY), "inner").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    bad = expand_copies(per_doc)
     return no_log.unionByName(bad.select("object_id", "load_date", "reason"))
 
 

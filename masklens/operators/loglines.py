@@ -42,7 +42,7 @@ def documents(bronze: DataFrame, log_col: str = "masking_log",
 
 
 def explode_lines(docs: DataFrame, log_col: str = "masking_log",
-                  keep: tuple[str, ...] = ("object_id", "copies")) -> DataFrame:
+                  keep: tuple[str, ...] = ("object_id", "load_date", "copies")) -> DataFrame:
     """L1: one row per line in document order, ``line_no`` 0-based.
 
     ``docs`` comes from :func:`documents`, already hash-partitioned by the
@@ -77,6 +77,6 @@ def valid_lines(lines: DataFrame) -> DataFrame:
 
 
 def log_lines(docs: DataFrame, log_col: str = "masking_log",
-              keep: tuple[str, ...] = ("object_id", "copies")) -> DataFrame:
+              keep: tuple[str, ...] = ("object_id", "load_date", "copies")) -> DataFrame:
     """L1-L6 + F4: valid lines of every document, in document order."""
     return valid_lines(parse_lines(explode_lines(docs, log_col, keep)))

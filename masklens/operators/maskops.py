@@ -114,7 +114,7 @@ def _cleared_scan(value: str, clear: Column, window) -> tuple[Column, Column]:
 
 
 def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_col: str = "line_no",
-                    keep: tuple[str, ...] = ("object_id", "copies"), no_data_status: bool = False,
+                    keep: tuple[str, ...] = ("object_id", "load_date", "copies"), no_data_status: bool = False,
                     cycle_index: bool = False) -> DataFrame:
     """Emitted operations of every document.
 
@@ -126,7 +126,10 @@ def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_
     ``duration_secs``, ``duration_mins`` (DOUBLE), ``error``, and
     ``bad_reason``: null, or why the whole document must go to quarantine (a
     rule fired on a line too short for its token, or an emitted count is not
-    a number). ``no_data_status`` reports 'No Data' instead of carrying the
+    a number). ``is_op`` is false only on the marker row kept for a document
+    with a short line that emits nothing; such rows always have a
+    ``bad_reason``, so consumers that keep ``bad_reason IS NULL`` see
+    operations only. ``no_data_status`` reports 'No Data' instead of carrying the
     previous status; ``cycle_index`` numbers cycles instead of always 1.
     """
     d = Window.partitionBy(*doc_key).orderBy(order_col)
@@ -154,6 +157,7 @@ def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_
         F.last("v_start", True).over(upto).alias("start_time"),
         F.last(live_event, True).over(before).alias("_live_before"),
         F.max(F.col("short")).over(whole).alias("_short_doc"),
+        (F.col(order_col) == F.max(order_col).over(whole)).alias("_last"),
     )
 
     # layer 2: which lines end an operation, and the cleared scans
@@ -191,17 +195,21 @@ def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_
     l3 = l3.withColumn("status", F.last("_assigned", True).over(upto))
 
     emit = F.col("fail_fired") | (F.col("fin") & (lf.isNotNull() | F.col("column").isNotNull()))
+    emit = F.coalesce(emit, F.lit(False))
     secs = F.when(F.col("start_time").isNotNull(),
                   F.expr("timestampdiff(SECOND, start_time, log_time)").cast("double"))
-    ops = l3.where(emit).select(
-        *doc_key, *keep, F.col(order_col).alias("line_no"),
+    # a document with a short line keeps one marker row (its last line) even
+    # when it emits nothing, so that it still reaches the quarantine
+    l3 = l3.withColumn("is_op", emit)
+    ops = l3.where(F.col("is_op") | (F.col("_short_doc") & F.col("_last"))).select(
+        *doc_key, *keep, "is_op", F.col(order_col).alias("line_no"),
         "cycle", "schema", "table", "row_count", "distinct_row_count", "column", "status",
         "start_time", F.col("log_time").alias("end_time"),
         secs.alias("duration_secs"),
         F.when(secs != 0, F.round(secs / 60.0, 2)).alias("duration_mins"),
         "error", "_short_doc",
-        (~is_py_float(F.col("row_count")) | ~is_py_float(F.col("distinct_row_count")))
-        .alias("_bad_num"),
+        (F.col("is_op") & (~is_py_float(F.col("row_count"))
+                           | ~is_py_float(F.col("distinct_row_count")))).alias("_bad_num"),
     )
     bad_num_doc = F.max("_bad_num").over(
         Window.partitionBy(*doc_key).orderBy("line_no")

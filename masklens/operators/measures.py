@@ -32,8 +32,11 @@ def default_sums_gold(ops: DataFrame, by: list[str]) -> DataFrame:
     return ops.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("n_ops"))
 
 
-def v1_fact(ops: DataFrame) -> DataFrame:
-    """Raw operations in the first model's names and types (13 columns)."""
+def v1_fact(ops: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Raw operations in the first model's names and types (13 columns).
+
+    ``extra`` columns of ``ops`` are kept after the 13.
+    """
     secs = F.coalesce(F.col("duration_secs"), F.lit(0.0))
     from masklens.operators.contract import expand_copies
 
@@ -50,6 +53,7 @@ def v1_fact(ops: DataFrame) -> DataFrame:
         F.coalesce(F.col("duration_mins"), F.lit(0.0)).alias("duration(min)"),
         "error",
         F.col("line_no").cast("long").alias("line_number"),
+        *extra,
     )
 
 

@@ -7,14 +7,17 @@ runs the library's operators over all of it.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masklens.operators import calendar, config, contract, joins, measures
+from masklens.operators import calendar, config, contract, joins, measures, sinks
 from masklens.operators.loglines import documents, log_lines
 from masklens.plans import fixtures
+from masklens.session import ensure_checkpoint_dir
+from masklens.sources import csv_v1, feed, landed
 
 # Fixed processing stamp of registered queries, so results are repeatable.
 PROCESSED_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -134,6 +137,103 @@ def q_default_sums_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.default_sums_v1(measures.v1_fact(ops), ["status"])
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows for manifest objects with both files landed."""
+    manifest, configs, logs = fixtures.f_man(table(spark, sf_dir, "pages"),
+                                             table(spark, sf_dir, "documents"))
+    return landed.bronze_documents(manifest, configs, logs, load_date=fixtures.FIXTURE_LOAD_DATE)
+
+
+def q_activity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested feed records flattened onto the sixteen feed columns."""
+    pages = fixtures.f_feed_pages(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    return feed.feed_rows(pages, fixtures.F_FEED_MAPPING)
+
+
+def q_csv_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v1 operations written as two CSV files; one read back by name."""
+    ops = contract.parse_masking_logs(flog_bronze(spark, sf_dir))
+    v1 = measures.v1_fact(ops, extra=(F.col("object_id").cast("long").alias("object_id_num"),))
+    folder = scratch_folder(spark, "ops-csv")
+    csv_v1.write_ops_csv(fixtures.f_csv_fact(v1), folder)
+    return csv_v1.read_selected(spark, folder, csv_v1.DEFAULT_FILE)
+
+
+def q_gold_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver operations conformed to the Gold logs table."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return sinks.gold_logs(ops)
+
+
+def q_gold_config_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver config conformed to the Gold config table."""
+    return sinks.gold_config(config.flatten_config(fcfg_bronze(spark, sf_dir)))
+
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty log and config documents with the reason."""
+    bad_logs = fixtures.f_bad_logs(flog_bronze(spark, sf_dir))
+    ops = contract.parse_masking_logs(bad_logs)
+    logs_q = contract.quarantine_documents(bad_logs, ops).select(
+        F.lit("log").alias("source"), "object_id", "reason")
+    cfg_q = config.config_quarantine(fixtures.f_bad_configs(fcfg_bronze(spark, sf_dir))).select(
+        F.lit("config").alias("source"), "object_id", "reason")
+    return logs_q.unionByName(cfg_q)
+
+
+def q_quarantine_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good documents of the faulty input come out unchanged."""
+    bad_logs = fixtures.f_bad_logs(flog_bronze(spark, sf_dir))
+    return contract.silver_operations(bad_logs, processed_time=PROCESSED_TIME)
+
+
+def q_config_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Config rows of the faulty input's good documents."""
+    return config.flatten_config(fixtures.f_bad_configs(fcfg_bronze(spark, sf_dir)))
+
+
+def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land files, Bronze, Silver, join, Gold, read back.
+
+    Every stage is written and the next stage reads the written table.
+    """
+    base = scratch_folder(spark, "lifecycle")
+    flog, fcfg = flog_bronze(spark, sf_dir), fcfg_bronze(spark, sf_dir)
+    manifest = flog.select(F.col("object_id").alias("objectID"))
+    cfg_files = fcfg.select(landed.config_file_name(F.col("object_id")).alias("filename"),
+                            F.col("config").alias("content"))
+    log_files = flog.select(landed.log_file_name(F.col("object_id")).alias("filename"),
+                            F.col("masking_log").alias("content"))
+    c_half, l_half = landed.landed_halves(manifest, cfg_files, log_files)
+    sinks.append_path(c_half, f"{base}/landing/configs")                       # K1
+    sinks.append_path(l_half, f"{base}/landing/logs")
+    configs = spark.read.parquet(f"{base}/landing/configs")
+    logs = spark.read.parquet(f"{base}/landing/logs")
+    sinks.append_path(landed.bronze_documents(manifest, configs, logs, fixtures.FIXTURE_LOAD_DATE),
+                      f"{base}/bronze/masking_data")                            # K2
+    bronze = spark.read.parquet(f"{base}/bronze/masking_data")                  # S4
+    sinks.append_path(contract.silver_operations(bronze, processed_time=PROCESSED_TIME),
+                      f"{base}/silver/masking_logs_results")                    # K3
+    sinks.append_path(config.flatten_config(bronze), f"{base}/silver/masking_config_results")  # K4
+    ops = spark.read.parquet(f"{base}/silver/masking_logs_results")             # S5
+    cfg = spark.read.parquet(f"{base}/silver/masking_config_results")
+    sinks.overwrite_path(joins.ops_config_join(ops, cfg), f"{base}/silver/joined_masking_results")  # K5
+    sinks.create_gold(spark, location=f"{base}/gold")                           # K9
+    for name in (sinks.GOLD_LOGS, sinks.GOLD_CONFIG):
+        sinks.drop_table(spark, f"{sinks.GOLD_DB}.{name}")                      # K10
+    sinks.create_gold(spark)
+    errors = sinks.copy_to_gold(spark, ops, cfg)                                # K6, K7
+    failed = {k: v for k, v in errors.items() if v}
+    if failed:
+        raise RuntimeError(f"Gold copy failed: {failed}")
+    return spark.table(f"{sinks.GOLD_DB}.{sinks.GOLD_LOGS}")                   # S6, S11
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
@@ -149,4 +249,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_drilldown": q_date_drilldown,
     "default_sums_gold": q_default_sums_gold,
     "default_sums_v1": q_default_sums_v1,
+    "manifest_documents": q_manifest_documents,
+    "activity_feed": q_activity_feed,
+    "csv_selected": q_csv_selected,
+    "gold_conform": q_gold_conform,
+    "gold_config_conform": q_gold_config_conform,
+    "quarantine": q_quarantine,
+    "quarantine_survivors": q_quarantine_survivors,
+    "config_survivors": q_config_survivors,
+    "table_lifecycle": q_table_lifecycle,
 }

@@ -110,3 +110,98 @@ def f_cfg_bronze(part: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -
         F.lit(None).cast("string").alias("masking_log"),
         F.lit(load_date).cast("timestamp").alias("load_date"),
     )
+
+
+def f_man(pages: DataFrame, documents_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """F-MAN: (manifest, landed config files, landed log files).
+
+    One manifest row per page; a config file landed for pages with
+    ``page_id % 5 <> 0`` (content = the page's html), a log file for documents
+    with ``doc_id % 3 <> 0`` (content = the document's text).
+    """
+    manifest = pages.select(
+        F.col("page_id").cast("string").alias("objectID"),
+        F.col("url").alias("Results"),
+        F.concat(F.col("url"), F.lit("#logs")).alias("Logs"))
+    configs = pages.where(F.col("page_id") % 5 != 0).select(
+        F.concat(F.col("page_id").cast("string"), F.lit("_config.json")).alias("filename"),
+        F.col("html").alias("content"))
+    logs = documents_.where(F.col("doc_id") % 3 != 0).select(
+        F.concat(F.col("doc_id").cast("string"), F.lit("_logs.txt")).alias("filename"),
+        F.col("text").alias("content"))
+    return manifest, configs, logs
+
+
+def f_feed_pages(events: DataFrame, customer: DataFrame) -> DataFrame:
+    """F-FEED: feed records with the user fields nested in a struct."""
+    e = events.alias("e")
+    c = customer.alias("c")
+    j = e.join(c, F.col("e.user_id") == F.col("c.c_custkey"), "left")
+    return j.select(
+        F.col("e.event_id").alias("post_id"),
+        F.date_format(F.col("e.ts"), "yyyy-MM-dd HH:mm:ss").alias("time"),
+        F.struct(F.col("e.user_id").alias("user_id"), F.col("c.c_name").alias("display_name"),
+                 F.col("c.c_mktsegment").alias("city")).alias("user"),
+        F.col("e.event_type").alias("response_status"),
+        F.format_string("%.2f", F.col("e.value")).alias("time_spent"),
+        F.array(F.col("e.props")).alias("tags"),
+    )
+
+
+# Mapping of the flattened fixture pages onto the feed table.
+F_FEED_MAPPING = [
+    ("post_id", "post_id"), ("time", "time"), ("user.user_id", "user_id"),
+    ("user.display_name", "display_name"), ("response_status", "response_status"),
+    ("time_spent", "time_spent"), ("user.city", "city"),
+]
+
+# F-CSV: operations go to one of two files by object parity; every 97th line
+# number carries a count that is not a number.
+F_CSV_FILES = ("LMS_LMSDM_Logs_3_Cycles.csv", "execution_log_azure_mssql.csv")
+
+
+def f_csv_fact(v1: DataFrame) -> DataFrame:
+    """F-CSV rows: the v1 fact with a ``file_name`` and some bad counts."""
+    bad = F.col("line_number") % 97 == 7
+    return v1.withColumn("row_count", F.when(bad, F.lit("n/a")).otherwise(F.col("row_count").cast("string"))) \
+        .withColumn("file_name", F.when(F.col("object_id_num") % 2 == 0, F.lit(F_CSV_FILES[0]))
+                    .otherwise(F.lit(F_CSV_FILES[1])))
+
+
+# F-BAD: faults injected by object id into F-LOG and F-CFG documents.
+BAD_LOG_SHORT = "01/02/2024 00:00:00 :: CALCULATED Row for = x"
+BAD_LOG_COUNT = ("01/02/2024 00:00:01 :: COLUMN : Q Mask Started\n"
+                 "01/02/2024 00:00:02 :: CALCULATED Distinct Row Count = 1,000\n"
+                 "01/02/2024 00:00:03 :: COLUMN : Q Mask Finished")
+
+
+def f_bad_logs(flog: DataFrame) -> DataFrame:
+    """F-LOG Bronze with faults: ``object_id % 10`` = 1 short line, 2 bad count,
+    3 null log, 4 id that is not an integer; other documents unchanged."""
+    oid = F.col("object_id").cast("long")
+    log = (F.when(oid % 10 == 1, F.concat_ws("\n", F.col("masking_log"), F.lit(BAD_LOG_SHORT)))
+           .when(oid % 10 == 2, F.concat_ws("\n", F.col("masking_log"), F.lit(BAD_LOG_COUNT)))
+           .when(oid % 10 == 3, F.lit(None).cast("string"))
+           .otherwise(F.col("masking_log")))
+    obj = F.when(oid % 10 == 4, F.concat(F.lit("obj-"), F.col("object_id"))).otherwise(F.col("object_id"))
+    return flog.select(obj.alias("object_id"), "config", log.alias("masking_log"), "load_date")
+
+
+def f_bad_configs(fcfg: DataFrame) -> DataFrame:
+    """F-CFG Bronze with faults by ``object_id % 7``: 1 malformed, 2 array at the
+    top, 3 object where an array belongs, 4 element without ``parameter``,
+    5 trailing text, 6 null config; 0 unchanged (quotes stay doubled where
+    they were)."""
+    oid = F.col("object_id").cast("long")
+    q = F.when(oid % 2 == 0, F.lit('""')).otherwise(F.lit('"'))
+    c = F.col("config")
+    param = F.concat(F.lit(","), q, F.lit("parameter"), q, F.lit(":"), q, F.lit("[0-9]+"), q)
+    text = (F.when(oid % 7 == 1, F.expr("substring(config, 1, length(config) - 1)"))
+            .when(oid % 7 == 2, F.concat(F.lit("["), c, F.lit("]")))
+            .when(oid % 7 == 3, F.replace(F.replace(c, F.lit("["), F.concat(F.lit("{"), q, F.lit("x"), q, F.lit(":["))),
+                                          F.lit("]"), F.lit("]}")))
+            .when(oid % 7 == 4, F.regexp_replace(c, param, F.lit("")))
+            .when(oid % 7 == 5, F.concat(c, F.lit(" x")))
+            .when(oid % 7 == 6, F.lit(None).cast("string"))
+            .otherwise(c))
+    return fcfg.select("object_id", text.alias("config"), "masking_log", "load_date")

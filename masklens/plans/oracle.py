@@ -224,6 +224,69 @@ SELECT status, sum(CAST(coalesce(CAST(row_count AS DOUBLE), 0) AS BIGINT)) AS ro
   count(*) AS n_ops
 FROM ops GROUP BY ALL"""
 
+
+MANIFEST_DOCUMENTS = """
+SELECT CAST(p.page_id AS VARCHAR) AS object_id, p.html AS config, d.text AS masking_log,
+  TIMESTAMP '2024-02-01 00:00:00' AS load_date
+FROM pages p JOIN documents d ON d.doc_id = p.page_id
+WHERE p.page_id % 5 <> 0 AND d.doc_id % 3 <> 0"""
+
+ACTIVITY_FEED = """
+SELECT CAST(e.event_id AS VARCHAR) AS post_id, CAST(NULL AS VARCHAR) AS post_title,
+  CAST(NULL AS VARCHAR) AS permalink, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS "time",
+  CAST(e.user_id AS VARCHAR) AS user_id, c.c_name AS display_name, CAST(NULL AS VARCHAR) AS ip_address,
+  e.event_type AS response_status, CAST(NULL AS VARCHAR) AS referer, printf('%.2f', e.value) AS time_spent,
+  c.c_mktsegment AS city, CAST(NULL AS VARCHAR) AS user_email, CAST(NULL AS VARCHAR) AS username,
+  CAST(NULL AS VARCHAR) AS post_slug, CAST(NULL AS VARCHAR) AS post_type, CAST(NULL AS VARCHAR) AS user_role
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey"""
+
+CSV_SELECTED = "WITH RECURSIVE " + MASK_FOLD + """
+SELECT CAST(coalesce(cycle, 0) AS BIGINT) AS cycle, coalesce(schema, '') AS schema, coalesce("table", '') AS "table",
+  CASE WHEN line_no % 97 = 7 THEN NULL ELSE CAST(coalesce(CAST(row_count AS DOUBLE), 0) AS BIGINT) END AS row_count,
+  CAST(coalesce(CAST(distinct_row_count AS DOUBLE), 0) AS BIGINT) AS distinct_row_count,
+  coalesce("column", '') AS "column", coalesce(status, '') AS status, start_time, end_time,
+  CAST(coalesce(duration_secs, 0) AS BIGINT) AS "duration(s)",
+  coalesce(CASE WHEN duration_secs <> 0 THEN round(duration_secs / 60, 2) END, 0) AS "duration(min)",
+  coalesce(error, '') AS error, CAST(line_no AS BIGINT) AS line_number
+FROM ops WHERE CAST(object_id AS BIGINT) % 2 = 0"""
+
+GOLD_CONFORM = "WITH RECURSIVE " + MASK_FOLD + ", silver AS (" + SILVER_BODY + """)
+SELECT cycle, left(schema, 8000) AS schema, left("table", 8000) AS "table", row_count, distinct_row_count,
+  left("column", 8000) AS "column", left(status, 8000) AS status, left(start_time, 8000) AS start_time,
+  left(end_time, 8000) AS end_time, duration_secs, duration_mins, left(error, 8000) AS error, object_id,
+  left(processed_time, 8000) AS processed_time, left(processed_by, 8000) AS processed_by
+FROM silver"""
+
+GOLD_CONFIG_CONFORM = "WITH " + CFG_ROWS + """
+SELECT object_id, left(schema, 8000) AS schema, left("table", 8000) AS "table", left(column_name, 8000) AS column_name,
+  left(data_type, 8000) AS data_type, left(data_length, 8000) AS data_length,
+  left(pattern_name, 8000) AS pattern_name, left(result, 8000) AS result, left(lookup, 8000) AS lookup,
+  left(parameter, 8000) AS parameter
+FROM cfg"""
+
+QUARANTINE = "WITH RECURSIVE " + MASK_FOLD + """,
+users AS (SELECT DISTINCT user_id FROM events),
+with_ops AS (SELECT DISTINCT CAST(object_id AS BIGINT) AS u FROM ops),
+objs AS (SELECT DISTINCT p_partkey % 49 AS oid FROM part)
+SELECT 'log' AS source,
+  CASE WHEN user_id % 10 = 4 THEN 'obj-' || CAST(user_id AS VARCHAR) ELSE CAST(user_id AS VARCHAR) END AS object_id,
+  CASE user_id % 10 WHEN 1 THEN 'line too short for its token' WHEN 2 THEN 'count is not a number'
+    WHEN 3 THEN 'log is null' ELSE 'object_id is not an integer' END AS reason
+FROM users
+WHERE user_id % 10 IN (1, 2, 3) OR (user_id % 10 = 4 AND user_id IN (SELECT u FROM with_ops))
+UNION ALL
+SELECT 'config' AS source, CAST(oid AS VARCHAR) AS object_id,
+  CASE oid % 7 WHEN 4 THEN 'config element lacks a required key' WHEN 6 THEN 'config is null'
+    ELSE 'config is not JSON of the expected shape' END AS reason
+FROM objs WHERE oid % 7 <> 0"""
+
+QUARANTINE_SURVIVORS = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) % 10 NOT IN (1, 2, 3, 4)"
+
+CONFIG_SURVIVORS = "WITH " + CFG_ROWS + " SELECT * FROM cfg WHERE object_id % 7 = 0"
+
+TABLE_LIFECYCLE = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) < 49"
+
+
 ORACLE_SQL = {
     "log_lines": LOG_LINES,
     "masking_ops": MASKING_OPS,
@@ -239,4 +302,13 @@ ORACLE_SQL = {
     "date_drilldown": DATE_DRILLDOWN,
     "default_sums_gold": DEFAULT_SUMS_GOLD,
     "default_sums_v1": DEFAULT_SUMS_V1,
+    "manifest_documents": MANIFEST_DOCUMENTS,
+    "activity_feed": ACTIVITY_FEED,
+    "csv_selected": CSV_SELECTED,
+    "gold_conform": GOLD_CONFORM,
+    "gold_config_conform": GOLD_CONFIG_CONFORM,
+    "quarantine": QUARANTINE,
+    "quarantine_survivors": QUARANTINE_SURVIVORS,
+    "config_survivors": CONFIG_SURVIVORS,
+    "table_lifecycle": TABLE_LIFECYCLE,
 }
