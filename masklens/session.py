@@ -13,6 +13,10 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Log text is small in bytes but costly to parse: let AQE keep several
+    # small post-shuffle partitions instead of merging them into one task.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
     # duplicate JSON keys keep the last value, as Python's json module does
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
