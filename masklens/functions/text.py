@@ -56,9 +56,10 @@ def parse_log_time(c: Column) -> Column:
     def part(i: int) -> Column:
         return F.regexp_extract(s, _TIME_RE, i).cast("int")
 
-    year = part(3)
+    year, second = part(3), part(6)
+    # make_timestamp would roll second 60 over to the next minute; strptime refuses it
     return F.when(
-        ok & (year >= 1),
+        ok & (year >= 1) & (second <= 59),
         F.try_make_timestamp_ntz(year, part(2), part(1), part(4), part(5), part(6)),
     )
 
