@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from masklens import schemas
 from masklens.functions.text import py_float
-from masklens.operators.loglines import DOC_KEY, documents, log_lines
-from masklens.operators.maskops import mask_operations
+from masklens.operators.loglines import (
+    DOC_KEY, documents, explode_lines, line_count, log_lines, parse_lines, valid_lines,
+)
+from masklens.operators.maskops import DEFAULT_CHUNK_LINES, chunked_mask_operations, mask_operations
 
 # Fixed value: the name stamped into ``processed_by`` by the original job.
 DEFAULT_PROCESSED_BY = "YourName"
@@ -44,11 +46,47 @@ def _stamp(value) -> Column:
 
 
 def parse_masking_logs(bronze: DataFrame, log_col: str = "masking_log",
-                       no_data_status: bool = False, cycle_index: bool = False) -> DataFrame:
-    """Bronze documents -> raw operations (with ``copies`` and ``bad_reason``)."""
+                       no_data_status: bool = False, cycle_index: bool = False,
+                       chunk_lines: int | None = DEFAULT_CHUNK_LINES) -> DataFrame:
+    """Bronze documents -> raw operations (with ``copies`` and ``bad_reason``).
+
+    Documents of at most ``chunk_lines`` lines are parsed in the task that
+    holds them (one scan per document). Longer ones are exploded there, their
+    lines shuffled by (document, chunk) and scanned chunk by chunk, so a
+    single huge log is spread over many tasks. Both branches read the same
+    document shuffle.
+    """
     docs = documents(bronze.where(F.col(log_col).isNotNull()), log_col)
-    lines = log_lines(docs, log_col)
-    return mask_operations(lines, no_data_status=no_data_status, cycle_index=cycle_index)
+    opts = dict(no_data_status=no_data_status, cycle_index=cycle_index)
+    if chunk_lines is not None and not may_hold_long_documents(bronze.select(log_col), chunk_lines):
+        chunk_lines = None
+    if chunk_lines is None:
+        return mask_operations(log_lines(docs, log_col), **opts)
+    n = line_count(F.col(log_col))
+    small = mask_operations(log_lines(docs.where(n <= chunk_lines), log_col), **opts)
+    big = explode_lines(docs.where(n > chunk_lines), log_col)
+    big = big.withColumn("chunk", F.floor(F.col("line_no") / F.lit(chunk_lines)))
+    big = valid_lines(parse_lines(big.repartition(*DOC_KEY, "chunk")))
+    return small.unionByName(chunked_mask_operations(big, **opts))
+
+
+# A valid log line has at least this many characters ("d/m/yyyy h:m:s :: x").
+MIN_LINE_BYTES = 24
+# Catalyst's size estimates can be several times below the text size
+# (compressed files, default string widths); this factor covers that.
+SIZE_SAFETY = 20
+
+
+def may_hold_long_documents(logs: DataFrame, chunk_lines: int) -> bool:
+    """Could one document of ``logs`` hold more than ``chunk_lines`` valid lines?
+
+    Decided from Catalyst's size estimate of the plan, the same statistic
+    Spark uses to choose broadcast joins; no job runs. Both parse paths give
+    identical results, so the choice only affects speed: the chunked branch
+    is planned only when the input is large enough to need it.
+    """
+    est = int(str(logs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return est * SIZE_SAFETY >= chunk_lines * MIN_LINE_BYTES
 
 
 def conform_operations(ops: DataFrame, processed_time=None,

@@ -7,7 +7,7 @@ the message. Lines without ``::`` or with an unparsable time are not valid.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masklens.functions.text import parse_log_time, py_split, py_strip
@@ -41,6 +41,11 @@ def documents(bronze: DataFrame, log_col: str = "masking_log",
     )
 
 
+def line_count(log: Column) -> Column:
+    """Number of lines ``split('\\n')`` gives, without building the array."""
+    return F.length(log) - F.length(F.replace(log, F.lit("\n"), F.lit(""))) + 1
+
+
 def explode_lines(docs: DataFrame, log_col: str = "masking_log",
                   keep: tuple[str, ...] = ("object_id", "load_date", "copies")) -> DataFrame:
     """L1: one row per line in document order, ``line_no`` 0-based.

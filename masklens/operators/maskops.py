@@ -106,80 +106,97 @@ def rule_columns(message: Column, tokens: Column, log_time: Column) -> dict[str,
     }
 
 
-def _cleared_scan(value: str, clear: Column, window) -> tuple[Column, Column]:
-    """(event column, value-at-line column) for a value cleared at ``clear`` lines."""
-    ev = F.when(clear, F.struct(F.lit(None).cast("string").alias("v"))).when(
+def _cleared_event(value: str, clear: Column) -> Column:
+    """struct(null) on a clearing line, struct(value) on a setting line, else null."""
+    return F.when(clear, F.struct(F.lit(None).cast("string").alias("v"))).when(
         F.col(value).isNotNull(), F.struct(F.col(value).alias("v")))
-    return ev, F.coalesce(F.col(value), F.last(F.col(f"_e_{value}"), True).over(window)["v"])
 
 
-def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_col: str = "line_no",
-                    keep: tuple[str, ...] = ("object_id", "load_date", "copies"), no_data_status: bool = False,
-                    cycle_index: bool = False) -> DataFrame:
-    """Emitted operations of every document.
+def _carried(c: Column, carry: str | None) -> Column:
+    return c if carry is None else F.coalesce(c, F.col(carry))
 
-    ``lines`` holds the valid lines (``log_time``, ``message``, ``tokens``).
-    Output, one row per emitted operation: the ``keep`` columns, ``doc_key``,
-    ``line_no`` of the emitting line, ``cycle``, ``schema``, ``table``,
-    ``row_count`` and ``distinct_row_count`` (the raw count tokens),
-    ``column``, ``status``, ``start_time``, ``end_time`` (TIMESTAMP_NTZ),
-    ``duration_secs``, ``duration_mins`` (DOUBLE), ``error``, and
-    ``bad_reason``: null, or why the whole document must go to quarantine (a
-    rule fired on a line too short for its token, or an emitted count is not
-    a number). ``is_op`` is false only on the marker row kept for a document
-    with a short line that emits nothing; such rows always have a
-    ``bad_reason``, so consumers that keep ``bad_reason IS NULL`` see
-    operations only. ``no_data_status`` reports 'No Data' instead of carrying the
-    previous status; ``cycle_index`` numbers cycles instead of always 1.
-    """
-    d = Window.partitionBy(*doc_key).orderBy(order_col)
-    upto = d.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = d.rowsBetween(Window.unboundedPreceding, -1)
-    whole = d.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
+def _windows(key: tuple[str, ...], order_col: str):
+    d = Window.partitionBy(*key).orderBy(order_col)
+    return (d.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+            d.rowsBetween(Window.unboundedPreceding, -1),
+            d.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
+def _base(lines: DataFrame, key_cols: list[str], order_col: str, keep: tuple[str, ...]) -> DataFrame:
     rc = rule_columns(F.col("message"), F.col("tokens"), F.col("log_time"))
-    base = lines.select(*doc_key, order_col, *keep, "log_time", "message",
+    return lines.select(*key_cols, order_col, *keep, "log_time", "message",
                         *[c.alias(k) for k, c in rc.items()])
 
-    # layer 1: values set so far, and whether a column is live before the line
+
+def _live_event() -> Column:
+    return F.when(F.col("fin") | F.col("endc"), F.lit(False)).when(F.col("r4"), F.lit(True))
+
+
+def _layer1(df: DataFrame, key: tuple[str, ...], order_col: str, cycle_index: bool,
+            chunked: bool) -> DataFrame:
+    """Values set so far, live flag, ending lines and the cleared-scan events."""
+    upto, before, whole = _windows(key, order_col)
+    cc = (lambda name: f"c_{name}") if chunked else (lambda name: None)
     if cycle_index:
-        cycle = F.sum(F.col("r1").cast("int")).over(upto)
-        cycle = F.when(cycle > 0, cycle)
+        running = F.sum(F.col("r1").cast("long")).over(upto)
+        if chunked:
+            running = running + F.coalesce(F.col("c_cycle_count"), F.lit(0))
+        cycle = F.when(running > 0, running)
+    else:
+        cycle = _carried(F.last(F.when(F.col("r1"), F.lit(1)), True).over(upto), cc("cycle"))
+    if chunked:
+        short_doc, last = F.col("c_short_doc"), F.col(order_col) == F.col("c_last_line")
     else:
-        cycle = F.last(F.when(F.col("r1"), F.lit(1)), True).over(upto)
-    live_event = F.when(F.col("fin") | F.col("endc"), F.lit(False)).when(F.col("r4"), F.lit(True))
-    l1 = base.select(
+        short_doc = F.max(F.col("short")).over(whole)
+        last = F.col(order_col) == F.max(order_col).over(whole)
+    l1 = df.select(
         "*",
         cycle.alias("cycle"),
-        F.last("v_schema", True).over(upto).alias("schema"),
-        F.last("v_table", True).over(upto).alias("table"),
-        F.last("v_column", True).over(upto).alias("column"),
-        F.last("v_start", True).over(upto).alias("start_time"),
-        F.last(live_event, True).over(before).alias("_live_before"),
-        F.max(F.col("short")).over(whole).alias("_short_doc"),
-        (F.col(order_col) == F.max(order_col).over(whole)).alias("_last"),
+        _carried(F.last("v_schema", True).over(upto), cc("schema")).alias("schema"),
+        _carried(F.last("v_table", True).over(upto), cc("table")).alias("table"),
+        _carried(F.last("v_column", True).over(upto), cc("column")).alias("column"),
+        _carried(F.last("v_start", True).over(upto), cc("start")).alias("start_time"),
+        _carried(F.last(_live_event(), True).over(before), cc("live")).alias("_live_before"),
+        short_doc.alias("_short_doc"),
+        last.alias("_last"),
     )
-
-    # layer 2: which lines end an operation, and the cleared scans
     live = F.col("r4") | F.coalesce(F.col("_live_before"), F.lit(False))
     l1 = l1.withColumn("fail_fired", live & ~F.col("fin") & F.col("endc"))
     reset = F.col("fin") | F.col("fail_fired")
     f_rec = F.when(F.col("f_kind").isNotNull(), F.struct(
         F.col("f_kind").alias("kind"), F.col("column").alias("col"), F.col("table").alias("tab")))
     l1 = l1.withColumn("f_rec", f_rec)
-    ev_rows, rows = _cleared_scan("v_rows", reset, before)
-    ev_dist, dist = _cleared_scan("v_dist", reset, before)
-    ev_err, err = _cleared_scan("v_err", reset, before)
     ev_fail = F.when(F.col("fin"), F.struct(F.lit(None).cast(_FAIL_T).alias("v"))).when(
         F.col("f_rec").isNotNull(), F.struct(F.col("f_rec").alias("v")))
-    l2 = l1.select("*", ev_rows.alias("_e_v_rows"), ev_dist.alias("_e_v_dist"),
-                   ev_err.alias("_e_v_err"), ev_fail.alias("_e_fail"))
-    l2 = l2.select(
-        "*", rows.alias("row_count"), dist.alias("distinct_row_count"), err.alias("error"),
-        F.coalesce(F.col("f_rec"), F.last("_e_fail", True).over(before)["v"]).alias("last_fail"),
+    return l1.select("*", _cleared_event("v_rows", reset).alias("_e_rows"),
+                     _cleared_event("v_dist", reset).alias("_e_dist"),
+                     _cleared_event("v_err", reset).alias("_e_err"), ev_fail.alias("_e_fail"))
+
+
+def _layer2(df: DataFrame, key: tuple[str, ...], order_col: str, chunked: bool) -> DataFrame:
+    """Row counts, error and the last failure of the running operation."""
+    _, before, _ = _windows(key, order_col)
+
+    def state(ev: str) -> Column:
+        c = F.last(ev, True).over(before)
+        return (F.coalesce(c, F.col(f"c{ev}")) if chunked else c)["v"]
+
+    lf = F.col("last_fail")
+    l2 = df.select(
+        "*",
+        F.coalesce(F.col("v_rows"), state("_e_rows")).alias("row_count"),
+        F.coalesce(F.col("v_dist"), state("_e_dist")).alias("distinct_row_count"),
+        F.coalesce(F.col("v_err"), state("_e_err")).alias("error"),
+        F.coalesce(F.col("f_rec"), state("_e_fail")).alias("last_fail"),
     )
+    emit = F.col("fail_fired") | (F.col("fin") & (lf.isNotNull() | F.col("column").isNotNull()))
+    l2 = l2.withColumn("is_op", F.coalesce(emit, F.lit(False)))
+    return l2.withColumn("_bad_num", F.col("is_op") & (
+        ~is_py_float(F.col("row_count")) | ~is_py_float(F.col("distinct_row_count"))))
+
 
-    # layer 3: the status each ending line assigns, and the carried status
+def _assigned(no_data_status: bool) -> Column:
     lf = F.col("last_fail")
     same = F.col("column").eqNullSafe(lf["col"]) & F.col("table").eqNullSafe(lf["tab"])
     assigned = (
@@ -189,33 +206,142 @@ def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_
     )
     if no_data_status:
         assigned = assigned.when(F.col("fin") & (lf["kind"] == STATUS_NO_DATA), F.lit(STATUS_NO_DATA))
-    assigned = assigned.when(F.col("fin") & lf.isNull() & F.col("column").isNotNull(),
-                             F.lit(STATUS_PASSED))
-    l3 = l2.withColumn("_assigned", assigned)
-    l3 = l3.withColumn("status", F.last("_assigned", True).over(upto))
+    return assigned.when(F.col("fin") & lf.isNull() & F.col("column").isNotNull(), F.lit(STATUS_PASSED))
 
-    emit = F.col("fail_fired") | (F.col("fin") & (lf.isNotNull() | F.col("column").isNotNull()))
-    emit = F.coalesce(emit, F.lit(False))
-    secs = F.when(F.col("start_time").isNotNull(),
-                  F.expr("timestampdiff(SECOND, start_time, log_time)").cast("double"))
+
+def _layer3(df: DataFrame, key: tuple[str, ...], order_col: str, no_data_status: bool,
+            chunked: bool) -> DataFrame:
+    """The status each ending line assigns, and the carried status."""
+    upto, _, whole = _windows(key, order_col)
+    l3 = df.withColumn("_assigned", _assigned(no_data_status))
+    status = F.last("_assigned", True).over(upto)
+    bad_num_doc = F.col("c_bad_num_doc") if chunked else F.max("_bad_num").over(whole)
+    return l3.select("*", _carried(status, "c_status" if chunked else None).alias("status"),
+                     bad_num_doc.alias("_bad_num_doc"))
+
+
+def _finish(l3: DataFrame, key_cols: list[str], keep: tuple[str, ...], order_col: str) -> DataFrame:
     # a document with a short line keeps one marker row (its last line) even
     # when it emits nothing, so that it still reaches the quarantine
-    l3 = l3.withColumn("is_op", emit)
-    ops = l3.where(F.col("is_op") | (F.col("_short_doc") & F.col("_last"))).select(
-        *doc_key, *keep, "is_op", F.col(order_col).alias("line_no"),
+    secs = F.when(F.col("start_time").isNotNull(),
+                  F.expr("timestampdiff(SECOND, start_time, log_time)").cast("double"))
+    ops = l3.where(F.col("is_op") | (F.col("_short_doc") & F.col("_last")))
+    return ops.select(
+        *key_cols, *keep, "is_op", F.col(order_col).alias("line_no"),
         "cycle", "schema", "table", "row_count", "distinct_row_count", "column", "status",
         "start_time", F.col("log_time").alias("end_time"),
         secs.alias("duration_secs"),
         F.when(secs != 0, F.round(secs / 60.0, 2)).alias("duration_mins"),
-        "error", "_short_doc",
-        (F.col("is_op") & (~is_py_float(F.col("row_count"))
-                           | ~is_py_float(F.col("distinct_row_count")))).alias("_bad_num"),
-    )
-    bad_num_doc = F.max("_bad_num").over(
-        Window.partitionBy(*doc_key).orderBy("line_no")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return ops.withColumn(
-        "bad_reason",
+        "error",
         F.when(F.col("_short_doc"), F.lit("line too short for its token"))
-        .when(bad_num_doc, F.lit("count is not a number")),
-    ).drop("_short_doc", "_bad_num")
+        .when(F.col("_bad_num_doc"), F.lit("count is not a number")).alias("bad_reason"),
+    )
+
+
+def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_col: str = "line_no",
+                    keep: tuple[str, ...] = ("object_id", "load_date", "copies"), no_data_status: bool = False,
+                    cycle_index: bool = False) -> DataFrame:
+    """Emitted operations of every document.
+
+    ``lines`` holds the valid lines (``log_time``, ``message``, ``tokens``).
+    Output, one row per emitted operation: the ``keep`` columns, ``doc_key``,
+    ``line_no`` of the emitting line, ``cycle``, ``schema``, ``table``,
+    ``row_count`` and ``distinct_row_count`` (the raw count tokens),
+    ``column``, ``status``, ``start_time``, ``end_time`` (TIMESTAMP_NTZ),
+    ``duration_secs``, ``duration_mins`` (DOUBLE), ``error``, and
+    ``bad_reason``: null, or why the whole document must go to quarantine (a
+    rule fired on a line too short for its token, or an emitted count is not
+    a number). ``is_op`` is false only on the marker row kept for a document
+    with a short line that emits nothing; such rows always have a
+    ``bad_reason``, so consumers that keep ``bad_reason IS NULL`` see
+    operations only. ``no_data_status`` reports 'No Data' instead of carrying
+    the previous status; ``cycle_index`` numbers cycles instead of always 1.
+
+    All windows share one partitioning (the document) and one order, so the
+    plan adds no Exchange and one Sort to its input.
+    """
+    key_cols = list(doc_key)
+    base = _base(lines, key_cols, order_col, keep)
+    l1 = _layer1(base, doc_key, order_col, cycle_index, chunked=False)
+    l3 = _layer3(_layer2(l1, doc_key, order_col, chunked=False), doc_key, order_col,
+                 no_data_status, chunked=False)
+    return _finish(l3, key_cols, keep, order_col)
+
+
+# Documents with more lines than this are scanned in chunks of this many lines.
+DEFAULT_CHUNK_LINES = 1_000_000
+
+
+def _last_by(c: Column, order_col: str) -> Column:
+    """Aggregate: the last non-null ``c`` in line order."""
+    return F.max_by(c, F.when(c.isNotNull(), F.col(order_col)))
+
+
+def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY,
+                            order_col: str = "line_no",
+                            keep: tuple[str, ...] = ("object_id", "load_date", "copies"),
+                            no_data_status: bool = False, cycle_index: bool = False) -> DataFrame:
+    """:func:`mask_operations` for documents split into line chunks.
+
+    ``lines`` carries a ``chunk`` column (a contiguous range of lines of one
+    document) and is hash-partitioned by (document, chunk), so one long
+    document is spread over many tasks. Each chunk runs the same window
+    scans; what a chunk inherits from the chunks before it is carried in:
+
+    1. values set so far and the live flag: per-chunk last values, then a
+       window over the chunks of each document (small data);
+    2. the cleared values (counts, error, failure), whose clearing lines
+       depend on (1);
+    3. the carried status, which depends on (2).
+
+    Every round reads the same Exchange of the lines (reused by Spark), and
+    the per-chunk tables are tiny (one row per chunk). Results equal the
+    single-pass scan whatever the chunk size.
+    """
+    key_cols = list(doc_key)
+    ck = (*doc_key, "chunk")
+    base = _base(lines, [*key_cols, "chunk"], order_col, keep)
+    dc = Window.partitionBy(*doc_key).orderBy("chunk")
+    prev = dc.rowsBetween(Window.unboundedPreceding, -1)
+    every = dc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def with_carries(df: DataFrame, carries: DataFrame) -> DataFrame:
+        return df.join(carries.hint("shuffle_hash"), list(ck), "left")
+
+    # round 1: last values per chunk, carried over the chunks before
+    s1 = base.groupBy(*ck).agg(
+        _last_by(F.when(F.col("r1"), F.lit(1)), order_col).alias("s_cycle"),
+        F.sum(F.col("r1").cast("long")).alias("s_r1"),
+        *[_last_by(F.col(f"v_{n}"), order_col).alias(f"s_{n}")
+          for n in ("schema", "table", "column", "start")],
+        _last_by(_live_event(), order_col).alias("s_live"),
+        F.max("short").alias("s_short"), F.max(order_col).alias("s_last_line"))
+    c1 = s1.select(
+        *ck, F.last("s_cycle", True).over(prev).alias("c_cycle"),
+        F.sum("s_r1").over(prev).alias("c_cycle_count"),
+        *[F.last(f"s_{n}", True).over(prev).alias(f"c_{n}")
+          for n in ("schema", "table", "column", "start", "live")],
+        F.max("s_short").over(every).alias("c_short_doc"),
+        F.max("s_last_line").over(every).alias("c_last_line"))
+
+    # round 2: cleared values, whose clearing lines need the live flag of round 1
+    r2 = _layer1(with_carries(base, c1), ck, order_col, cycle_index, chunked=True)
+    events = ("_e_rows", "_e_dist", "_e_err", "_e_fail")
+    s2 = r2.groupBy(*ck).agg(*[_last_by(F.col(e), order_col).alias(f"s{e}") for e in events])
+    c2 = s2.select(*ck, *[F.last(f"s{e}", True).over(prev).alias(f"c{e}") for e in events])
+    c12 = c1.join(c2, list(ck))
+
+    # round 3: assigned statuses, which need the failures of round 2
+    r3 = _layer2(_layer1(with_carries(base, c12), ck, order_col, cycle_index, chunked=True),
+                 ck, order_col, chunked=True)
+    r3 = r3.withColumn("_assigned", _assigned(no_data_status))
+    s3 = r3.groupBy(*ck).agg(_last_by(F.col("_assigned"), order_col).alias("s_status"),
+                             F.max("_bad_num").alias("s_bad"))
+    c3 = s3.select(*ck, F.last("s_status", True).over(prev).alias("c_status"),
+                   F.max("s_bad").over(every).alias("c_bad_num_doc"))
+    c123 = c12.join(c3, list(ck))
+
+    final = _layer1(with_carries(base, c123), ck, order_col, cycle_index, chunked=True)
+    final = _layer3(_layer2(final, ck, order_col, chunked=True), ck, order_col, no_data_status,
+                    chunked=True)
+    return _finish(final, key_cols, keep, order_col)

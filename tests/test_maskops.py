@@ -108,10 +108,10 @@ def _key(op):
             op["duration_secs"], op["duration_mins"], op["error"])
 
 
-def _run(spark, texts):
+def _run(spark, texts, **kw):
     rows = [(str(i), None, t, LOAD) for i, t in enumerate(texts)]
     bronze = spark.createDataFrame(rows, "object_id string, config string, masking_log string, load_date timestamp")
-    ops = contract.parse_masking_logs(bronze).collect()
+    ops = contract.parse_masking_logs(bronze, **kw).collect()
     got, bad = {}, set()
     for r in ops:
         if r["bad_reason"] is not None:
@@ -122,12 +122,13 @@ def _run(spark, texts):
     return got, bad
 
 
-@pytest.mark.parametrize("seed", [7, 11])
-def test_random_logs_match_fold(spark, seed):
+@pytest.mark.parametrize("seed,chunk_lines", [(7, None), (11, 1_000_000), (13, 7), (17, 3), (19, 1)])
+def test_random_logs_match_fold(spark, seed, chunk_lines):
+    """Single-pass (None / large) and chunked scans (tiny chunks) against the fold."""
     rng = random.Random(seed)
     texts = [random_log(rng, rng.randrange(1, 70), short_rate=0.01, bad_num_rate=0.02)
              for _ in range(400)]
-    got, bad = _run(spark, texts)
+    got, bad = _run(spark, texts, chunk_lines=chunk_lines)
     n_ops = 0
     for i, text in enumerate(texts):
         exp, quarantined = _expected(text)
@@ -193,7 +194,8 @@ def test_contract_schema_and_defaults(spark):
         "Exception", None, "ERROR x")
 
 
-def test_optional_status_and_cycle_numbering(spark):
+@pytest.mark.parametrize("chunk_lines", [None, 2])
+def test_optional_status_and_cycle_numbering(spark, chunk_lines):
     text = "\n".join([
         "01/01/2024 10:00:00 :: MASKING HAS STARTED",
         "01/01/2024 10:00:01 :: COLUMN : C1 Mask Started",
@@ -205,9 +207,10 @@ def test_optional_status_and_cycle_numbering(spark):
     ])
     bronze = spark.createDataFrame([("1", None, text, LOAD)],
                                    "object_id string, config string, masking_log string, load_date timestamp")
-    plain = [(r["status"], r["cycle"]) for r in contract.parse_masking_logs(bronze).orderBy("line_no").collect()]
+    plain = [(r["status"], r["cycle"]) for r in
+             contract.parse_masking_logs(bronze, chunk_lines=chunk_lines).orderBy("line_no").collect()]
     assert plain == [(None, 1), ("Passed", 1)]
-    opt = contract.parse_masking_logs(bronze, no_data_status=True, cycle_index=True)
+    opt = contract.parse_masking_logs(bronze, no_data_status=True, cycle_index=True, chunk_lines=chunk_lines)
     assert [(r["status"], r["cycle"]) for r in opt.orderBy("line_no").collect()] == [
         ("No Data", 1), ("Passed", 2)]
 
@@ -221,3 +224,15 @@ def test_parser_plan_has_one_exchange_and_no_python(spark):
     assert plan.count("Exchange") == 1, plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.count("Sort [") <= 3
+
+
+def test_chunked_plan_shuffles_lines_once(spark):
+    """A long document is spread over tasks: one Exchange of its lines, reused by every round."""
+    rng = random.Random(5)
+    rows = [(str(i), None, random_log(rng, 50), LOAD) for i in range(4)]
+    bronze = spark.createDataFrame(rows, "object_id string, config string, masking_log string, load_date timestamp")
+    ops = contract.parse_masking_logs(bronze, chunk_lines=10)
+    ops.collect()
+    plan = ops._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
