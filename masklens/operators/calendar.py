@@ -66,16 +66,27 @@ def date_dimension(fact: DataFrame, date_col: str) -> tuple[DataFrame, int]:
     return calendar(bounds), n_days
 
 
-def relate_dates(fact: DataFrame, dim: DataFrame, n_days: int, date_col: str,
+def lazy_date_dimension(fact: DataFrame, date_col: str) -> tuple[DataFrame, None]:
+    """Calendar built inside the same plan as ``fact`` (no job to read bounds).
+
+    For facts that are expensive to compute (a parse), reading the bounds
+    first would compute them twice; here the bounds are a one-row aggregate
+    of the same plan and the join strategy is left to Spark's statistics.
+    """
+    return calendar(year_bounds(fact, date_col)), None
+
+
+def relate_dates(fact: DataFrame, dim: DataFrame, n_days: int | None, date_col: str,
                  role: str) -> DataFrame:
     """Fact LEFT JOIN calendar on the date part of ``date_col``.
 
     The calendar's columns get the ``role`` prefix (role-playing dimension).
     It is broadcast when ``n_days`` is within :data:`MAX_BROADCAST_DAYS`;
-    otherwise Catalyst plans a shuffle join.
+    otherwise (or when ``n_days`` is unknown) Catalyst and AQE choose the join
+    from the measured sizes.
     """
     renamed = dim.select(*[F.col(c).alias(f"{role}{c}") for c in DIM_COLUMNS])
-    side = F.broadcast(renamed) if n_days <= MAX_BROADCAST_DAYS else renamed
+    side = F.broadcast(renamed) if n_days is not None and n_days <= MAX_BROADCAST_DAYS else renamed
     return fact.join(side, F.to_date(F.col(date_col)) == F.col(f"{role}Date"), "left")
 
 

@@ -61,3 +61,9 @@ def default_sums_v1(fact: DataFrame, by: list[str]) -> DataFrame:
     """A2: the v1 fact summed by the grouping columns (A4)."""
     aggs = [(F.round(_sum(c), 2) if c == "duration(min)" else _sum(c)).alias(c) for c in V1_SUMMED]
     return fact.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("n_ops"))
+
+
+def default_sums_config(config_rows: DataFrame, by: list[str]) -> DataFrame:
+    """A3 (config table): ``object_id`` is the only summed column."""
+    return config_rows.groupBy(*by).agg(F.sum("object_id").alias("object_id"),
+                                        F.count(F.lit(1)).alias("n_columns"))

@@ -142,6 +142,30 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def q_default_sums_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, A4: the Gold config model's default sum (object_id) by schema and table."""
+    return measures.default_sums_config(config.flatten_config(fcfg_bronze(spark, sf_dir)), ["schema", "table"])
+
+
+def q_ops_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 x2 on the operations fact: start and end dates related to their calendars.
+
+    As the dashboard model relates ``start_time`` and ``end_time`` (date part)
+    to two role-playing calendars: operations and summed durations per start
+    month and end month.
+    """
+    ops = contract.parse_masking_logs(flog_bronze(spark, sf_dir))
+    fact = measures.v1_fact(ops)
+    daily = fact.groupBy(F.to_date("start_time").alias("_s"), F.to_date("end_time").alias("_e")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("duration(s)").alias("secs"))
+    sdim, sdays = calendar.lazy_date_dimension(daily.withColumnRenamed("_s", "start_time"), "start_time")
+    edim, edays = calendar.lazy_date_dimension(daily.withColumnRenamed("_e", "end_time"), "end_time")
+    rel = calendar.relate_dates(daily, sdim, sdays, "_s", "start_")
+    rel = calendar.relate_dates(rel, edim, edays, "_e", "end_")
+    return rel.groupBy("start_Year", "start_MonthNo", "start_Month", "end_Year", "end_MonthNo",
+                       "end_Month").agg(F.sum("n").alias("n_ops"), F.sum("secs").alias("duration_secs"))
+
+
 def q_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows for manifest objects with both files landed."""
     manifest, configs, logs = fixtures.f_man(table(spark, sf_dir, "pages"),
@@ -223,6 +247,10 @@ def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops = spark.read.parquet(f"{base}/silver/masking_logs_results")             # S5
     cfg = spark.read.parquet(f"{base}/silver/masking_config_results")
     sinks.overwrite_path(joins.ops_config_join(ops, cfg), f"{base}/silver/joined_masking_results")  # K5
+    feed_rows = feed.feed_rows(fixtures.f_feed_pages(table(spark, sf_dir, "events"),
+                                                     table(spark, sf_dir, "customer")),
+                               fixtures.F_FEED_MAPPING)
+    sinks.append_path(feed_rows, f"{base}/landing/moove")                       # K8
     sinks.create_gold(spark, location=f"{base}/gold")                           # K9
     for name in (sinks.GOLD_LOGS, sinks.GOLD_CONFIG):
         sinks.drop_table(spark, f"{sinks.GOLD_DB}.{name}")                      # K10
@@ -249,6 +277,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_drilldown": q_date_drilldown,
     "default_sums_gold": q_default_sums_gold,
     "default_sums_v1": q_default_sums_v1,
+    "default_sums_config": q_default_sums_config,
+    "ops_by_date": q_ops_by_date,
     "manifest_documents": q_manifest_documents,
     "activity_feed": q_activity_feed,
     "csv_selected": q_csv_selected,

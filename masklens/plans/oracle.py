@@ -287,6 +287,17 @@ CONFIG_SURVIVORS = "WITH " + CFG_ROWS + " SELECT * FROM cfg WHERE object_id % 7
 TABLE_LIFECYCLE = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) < 49"
 
 
+DEFAULT_SUMS_CONFIG = "WITH " + CFG_ROWS + """
+SELECT schema, "table", sum(object_id) AS object_id, count(*) AS n_columns FROM cfg GROUP BY ALL"""
+
+OPS_BY_DATE = "WITH RECURSIVE " + MASK_FOLD + """
+SELECT CAST(year(start_time) AS BIGINT) AS "start_Year", CAST(month(start_time) AS BIGINT) AS "start_MonthNo",
+  strftime(start_time, '%B') AS "start_Month",
+  CAST(year(end_time) AS BIGINT) AS "end_Year", CAST(month(end_time) AS BIGINT) AS "end_MonthNo",
+  strftime(end_time, '%B') AS "end_Month",
+  count(*) AS n_ops, sum(CAST(coalesce(duration_secs, 0) AS BIGINT)) AS duration_secs
+FROM ops GROUP BY ALL"""
+
 ORACLE_SQL = {
     "log_lines": LOG_LINES,
     "masking_ops": MASKING_OPS,
@@ -302,6 +313,8 @@ ORACLE_SQL = {
     "date_drilldown": DATE_DRILLDOWN,
     "default_sums_gold": DEFAULT_SUMS_GOLD,
     "default_sums_v1": DEFAULT_SUMS_V1,
+    "default_sums_config": DEFAULT_SUMS_CONFIG,
+    "ops_by_date": OPS_BY_DATE,
     "manifest_documents": MANIFEST_DOCUMENTS,
     "activity_feed": ACTIVITY_FEED,
     "csv_selected": CSV_SELECTED,
