@@ -20,6 +20,8 @@ SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # duplicate JSON keys keep the last value, as Python's json module does
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # the dashboard CSV is code page 1252, a Java charset outside Spark's short list
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 
@@ -39,7 +41,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.legacy.javaCharsets", "true")
     )
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)
