@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from masklens import schemas
 from masklens.functions.text import py_float
+from masklens.session import ensure_checkpoint_dir
 from masklens.operators.loglines import (
     DOC_KEY, documents, explode_lines, line_count, log_lines, parse_lines, valid_lines,
 )
@@ -149,6 +150,39 @@ def quarantine_documents(bronze: DataFrame, ops: DataFrame, log_col: str = "mask
     return no_log.unionByName(bad.select("object_id", "load_date", "reason"))
 
 
+def parse_landed_lines(lines: DataFrame, order_cols: list[str], line_col: str = "line",
+                       ident: tuple[str, ...] = ("object_id", "load_date"),
+                       no_data_status: bool = False, cycle_index: bool = False) -> DataFrame:
+    """Logs landed one line per row -> raw operations.
+
+    ``lines`` has the identity columns of a log (``ident``), its line order
+    (``order_cols``) and the line text. No log is ever assembled in one row
+    or one task: a global sort by (log, order) range-partitions the lines
+    (sampled bounds split a hot log over many partitions), an order-preserving
+    id numbers them, each sorted partition is a chunk, and the chunked scan
+    carries state between the chunks of a log.
+
+    The numbered lines are checkpointed (reliable checkpoint, in the
+    session's ``spark.checkpoint.dir``) before the chunked rounds read them:
+    the range bounds come from sampling, and every round must see the same
+    numbering, also after a lost executor.
+    """
+    keyed = lines.select(
+        *ident, *order_cols, F.col(line_col).alias("line"),
+        F.xxhash64(*ident).alias("doc_id"), F.hash(*ident).alias("doc_h2"),
+        F.lit(1).cast("long").alias("copies"))
+    ordered = keyed.orderBy(*DOC_KEY, *order_cols)
+    numbered = ordered.select(
+        *DOC_KEY, *ident, "copies", "line",
+        F.monotonically_increasing_id().alias("line_no"))
+    numbered = numbered.withColumn("chunk", F.shiftright(F.col("line_no"), 33))
+    ensure_checkpoint_dir(lines.sparkSession)
+    numbered = numbered.checkpoint(eager=True)
+    parsed = valid_lines(parse_lines(numbered.repartition(*DOC_KEY, "chunk")))
+    return chunked_mask_operations(parsed, keep=(*ident, "copies"), no_data_status=no_data_status,
+                                   cycle_index=cycle_index)
+
+
 def silver_operations(bronze: DataFrame, processed_time=None,
                       processed_by: str = DEFAULT_PROCESSED_BY, **kw) -> DataFrame:
     """Bronze -> Silver ``masking_logs_results`` rows (the good documents)."""

@@ -306,7 +306,7 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
     every = dc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def with_carries(df: DataFrame, carries: DataFrame) -> DataFrame:
-        return df.join(carries.hint("shuffle_hash"), list(ck), "left")
+        return df.join(carries, list(ck), "left")
 
     # round 1: last values per chunk, carried over the chunks before
     s1 = base.groupBy(*ck).agg(

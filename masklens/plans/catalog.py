@@ -52,6 +52,18 @@ def q_masking_ops_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
 
 
+def q_masking_ops_landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1-R14 on F-LOG landed one line per row (no log assembled anywhere).
+
+    Same Silver rows as ``masking_ops_contract``; each log is cut into chunks
+    by a global sort, and state is carried between chunks.
+    """
+    lines = fixtures.f_log_lines(table(spark, sf_dir, "events")).withColumn(
+        "load_date", F.lit(fixtures.FIXTURE_LOAD_DATE).cast("timestamp"))
+    ops = contract.parse_landed_lines(lines, ["ts", "event_id"])
+    return contract.conform_operations(ops, processed_time=PROCESSED_TIME)
+
+
 def fcfg_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.f_cfg_bronze(table(spark, sf_dir, "part"))
 
@@ -266,6 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
     "masking_ops_contract": q_masking_ops_contract,
+    "masking_ops_landed_lines": q_masking_ops_landed_lines,
     "config_flatten": q_config_flatten,
     "config_nine_columns": q_config_nine_columns,
     "config_union": q_config_union,

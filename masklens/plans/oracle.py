@@ -302,6 +302,7 @@ ORACLE_SQL = {
     "log_lines": LOG_LINES,
     "masking_ops": MASKING_OPS,
     "masking_ops_contract": MASKING_OPS_CONTRACT,
+    "masking_ops_landed_lines": MASKING_OPS_CONTRACT,
     "config_flatten": CONFIG_FLATTEN,
     "config_nine_columns": CONFIG_NINE,
     "config_union": CONFIG_UNION,
