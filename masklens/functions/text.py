@@ -35,8 +35,13 @@ def py_strip(c: Column) -> Column:
 
 
 def py_split(c: Column) -> Column:
-    """``str.split()`` of an already stripped string: runs of whitespace."""
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, WS + "+"))
+    """``str.split()`` of an already stripped string: runs of whitespace.
+
+    Runs are first collapsed to one space (a compiled pattern), then split on
+    that single character, which Java splits without compiling a pattern per row.
+    """
+    one_space = F.regexp_replace(c, WS + "+", " ")
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(one_space, " ", -1))
 
 
 def token(tokens: Column, index: int) -> Column:

@@ -125,7 +125,8 @@ def _windows(key: tuple[str, ...], order_col: str):
 
 def _base(lines: DataFrame, key_cols: list[str], order_col: str, keep: tuple[str, ...]) -> DataFrame:
     rc = rule_columns(F.col("message"), F.col("tokens"), F.col("log_time"))
-    return lines.select(*key_cols, order_col, *keep, "log_time", "message",
+    # the message itself is kept only where a rule stores it (v_err)
+    return lines.select(*key_cols, order_col, *keep, "log_time",
                         *[c.alias(k) for k, c in rc.items()])
 
 
