@@ -13,8 +13,9 @@ Here the same state is carried by window scans over the lines of a document
   starts from;
 * the status that a "No Data" finish carries over is the last assigned status.
 
-All scans share one partitioning and one sort order, so the plan holds one
-Exchange (on the document) and one Sort; no Python runs per row.
+All scans share one partitioning and one sort order, so the parse adds no
+Exchange to its input (the document shuffle) and a single Sort; no Python
+runs per row.
 
 Rules, evaluated on every valid line in this order (case-sensitive substring
 tests on the message, token positions 0-based):
