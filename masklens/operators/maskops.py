@@ -301,14 +301,26 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
     single-pass scan whatever the chunk size.
     """
     key_cols = list(doc_key)
-    ck = (*doc_key, "chunk")
+    # The keep columns depend on the document only. Making them part of the
+    # chunk key changes no group, but keys are never pruned, so every round
+    # reads the very same document and line shuffles (Spark reuses them).
+    ck = (*doc_key, *keep, "chunk")
     base = _base(lines, [*key_cols, "chunk"], order_col, keep)
-    dc = Window.partitionBy(*doc_key).orderBy("chunk")
+    dc = Window.partitionBy(*doc_key, *keep).orderBy("chunk")
     prev = dc.rowsBetween(Window.unboundedPreceding, -1)
     every = dc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
+    jk = (*doc_key, "chunk")  # never null (hashes, chunk number); the lines are partitioned by it
+
+    def join_keys(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        """Equi-join on (document, chunk); the keep columns follow from the document."""
+        o = other.select(*[F.col(k).alias(f"_ck_{k}") for k in jk],
+                         *[k for k in other.columns if k not in ck])
+        cond = reduce(lambda a, b: a & b, [df[k] == o[f"_ck_{k}"] for k in jk])
+        return df.join(o, cond, how).drop(*[f"_ck_{k}" for k in jk])
+
     def with_carries(df: DataFrame, carries: DataFrame) -> DataFrame:
-        return df.join(carries, list(ck), "left")
+        return join_keys(df, carries, "left")
 
     # round 1: last values per chunk, carried over the chunks before
     s1 = base.groupBy(*ck).agg(
@@ -331,7 +343,7 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
     events = ("_e_rows", "_e_dist", "_e_err", "_e_fail")
     s2 = r2.groupBy(*ck).agg(*[_last_by(F.col(e), order_col).alias(f"s{e}") for e in events])
     c2 = s2.select(*ck, *[F.last(f"s{e}", True).over(prev).alias(f"c{e}") for e in events])
-    c12 = c1.join(c2, list(ck))
+    c12 = join_keys(c1, c2, "inner")
 
     # round 3: assigned statuses, which need the failures of round 2
     r3 = _layer2(_layer1(with_carries(base, c12), ck, order_col, cycle_index, chunked=True),
@@ -341,7 +353,7 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
                              F.max("_bad_num").alias("s_bad"))
     c3 = s3.select(*ck, F.last("s_status", True).over(prev).alias("c_status"),
                    F.max("s_bad").over(every).alias("c_bad_num_doc"))
-    c123 = c12.join(c3, list(ck))
+    c123 = join_keys(c12, c3, "inner")
 
     final = _layer1(with_carries(base, c123), ck, order_col, cycle_index, chunked=True)
     final = _layer3(_layer2(final, ck, order_col, chunked=True), ck, order_col, no_data_status,
