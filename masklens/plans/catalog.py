@@ -262,7 +262,7 @@ def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_rows = feed.feed_rows(fixtures.f_feed_pages(table(spark, sf_dir, "events"),
                                                      table(spark, sf_dir, "customer")),
                                fixtures.F_FEED_MAPPING)
-    sinks.append_path(feed_rows, f"{base}/landing/moove")                       # K8
+    sinks.append_path(feed_rows, f"{base}/landing/activity_feed")               # K8
     sinks.create_gold(spark, location=f"{base}/gold")                           # K9
     for name in (sinks.GOLD_LOGS, sinks.GOLD_CONFIG):
         sinks.drop_table(spark, f"{sinks.GOLD_DB}.{name}")                      # K10
