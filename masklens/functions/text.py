@@ -69,12 +69,17 @@ def parse_log_time(c: Column) -> Column:
     )
 
 
+def _float_strip(c: Column) -> Column:
+    # float() trims Unicode White_Space only; unlike str.strip() it keeps U+001C..U+001F
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def py_float(c: Column) -> Column:
     """``float(c)`` as DOUBLE, null when Python would raise ValueError."""
-    t = py_strip(c)
+    t = _float_strip(c)
     return F.when(t.rlike(_PY_FLOAT_RE), F.regexp_replace(t, "_", "").try_cast("double"))
 
 
 def is_py_float(c: Column) -> Column:
     """True when ``float(c)`` succeeds (null input counts as missing, not bad)."""
-    return c.isNull() | py_strip(c).rlike(_PY_FLOAT_RE)
+    return c.isNull() | _float_strip(c).rlike(_PY_FLOAT_RE)
