@@ -41,6 +41,11 @@ def _dedup(m: Column) -> Column:
     return F.map_from_entries(F.map_entries(m))
 
 
+def _last_key_wins(df: DataFrame) -> None:
+    # map_from_entries resolves duplicate keys by this session setting
+    df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+
+
 def parse_config(c: Column) -> Column:
     """Config text -> nested maps, duplicate keys resolved as Python does.
 
@@ -87,6 +92,7 @@ def flatten_config(bronze: DataFrame, config_col: str = "config", with_lookup: b
     nine-column form (C8). Documents with a problem are left out unless
     ``keep_problem`` (then a ``problem`` column tells which).
     """
+    _last_key_wins(bronze)
     raw = F.col(config_col)
     docs = bronze.select("object_id", raw.alias("_raw"), parse_config(raw).alias("_cfg"))
     docs = docs.select("object_id", "_cfg", F.coalesce(
@@ -131,6 +137,7 @@ def config_union(bronze: DataFrame, config_col: str = "config") -> DataFrame:
 
 def config_quarantine(bronze: DataFrame, config_col: str = "config") -> DataFrame:
     """Config documents that cannot be flattened, with the reason."""
+    _last_key_wins(bronze)
     raw = F.col(config_col)
     parsed = parse_config(raw)
     problem = F.coalesce(config_problem(parsed, raw), F.when(
