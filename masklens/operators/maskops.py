@@ -31,6 +31,7 @@ R8  (Could & not) or (Could & Not & Mask & Column), not Could Not Enable
 R9  ERROR, not Could Not Enable
 R10 pymysql.err
 R11 NOT FOUND or .php or .py                   R8-R11: error, failure 'Exception'
+R12 Post-mask                                  no visible effect (nothing to compute)
 R13 COLUMN, Mask Finished                      emit with a status, then clear
 R14 live and (TABLE & Mask & Ended, or R1)     emit 'Failed', then clear (failures kept)
 """
