@@ -48,14 +48,8 @@ def write_ops_csv(fact: DataFrame, folder: str, file_col: str = "file_name") ->
      .option("header", "true").csv(folder))
 
 
-def read_selected(spark: SparkSession, folder: str, file_name: str = DEFAULT_FILE) -> DataFrame:
-    """S9 + S10 + S12: the chosen file's rows, typed; bad values become null."""
-    check_file_name(file_name)
-    text_schema = StructType([StructField(f.name, StringType(), True)
-                              for f in schemas.OPS_CSV_V1.fields]
-                             + [StructField("file_name", StringType(), True)])
-    raw = spark.read.options(**CSV_OPTIONS).schema(text_schema).csv(folder)
-    raw = raw.where(F.col("file_name") == F.lit(file_name))
+def _retype(raw: DataFrame) -> DataFrame:
+    """Promoted header columns retyped; a value that does not convert is null."""
     out = []
     for f in schemas.OPS_CSV_V1.fields:
         c = F.col(f"`{f.name}`")
@@ -67,3 +61,28 @@ def read_selected(spark: SparkSession, folder: str, file_name: str = DEFAULT_FIL
         else:
             out.append(c.try_cast(f.dataType).alias(f.name))
     return raw.select(*out)
+
+
+def read_named_file(spark: SparkSession, folder: str, file_name: str = DEFAULT_FILE) -> DataFrame:
+    """S9 + S10 + S12 for a folder of plain CSV files: the one named ``file_name``.
+
+    The name is matched exactly (glob characters escaped), so only that
+    file is listed and read.
+    """
+    check_file_name(file_name)
+    text_schema = StructType([StructField(f.name, StringType(), True) for f in schemas.OPS_CSV_V1.fields])
+    exact = "".join(f"[{ch}]" if ch in "*?[]{}\\" else ch for ch in file_name)
+    raw = (spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", exact)
+           .option("recursiveFileLookup", "false").schema(text_schema).csv(folder))
+    return _retype(raw)
+
+
+def read_selected(spark: SparkSession, folder: str, file_name: str = DEFAULT_FILE) -> DataFrame:
+    """S9 + S10 + S12: the chosen file's rows, typed; bad values become null."""
+    check_file_name(file_name)
+    text_schema = StructType([StructField(f.name, StringType(), True)
+                              for f in schemas.OPS_CSV_V1.fields]
+                             + [StructField("file_name", StringType(), True)])
+    raw = spark.read.options(**CSV_OPTIONS).schema(text_schema).csv(folder)
+    raw = raw.where(F.col("file_name") == F.lit(file_name))
+    return _retype(raw)

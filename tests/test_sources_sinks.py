@@ -95,3 +95,16 @@ def test_gold_tables_created_and_copied(spark, tmp_path):
     assert sinks.copy_to_gold(spark, ops, cfg) == {sinks.GOLD_LOGS: None, sinks.GOLD_CONFIG: None}
     assert spark.table(f"{sinks.GOLD_DB}.{sinks.GOLD_LOGS}").count() == 1
     assert sinks.preview(spark.table(f"{sinks.GOLD_DB}.{sinks.GOLD_CONFIG}")).count() == 1
+
+
+def test_csv_named_file_in_plain_folder(spark, tmp_path):
+    header = "cycle,schema,table,row_count,distinct_row_count,column,status,start_time,end_time,duration(s),duration(min),error,line_number\n"
+    (tmp_path / "LMS_LMSDM_Logs_3_Cycles.csv").write_bytes(
+        (header + "1,S,T,12,3,C,Passed,2024-01-01 10:00:00,2024-01-01 10:01:00,60,1.0,café,4\n").encode("cp1252"))
+    (tmp_path / "execution_log_azure_mssql.csv").write_bytes(
+        (header + "1,S,T,x,3,C,Failed,,,0,0,,9\n").encode("cp1252"))
+    rows = csv_v1.read_named_file(spark, str(tmp_path), "LMS_LMSDM_Logs_3_Cycles.csv").collect()
+    assert [(r["row_count"], r["error"], r["duration(s)"], r["start_time"]) for r in rows] == [
+        (12, "café", 60, dt.datetime(2024, 1, 1, 10, 0))]
+    other = csv_v1.read_named_file(spark, str(tmp_path), "execution_log_azure_mssql.csv").collect()
+    assert [(r["row_count"], r["status"], r["end_time"], r["error"]) for r in other] == [(None, "Failed", None, "")]
