@@ -41,6 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # Python call-site capture for error messages costs about five py4j
+        # round trips per Column function while plans are built
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)
