@@ -46,21 +46,28 @@ def _last_key_wins(df: DataFrame) -> None:
     df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
 
 
-def parse_config(c: Column) -> Column:
+def _parse_text(text: Column) -> Column:
+    parsed = F.from_json(text, CONFIG_TYPE, JSON_OPTIONS)
+    ends_ok = F.regexp_replace(text, r"[ \t\n\r]+$", "").endswith("}")
+    return F.when(ends_ok, parsed)
+
+
+def parse_config(c: Column, raw_first: bool = False) -> Column:
     """Config text -> nested maps, duplicate keys resolved as Python does.
 
     Null when the text is not JSON of the expected shape, or when text follows
-    the closing brace.
+    the closing brace. The original always un-doubles quotes first, which
+    breaks a normally quoted config holding an empty string (Q9); with
+    ``raw_first`` the text is parsed as it is and un-doubled only if that fails.
     """
-    text = undouble_quotes(c)
-    parsed = F.from_json(text, CONFIG_TYPE, JSON_OPTIONS)
-    ends_ok = F.regexp_replace(text, r"[ \t\n\r]+$", "").endswith("}")
-    deduped = F.transform_values(
+    parsed = _parse_text(undouble_quotes(c))
+    if raw_first:
+        parsed = F.coalesce(_parse_text(c), parsed)
+    return F.transform_values(
         _dedup(parsed),
         lambda _s, tables: F.transform_values(
             _dedup(tables),
             lambda _t, cols: F.transform(cols, lambda e: F.when(e.isNotNull(), _dedup(e)))))
-    return F.when(ends_ok, deduped)
 
 
 def config_problem(parsed: Column, raw: Column) -> Column:
@@ -84,17 +91,18 @@ def config_problem(parsed: Column, raw: Column) -> Column:
 
 
 def flatten_config(bronze: DataFrame, config_col: str = "config", with_lookup: bool = True,
-                   keep_problem: bool = False) -> DataFrame:
+                   keep_problem: bool = False, raw_first: bool = False) -> DataFrame:
     """C3-C7 (+F13): one row per configured column, Silver config schema.
 
     ``object_id`` is cast to int; with ``with_lookup`` the optional ``lookup``
     is '' when absent and null when given as null (ten-column form), else the
     nine-column form (C8). Documents with a problem are left out unless
-    ``keep_problem`` (then a ``problem`` column tells which).
+    ``keep_problem`` (then a ``problem`` column tells which). ``raw_first``:
+    see :func:`parse_config`.
     """
     _last_key_wins(bronze)
     raw = F.col(config_col)
-    docs = bronze.select("object_id", raw.alias("_raw"), parse_config(raw).alias("_cfg"))
+    docs = bronze.select("object_id", raw.alias("_raw"), parse_config(raw, raw_first).alias("_cfg"))
     docs = docs.select("object_id", "_cfg", F.coalesce(
         config_problem(F.col("_cfg"), F.col("_raw")),
         F.when(F.col("object_id").isNotNull() & F.col("object_id").try_cast("int").isNull(),

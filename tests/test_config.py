@@ -81,3 +81,11 @@ def test_config_plan_parses_each_document_once(spark):
     b = _bronze(spark, [("1", json.dumps({"S": {"T": [EL]}}))])
     plan = config.flatten_config(b)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_raw_first_keeps_empty_strings(spark):
+    text = json.dumps({"S": {"T": [dict(EL, pattern_name="")]}})
+    b = _bronze(spark, [("1", text), ("2", text.replace('"', '""').replace('""""', '""'))])
+    assert config.flatten_config(b).count() == 0  # the original loses both
+    rows = config.flatten_config(b, raw_first=True).collect()
+    assert [(r["object_id"], r["pattern_name"]) for r in rows] == [(1, "")]
