@@ -57,13 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only an unconfigured (test) session gets a fresh local scratch folder.
+    is (also handed to the SparkContext for ``DataFrame.checkpoint``). Only an
+    unconfigured session (tests) gets a fresh local scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="masklens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
