@@ -13,7 +13,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from masklens import schemas
 
 # Fixed load stamp of fixture Bronze rows, so results are repeatable.
 FIXTURE_LOAD_DATE = _dt.datetime(2024, 2, 1, 0, 0, 0)

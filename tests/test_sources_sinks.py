@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from masklens import schemas
 from masklens.operators import sinks
