@@ -8,8 +8,6 @@ the manifest is an equi-join on the file name derived from the object id.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +65,3 @@ def landed_halves(manifest: DataFrame, configs: DataFrame, logs: DataFrame) -> t
     lg = logs.join(m, logs["filename"] == log_file_name(m["_oid"]), "left_semi")
     return c, lg
 
-
-def default_load_date() -> _dt.datetime:
-    return _dt.datetime.now()
