@@ -30,8 +30,13 @@ _PY_FLOAT_RE = (
 
 
 def py_strip(c: Column) -> Column:
-    """``str.strip()``: drop leading and trailing Python whitespace."""
-    return F.regexp_replace(c, r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$", "")
+    """``str.strip()``: drop leading and trailing Python whitespace.
+
+    The trailing run is matched only from its first character (lookbehind),
+    so a long run inside the text costs linear, not quadratic, time.
+    """
+    return F.regexp_replace(
+        c, r"(?U)^[\s\x{1c}-\x{1f}]+|(?<![\s\x{1c}-\x{1f}])[\s\x{1c}-\x{1f}]+$|^[\s\x{1c}-\x{1f}]+$", "")
 
 
 def py_split(c: Column) -> Column:
@@ -71,7 +76,7 @@ def parse_log_time(c: Column) -> Column:
 
 def _float_strip(c: Column) -> Column:
     # float() trims Unicode White_Space only; unlike str.strip() it keeps U+001C..U+001F
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s+|(?<!\s)\s+$|^\s+$", "")
 
 
 def py_float(c: Column) -> Column:

@@ -48,7 +48,8 @@ def _last_key_wins(df: DataFrame) -> None:
 
 def _parse_text(text: Column) -> Column:
     parsed = F.from_json(text, CONFIG_TYPE, JSON_OPTIONS)
-    ends_ok = F.regexp_replace(text, r"[ \t\n\r]+$", "").endswith("}")
+    # trailing JSON whitespace; the lookbehind keeps the match linear
+    ends_ok = F.regexp_replace(text, r"(?<![ \t\n\r])[ \t\n\r]+$", "").endswith("}")
     return F.when(ends_ok, parsed)
 
 
