@@ -321,7 +321,9 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
         return df.join(o, cond, how).drop(*[f"_ck_{k}" for k in jk])
 
     def with_carries(df: DataFrame, carries: DataFrame) -> DataFrame:
-        return join_keys(df, carries, "left")
+        # hash join built on the small carry table (one row per chunk): the line
+        # side keeps its partitioning and order, so only the windows sort it
+        return join_keys(df, carries.hint("shuffle_hash"), "left")
 
     # round 1: last values per chunk, carried over the chunks before
     s1 = base.groupBy(*ck).agg(
