@@ -201,13 +201,13 @@ def q_csv_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_gold_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver operations conformed to the Gold logs table."""
+    """Silver operations conformed to the Gold logs table (the rows the K6 copy writes)."""
     ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
     return sinks.gold_logs(ops)
 
 
 def q_gold_config_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver config conformed to the Gold config table."""
+    """Silver config conformed to the Gold config table (the rows the K7 copy writes)."""
     return sinks.gold_config(config.flatten_config(fcfg_bronze(spark, sf_dir)))
 
 
@@ -234,7 +234,7 @@ def q_config_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land files, Bronze, Silver, join, Gold, read back.
+    """Land files, Bronze, Silver, join, feed, Gold copies, read back.
 
     Every stage is written and the next stage reads the written table.
     """
