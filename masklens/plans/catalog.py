@@ -234,7 +234,7 @@ def q_config_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land files, Bronze, Silver, join, feed, Gold copies, read back.
+    """K1-K10 (K4 as one ten-column append, Q14), S4-S7, S11: land, Bronze, Silver, join, feed, Gold, read back.
 
     Every stage is written and the next stage reads the written table.
     """
