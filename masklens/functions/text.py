@@ -18,7 +18,10 @@ _WS_CLASS = r"[\s\x{1c}-\x{1f}]"
 
 # ``%d/%m/%Y %H:%M:%S`` after strip(): the format's space matches any run of
 # whitespace; day/month/hour/minute/second take one or two digits, year four.
-_TIME_RE = (r"(?U)^(\d{1,2})/(\d{1,2})/(\d{4})" + _WS_CLASS + r"+(\d{1,2}):(\d{1,2}):(\d{1,2})$")
+# ASCII digits only (as before: non-ASCII digits never parsed), so that the
+# extraction below finds exactly the six groups the shape check saw
+_TIME_RE_PADDED = (r"(?U)^" + _WS_CLASS + r"*[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}" + _WS_CLASS
+                   + r"+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}" + _WS_CLASS + r"*$")
 
 # Python float() grammar: optional sign, digits with single underscores
 # between them, optional fraction and exponent, or inf/infinity/nan.
@@ -58,19 +61,21 @@ def parse_log_time(c: Column) -> Column:
     """``datetime.strptime(c.strip(), "%d/%m/%Y %H:%M:%S")`` or null.
 
     Returns TIMESTAMP_NTZ, like Python's naive datetime, so differences are
-    wall-clock seconds whatever the session time zone.
+    wall-clock seconds whatever the session time zone. Two regex passes per
+    value: the shape check (surrounding whitespace allowed, as strip() drops
+    it) and one extraction of the six digit groups.
     """
-    s = py_strip(c)
-    ok = s.rlike(_TIME_RE)
+    ok = c.rlike(_TIME_RE_PADDED)
+    parts = F.regexp_extract_all(c, F.lit(r"([0-9]+)"), 1)
 
     def part(i: int) -> Column:
-        return F.regexp_extract(s, _TIME_RE, i).cast("int")
+        return F.try_element_at(parts, F.lit(i)).cast("int")
 
-    year, second = part(3), part(6)
+    day, month, year, hour, minute, second = (part(i) for i in range(1, 7))
     # make_timestamp would roll second 60 over to the next minute; strptime refuses it
     return F.when(
         ok & (year >= 1) & (second <= 59),
-        F.try_make_timestamp_ntz(year, part(2), part(1), part(4), part(5), part(6)),
+        F.try_make_timestamp_ntz(year, month, day, hour, minute, second),
     )
 
 
