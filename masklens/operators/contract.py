@@ -183,6 +183,20 @@ def parse_landed_lines(lines: DataFrame, order_cols: list[str], line_col: str =
                                    cycle_index=cycle_index)
 
 
+def only_new_documents(bronze: DataFrame, processed: DataFrame,
+                       ident: tuple[str, ...] = ("object_id", "load_date")) -> DataFrame:
+    """Q13 (batch form): Bronze rows whose (object id, load date) was not processed yet.
+
+    ``processed`` holds the identity columns of documents already parsed (for
+    example the quarantine and a processed-documents table). A left anti join,
+    null-safe on every identity column; Spark chooses broadcast or shuffle from
+    the sizes.
+    """
+    seen = processed.select(*[F.col(c).alias(f"_seen_{c}") for c in ident]).distinct()
+    cond = [bronze[c].eqNullSafe(seen[f"_seen_{c}"]) for c in ident]
+    return bronze.join(seen, cond, "left_anti")
+
+
 def silver_operations(bronze: DataFrame, processed_time=None,
                       processed_by: str = DEFAULT_PROCESSED_BY, **kw) -> DataFrame:
     """Bronze -> Silver ``masking_logs_results`` rows (the good documents)."""

@@ -257,3 +257,13 @@ def test_landed_lines_match_fold(spark):
         exp, _ = _expected(text)
         mine = [{k: r[k] for k in exp[0]} if exp else {} for r in got.get(str(i), [])]
         assert sorted(map(strip, mine), key=repr) == sorted(map(strip, exp), key=repr), f"doc {i}"
+
+
+def test_only_new_documents(spark):
+    schema = "object_id string, config string, masking_log string, load_date timestamp"
+    bronze = spark.createDataFrame([("1", None, "a", LOAD), ("2", None, "b", LOAD), (None, None, "c", LOAD),
+                                    ("1", None, "a", dt.datetime(2024, 3, 1))], schema)
+    seen = spark.createDataFrame([("1", LOAD), (None, LOAD)], "object_id string, load_date timestamp")
+    new = contract.only_new_documents(bronze, seen).collect()
+    assert sorted((r["object_id"], r["load_date"]) for r in new) == [
+        ("1", dt.datetime(2024, 3, 1)), ("2", LOAD)]
