@@ -145,7 +145,8 @@ def quarantine_documents(bronze: DataFrame, ops: DataFrame, log_col: str = "mask
         F.any_value("object_id").alias("object_id"),
         F.any_value("load_date").alias("load_date"),
         F.any_value("copies").alias("copies"),
-        F.max(F.coalesce(F.col("bad_reason"), F.lit("object_id is not an integer"))).alias("reason"))
+        # a parse failure is the reason; a bad id only when the parse was fine
+        F.coalesce(F.max("bad_reason"), F.lit("object_id is not an integer")).alias("reason"))
     bad = expand_copies(per_doc)
     return no_log.unionByName(bad.select("object_id", "load_date", "reason"))
 

@@ -70,7 +70,7 @@ fl AS (
     contains(msg, 'COLUMN') AND contains(msg, 'Mask Finished') AS fin,
     (contains(msg, 'TABLE') AND contains(msg, 'Mask') AND contains(msg, 'Ended'))
     OR (contains(msg, 'MASKING') AND contains(msg, 'HAS') AND contains(msg, 'STARTED')) AS endc,
-    toks[3] AS t2, toks[5] AS t4, toks[6] AS t5, toks[9] AS t8
+    toks[3] AS t2, toks[5] AS t4, toks[6] AS t5, toks[9] AS t8, len(toks) AS ntok
   FROM valid
 ),
 fold(object_id, rn, cyc, sch, tbl, col, live, st, rws, dst, err, fk, fc, ft, status,
@@ -331,19 +331,72 @@ cfg_reason AS (
   FROM cfg_top
 )"""
 
-QUARANTINE = "WITH RECURSIVE " + MASK_FOLD + """,
-users AS (SELECT DISTINCT user_id FROM events),
-with_ops AS (SELECT DISTINCT CAST(object_id AS BIGINT) AS u FROM ops),""" + CFG_FAULT_REASONS + """
-SELECT 'log' AS source,
-  CASE WHEN user_id % 10 = 4 THEN 'obj-' || CAST(user_id AS VARCHAR) ELSE CAST(user_id AS VARCHAR) END AS object_id,
-  CASE user_id % 10 WHEN 1 THEN 'line too short for its token' WHEN 2 THEN 'count is not a number'
-    WHEN 3 THEN 'log is null' ELSE 'object_id is not an integer' END AS reason
-FROM users
-WHERE user_id % 10 IN (1, 2, 3) OR (user_id % 10 = 4 AND user_id IN (SELECT u FROM with_ops))
+# F-BAD logs: the F-LOG lines with the same appended lines and id changes as
+# the Spark fixture; the reasons come from the fold and DuckDB's own tests.
+_BAD_FLOG = """
+flog AS (
+  SELECT CASE WHEN CAST(object_id AS BIGINT) % 10 = 4 THEN 'obj-' || object_id ELSE object_id END AS object_id,
+    ts, event_id, line
+  FROM flog_events WHERE CAST(object_id AS BIGINT) % 10 <> 3
+  UNION ALL
+  SELECT CAST(u.user_id AS VARCHAR), TIMESTAMP '2024-02-01 00:00:00' + INTERVAL (x.i) SECOND, 1000000000 + x.i, x.line
+  FROM (SELECT DISTINCT user_id FROM events) u,
+    (VALUES (1, 0, '01/02/2024 00:00:00 :: CALCULATED Row for = x'),
+            (2, 1, '01/02/2024 00:00:01 :: COLUMN : Q Mask Started'),
+            (2, 2, '01/02/2024 00:00:02 :: CALCULATED Distinct Row Count = 1,000'),
+            (2, 3, '01/02/2024 00:00:03 :: COLUMN : Q Mask Finished')) AS x(fault, i, line)
+  WHERE u.user_id % 10 = x.fault
+),"""
+BAD_MASK_FOLD = MASK_FOLD.replace("\nflog AS (", "\nflog_events AS (", 1).replace(
+    "\nnumbered AS (", _BAD_FLOG + "\nnumbered AS (", 1)
+
+QUARANTINE = "WITH RECURSIVE " + BAD_MASK_FOLD + """,
+short_docs AS (
+  SELECT DISTINCT object_id FROM fl
+  WHERE (r2 AND ntok < 5) OR (r3 AND ntok < 3) OR (r4 AND ntok < 3) OR (r5 AND ntok < 9) OR (r7 AND ntok < 6)
+),
+bad_count_docs AS (
+  SELECT DISTINCT object_id FROM ops
+  WHERE (row_count IS NOT NULL AND TRY_CAST(row_count AS DOUBLE) IS NULL)
+     OR (distinct_row_count IS NOT NULL AND TRY_CAST(distinct_row_count AS DOUBLE) IS NULL)
+),
+op_docs AS (SELECT DISTINCT object_id FROM ops),
+log_reason AS (
+  SELECT d.object_id, CASE
+      WHEN d.object_id IN (SELECT object_id FROM short_docs) THEN 'line too short for its token'
+      WHEN d.object_id IN (SELECT object_id FROM bad_count_docs) THEN 'count is not a number'
+      WHEN d.object_id IN (SELECT object_id FROM op_docs) AND TRY_CAST(d.object_id AS INTEGER) IS NULL
+        THEN 'object_id is not an integer'
+    END AS reason
+  FROM (SELECT DISTINCT object_id FROM flog) d
+),""" + CFG_FAULT_REASONS + """
+SELECT 'log' AS source, object_id, reason FROM log_reason WHERE reason IS NOT NULL
+UNION ALL
+SELECT 'log' AS source, CAST(user_id AS VARCHAR) AS object_id, 'log is null' AS reason
+FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 10 = 3
 UNION ALL
 SELECT 'config' AS source, CAST(oid AS VARCHAR) AS object_id, reason FROM cfg_reason WHERE reason IS NOT NULL"""
 
-QUARANTINE_SURVIVORS = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) % 10 NOT IN (1, 2, 3, 4)"
+_BAD_DOC_TESTS = """,
+short_docs AS (
+  SELECT DISTINCT object_id FROM fl
+  WHERE (r2 AND ntok < 5) OR (r3 AND ntok < 3) OR (r4 AND ntok < 3) OR (r5 AND ntok < 9) OR (r7 AND ntok < 6)
+),
+bad_count_docs AS (
+  SELECT DISTINCT object_id FROM ops
+  WHERE (row_count IS NOT NULL AND TRY_CAST(row_count AS DOUBLE) IS NULL)
+     OR (distinct_row_count IS NOT NULL AND TRY_CAST(distinct_row_count AS DOUBLE) IS NULL)
+),
+good_ops AS (
+  SELECT * FROM ops
+  WHERE object_id NOT IN (SELECT object_id FROM short_docs)
+    AND object_id NOT IN (SELECT object_id FROM bad_count_docs)
+    AND TRY_CAST(object_id AS INTEGER) IS NOT NULL
+)"""
+
+# the good documents of the faulty input, parsed by the same fold
+QUARANTINE_SURVIVORS = ("WITH RECURSIVE " + BAD_MASK_FOLD + _BAD_DOC_TESTS
+                        + SILVER_BODY.replace("\nFROM ops", "\nFROM good_ops"))
 
 CONFIG_SURVIVORS = "WITH " + CFG_ROWS + " SELECT * FROM cfg WHERE object_id % 7 = 0"
 
