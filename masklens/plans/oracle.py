@@ -398,7 +398,8 @@ good_ops AS (
 QUARANTINE_SURVIVORS = ("WITH RECURSIVE " + BAD_MASK_FOLD + _BAD_DOC_TESTS
                         + SILVER_BODY.replace("\nFROM ops", "\nFROM good_ops"))
 
-CONFIG_SURVIVORS = "WITH " + CFG_ROWS + " SELECT * FROM cfg WHERE object_id % 7 = 0"
+CONFIG_SURVIVORS = ("WITH " + CFG_ROWS + "," + CFG_FAULT_REASONS
+                    + " SELECT * FROM cfg WHERE object_id IN (SELECT oid FROM cfg_reason WHERE reason IS NULL)")
 
 TABLE_LIFECYCLE = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) < 49"
 

@@ -267,3 +267,12 @@ def test_only_new_documents(spark):
     new = contract.only_new_documents(bronze, seen).collect()
     assert sorted((r["object_id"], r["load_date"]) for r in new) == [
         ("1", dt.datetime(2024, 3, 1)), ("2", LOAD)]
+
+
+def test_parse_failure_outranks_bad_id(spark):
+    text = "01/01/2024 10:00:00 :: COLUMN : C1 Mask Started\n01/01/2024 10:01:00 :: CALCULATED Row for = x\n" \
+           "01/01/2024 10:05:00 :: COLUMN : C1 Mask Finished"
+    bronze = spark.createDataFrame([("x1", None, text, LOAD)],
+                                   "object_id string, config string, masking_log string, load_date timestamp")
+    q = contract.quarantine_documents(bronze, contract.parse_masking_logs(bronze)).collect()
+    assert [(r["object_id"], r["reason"]) for r in q] == [("x1", "line too short for its token")]
