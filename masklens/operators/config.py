@@ -139,9 +139,12 @@ def config_union(bronze: DataFrame, config_col: str = "config") -> DataFrame:
     """Both appends of one run as a single union by name.
 
     The nine-column rows get a null ``lookup``, as the shared table would.
+    Each configured column is parsed once and emitted in both forms (a
+    two-element explode), instead of parsing every document twice.
     """
-    return config_nine_columns(bronze, config_col).unionByName(
-        flatten_config(bronze, config_col), allowMissingColumns=True)
+    rows = flatten_config(bronze, config_col)
+    both = rows.select("*", F.explode(F.array(F.lit(9), F.lit(10))).alias("_form"))
+    return both.withColumn("lookup", F.when(F.col("_form") == 10, F.col("lookup"))).drop("_form")
 
 
 def config_quarantine(bronze: DataFrame, config_col: str = "config") -> DataFrame:
