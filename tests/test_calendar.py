@@ -37,3 +37,14 @@ def test_relate_and_drilldown(spark):
     assert sorted((r["Month"], r["Day"], r["v"]) for r in by_level[0]) == [("April", 1, 4.0), ("January", 5, 3.0)]
     plan = rel._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_large_calendar_is_not_forced_into_a_broadcast(spark):
+    fact = spark.createDataFrame([(dt.datetime(2024, 1, 5),)], "t timestamp")
+    dim, _ = calendar.date_dimension(fact, "t")
+    daily = fact.select(F.to_date("t").alias("_d"))
+    forced = calendar.relate_dates(daily, dim, 10, "_d", "")._jdf.queryExecution().optimizedPlan().toString()
+    free = calendar.relate_dates(daily, dim, calendar.MAX_BROADCAST_DAYS + 1, "_d", "")
+    assert "broadcast" in forced.lower()
+    assert "broadcast" not in free._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert free.count() == 1
