@@ -112,20 +112,23 @@ def f_cfg_bronze(part: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -
 
 
 def f_man(pages: DataFrame, documents_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """F-MAN: (manifest, landed config files, landed log files).
+    """F-MAN: (manifest, landed config files, landed log files), from whole tables.
 
-    One manifest row per page; a config file landed for pages with
-    ``page_id % 5 <> 0`` (content = the page's html), a log file for documents
-    with ``doc_id % 3 <> 0`` (content = the document's text).
+    Every page is landed as a config file (its html) and every document as a
+    log file (its text); the manifest lists every page id and document id.
+    Ids present in only one table have only one file landed, so the
+    "both files present" rule (F3) keeps some manifest rows and drops others.
     """
-    manifest = pages.select(
-        F.col("page_id").cast("string").alias("objectID"),
-        F.col("url").alias("Results"),
-        F.concat(F.col("url"), F.lit("#logs")).alias("Logs"))
-    configs = pages.where(F.col("page_id") % 5 != 0).select(
+    ids = pages.select(F.col("page_id").alias("oid")).union(
+        documents_.select(F.col("doc_id").alias("oid"))).distinct()
+    manifest = ids.select(
+        F.col("oid").cast("string").alias("objectID"),
+        F.concat(F.lit("landing/"), F.col("oid").cast("string"), F.lit("/results")).alias("Results"),
+        F.concat(F.lit("landing/"), F.col("oid").cast("string"), F.lit("/logs")).alias("Logs"))
+    configs = pages.select(
         F.concat(F.col("page_id").cast("string"), F.lit("_config.json")).alias("filename"),
         F.col("html").alias("content"))
-    logs = documents_.where(F.col("doc_id") % 3 != 0).select(
+    logs = documents_.select(
         F.concat(F.col("doc_id").cast("string"), F.lit("_logs.txt")).alias("filename"),
         F.col("text").alias("content"))
     return manifest, configs, logs

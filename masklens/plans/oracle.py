@@ -228,8 +228,7 @@ FROM ops GROUP BY ALL"""
 MANIFEST_DOCUMENTS = """
 SELECT CAST(p.page_id AS VARCHAR) AS object_id, p.html AS config, d.text AS masking_log,
   TIMESTAMP '2024-02-01 00:00:00' AS load_date
-FROM pages p JOIN documents d ON d.doc_id = p.page_id
-WHERE p.page_id % 5 <> 0 AND d.doc_id % 3 <> 0"""
+FROM pages p JOIN documents d ON d.doc_id = p.page_id"""
 
 ACTIVITY_FEED = """
 SELECT CAST(e.event_id AS VARCHAR) AS post_id, CAST(NULL AS VARCHAR) AS post_title,
