@@ -23,7 +23,9 @@ def documents(bronze: DataFrame, log_col: str = "masking_log",
     """Bronze rows -> one row per distinct document with its number of ``copies``.
 
     Exact copies (same identity columns and text) parse to exactly the same
-    operations, so they are parsed once and counted. The collapse is a partial
+    operations, so they are parsed once and counted. Rows are grouped by the
+    96-bit key of those columns; two different documents would share it with
+    probability about n^2 / 2^97 (1e-11 for a billion documents). The collapse is a partial
     (map-side) aggregate before the single shuffle on the document key, so a
     group of copies as large as a third of the table never reaches one task;
     the shuffle's hash partitioning is what every later window on the
