@@ -55,7 +55,9 @@ def parse_masking_logs(bronze: DataFrame, log_col: str = "masking_log",
     holds them (one scan per document). Longer ones are exploded there, their
     lines shuffled by (document, chunk) and scanned chunk by chunk, so a
     single huge log is spread over many tasks. Both branches read the same
-    document shuffle.
+    document shuffle. The chunked branch is planned only when the input could
+    hold such a document (:func:`may_hold_long_documents`); ``chunk_lines=None``
+    always uses the single scan.
     """
     docs = documents(bronze.where(F.col(log_col).isNotNull()), log_col)
     opts = dict(no_data_status=no_data_status, cycle_index=cycle_index)
