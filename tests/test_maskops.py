@@ -276,3 +276,14 @@ def test_parse_failure_outranks_bad_id(spark):
                                    "object_id string, config string, masking_log string, load_date timestamp")
     q = contract.quarantine_documents(bronze, contract.parse_masking_logs(bronze)).collect()
     assert [(r["object_id"], r["reason"]) for r in q] == [("x1", "line too short for its token")]
+
+
+def test_chunked_scan_with_null_object_id(spark):
+    rng = random.Random(29)
+    texts = [random_log(rng, 40) for _ in range(6)]
+    rows = [(None if i % 2 else str(i), None, t, LOAD) for i, t in enumerate(texts)]
+    bronze = spark.createDataFrame(rows, "object_id string, config string, masking_log string, load_date timestamp")
+    single = contract.parse_masking_logs(bronze, chunk_lines=None).drop("is_op")
+    chunked = contract.parse_masking_logs(bronze, chunk_lines=4).drop("is_op")
+    assert single.count() > 0
+    assert sorted(map(repr, single.collect())) == sorted(map(repr, chunked.collect()))
