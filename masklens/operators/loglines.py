@@ -73,9 +73,9 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     # The parse is the input of a one-element generator: a later filter on its
     # output cannot be pushed below it, so each line is parsed exactly once.
     parsed = F.inline_outer(F.array(F.struct(ts.alias("log_time"), msg.alias("message"))))
-    out = lines.select("*", parsed)
-    out = out.withColumn("valid", F.col("log_time").isNotNull() & F.col("message").isNotNull())
-    return out.withColumn("tokens", F.when(F.col("valid"), py_split(F.col("message"))))
+    valid = F.col("log_time").isNotNull() & F.col("message").isNotNull()
+    return lines.select("*", parsed).withColumns(
+        {"valid": valid, "tokens": F.when(valid, py_split(F.col("message")))})
 
 
 def valid_lines(lines: DataFrame) -> DataFrame:

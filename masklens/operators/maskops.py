@@ -165,11 +165,10 @@ def _layer1(df: DataFrame, key: tuple[str, ...], order_col: str, cycle_index: bo
         last.alias("_last"),
     )
     live = F.col("r4") | F.coalesce(F.col("_live_before"), F.lit(False))
-    l1 = l1.withColumn("fail_fired", live & ~F.col("fin") & F.col("endc"))
-    reset = F.col("fin") | F.col("fail_fired")
     f_rec = F.when(F.col("f_kind").isNotNull(), F.struct(
         F.col("f_kind").alias("kind"), F.col("column").alias("col"), F.col("table").alias("tab")))
-    l1 = l1.withColumn("f_rec", f_rec)
+    l1 = l1.withColumns({"fail_fired": live & ~F.col("fin") & F.col("endc"), "f_rec": f_rec})
+    reset = F.col("fin") | F.col("fail_fired")
     ev_fail = F.when(F.col("fin"), F.struct(F.lit(None).cast(_FAIL_T).alias("v"))).when(
         F.col("f_rec").isNotNull(), F.struct(F.col("f_rec").alias("v")))
     return l1.select("*", _cleared_event("v_rows", reset).alias("_e_rows"),
@@ -193,10 +192,12 @@ def _layer2(df: DataFrame, key: tuple[str, ...], order_col: str, chunked: bool)
         F.coalesce(F.col("v_err"), state("_e_err")).alias("error"),
         F.coalesce(F.col("f_rec"), state("_e_fail")).alias("last_fail"),
     )
-    emit = F.col("fail_fired") | (F.col("fin") & (lf.isNotNull() | F.col("column").isNotNull()))
-    l2 = l2.withColumn("is_op", F.coalesce(emit, F.lit(False)))
-    return l2.withColumn("_bad_num", F.col("is_op") & (
-        ~is_py_float(F.col("row_count")) | ~is_py_float(F.col("distinct_row_count"))))
+    emit = F.coalesce(
+        F.col("fail_fired") | (F.col("fin") & (lf.isNotNull() | F.col("column").isNotNull())), F.lit(False))
+    return l2.withColumns({
+        "is_op": emit,
+        "_bad_num": emit & (~is_py_float(F.col("row_count")) | ~is_py_float(F.col("distinct_row_count"))),
+    })
 
 
 def _assigned(no_data_status: bool) -> Column:
@@ -216,10 +217,10 @@ def _layer3(df: DataFrame, key: tuple[str, ...], order_col: str, no_data_status:
             chunked: bool) -> DataFrame:
     """The status each ending line assigns, and the carried status."""
     upto, _, whole = _windows(key, order_col)
-    l3 = df.withColumn("_assigned", _assigned(no_data_status))
-    status = F.last("_assigned", True).over(upto)
+    assigned = _assigned(no_data_status)
+    status = F.last(assigned, True).over(upto)
     bad_num_doc = F.col("c_bad_num_doc") if chunked else F.max("_bad_num").over(whole)
-    return l3.select("*", _carried(status, "c_status" if chunked else None).alias("status"),
+    return df.select("*", _carried(status, "c_status" if chunked else None).alias("status"),
                      bad_num_doc.alias("_bad_num_doc"))
 
 
