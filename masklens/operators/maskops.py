@@ -219,7 +219,9 @@ def _layer3(df: DataFrame, key: tuple[str, ...], order_col: str, no_data_status:
     upto, _, whole = _windows(key, order_col)
     assigned = _assigned(no_data_status)
     status = F.last(assigned, True).over(upto)
-    bad_num_doc = F.col("c_bad_num_doc") if chunked else F.max("_bad_num").over(whole)
+    bad_num_doc = F.max("_bad_num").over(whole)  # the whole document, or a document's only chunk
+    if chunked:
+        bad_num_doc = F.coalesce(F.col("c_bad_num_doc"), bad_num_doc)
     return df.select("*", _carried(status, "c_status" if chunked else None).alias("status"),
                      bad_num_doc.alias("_bad_num_doc"))
 
@@ -340,24 +342,30 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
         *[F.last(f"s_{n}", True).over(prev).alias(f"c_{n}")
           for n in ("schema", "table", "column", "start", "live")],
         F.max("s_short").over(every).alias("c_short_doc"),
-        F.max("s_last_line").over(every).alias("c_last_line"))
+        F.max("s_last_line").over(every).alias("c_last_line"),
+        (F.count(F.lit(1)).over(every) > 1).alias("c_multi"))
+
+    # rounds 2 and 3 only matter for documents spread over several chunks; a
+    # single-chunk document inherits nothing, so its lines skip them
+    def multi(df: DataFrame) -> DataFrame:
+        return df.where(F.col("c_multi"))
 
     # round 2: cleared values, whose clearing lines need the live flag of round 1
-    r2 = _layer1(with_carries(base, c1), ck, order_col, cycle_index, chunked=True)
+    r2 = _layer1(multi(with_carries(base, c1)), ck, order_col, cycle_index, chunked=True)
     events = ("_e_rows", "_e_dist", "_e_err", "_e_fail")
     s2 = r2.groupBy(*ck).agg(*[_last_by(F.col(e), order_col).alias(f"s{e}") for e in events])
     c2 = s2.select(*ck, *[F.last(f"s{e}", True).over(prev).alias(f"c{e}") for e in events])
-    c12 = join_keys(c1, c2, "inner")
+    c12 = join_keys(c1, c2, "left")
 
     # round 3: assigned statuses, which need the failures of round 2
-    r3 = _layer2(_layer1(with_carries(base, c12), ck, order_col, cycle_index, chunked=True),
+    r3 = _layer2(_layer1(multi(with_carries(base, c12)), ck, order_col, cycle_index, chunked=True),
                  ck, order_col, chunked=True)
     r3 = r3.withColumn("_assigned", _assigned(no_data_status))
     s3 = r3.groupBy(*ck).agg(_last_by(F.col("_assigned"), order_col).alias("s_status"),
                              F.max("_bad_num").alias("s_bad"))
     c3 = s3.select(*ck, F.last("s_status", True).over(prev).alias("c_status"),
                    F.max("s_bad").over(every).alias("c_bad_num_doc"))
-    c123 = join_keys(c12, c3, "inner")
+    c123 = join_keys(c12, c3, "left")
 
     final = _layer1(with_carries(base, c123), ck, order_col, cycle_index, chunked=True)
     final = _layer3(_layer2(final, ck, order_col, chunked=True), ck, order_col, no_data_status,
