@@ -53,6 +53,19 @@ def main(sf_dir: str = "/root/testdata/sf0.01") -> None:
         print(f"- **{name}**: " + "; ".join(
             f"`{t}` [{re.sub(r'[0-9]+', '', cols)}]" + (f" filters [{f}]" if f else "") for t, cols, f in scans))
 
+    # the flagship's physical plan as explain("formatted") prints it (operator tree part)
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES["masking_ops"](spark, sf_dir).explain("formatted")
+    tree = buf.getvalue().split("\n\n\n")[0]
+    print("\n## Flagship plan (`masking_ops`, explain formatted, operator tree)\n")
+    print("```")
+    print("\n".join(line[:160] for line in tree.splitlines()))
+    print("```")
+
 
 if __name__ == "__main__":
     main(*sys.argv[1:])
