@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from masklens.llm.bpe import encode_documents
 from masklens.llm.common import scratch, stored, table, word_count
+from masklens.llm.embeddings import near_duplicates
 from masklens.llm.mixing import mix
 from masklens.llm.pii import KINDS, pseudonymize
+from masklens.llm.topk import exact_top_k
 from masklens.llm.toxicity import score_documents
 from masklens.llm.warc import as_records, read_records, write_bundles
 
 #: the permutation key of the registered query and the pipeline; a deployment passes its own secret
 PII_KEY = b"masklens corpus key"
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -54,17 +57,65 @@ def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").try_cast("long").alias("refers_to"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest inner products of every 50th vector with all other vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), scratch(spark, "op7"), k=5)
+
+
 def op8_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every whole document by its nearest labelled examples."""
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), scratch(spark, "op8"))
 
 
-QUERIES = {
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label at cosine 0.98 or more."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"), scratch(spark, "op9"))
+
+
+_QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
     "op3_bpe_prefix_dp": op3_bpe_prefix_dp,
     "op4_warc_bundles": op4_warc_bundles,
+    "op7_exact_topk": op7_exact_topk,
     "op8_toxicity_knn": op8_toxicity_knn,
+    "op9_embedding_dedup": op9_embedding_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+
+def _bounded(fn):
+    """Python workers get batches of bounded size: long texts and packed blocks are large rows."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+QUERIES = {name: _bounded(fn) for name, fn in _QUERIES.items()}
+
+ORACLES: dict[str, str] = {
+    "op4_warc_bundles": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex,
+                     max(page_id) OVER (PARTITION BY body) AS last FROM p),
+        b AS (SELECT *, '0b' || array_to_string(list_transform(string_split(hex, ''), lambda c:
+                  substr(bin(strpos('0123456789abcdef', c) + 15), 2)), '') AS bits FROM d)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST(list_sum(list_transform(range(5), lambda j:
+                       CAST(substr(bits, CAST(3 + 5 * i + j AS BIGINT), 1) AS INTEGER) * (16 >> CAST(j AS INTEGER)))) AS BIGINT) + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+        FROM b""",
+    "op7_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+                   FROM embeddings WHERE embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
