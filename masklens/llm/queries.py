@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from masklens.llm.bpe import encode_documents
 from masklens.llm.common import scratch, stored, table, word_count
 from masklens.llm.embeddings import near_duplicates
+from masklens.llm.minhash import near_duplicates as near_duplicate_documents
 from masklens.llm.mixing import mix
 from masklens.llm.pii import KINDS, pseudonymize
 from masklens.llm.topk import exact_top_k
@@ -57,6 +58,11 @@ def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").try_cast("long").alias("refers_to"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under Jaccard similarity of five-word shingles of 0.85 or more."""
+    return near_duplicate_documents(table(spark, sf_dir, "documents"), scratch(spark, "op5"), percent=85)
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 largest inner products of every 50th vector with all other vectors."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -78,6 +84,7 @@ _QUERIES = {
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
     "op3_bpe_prefix_dp": op3_bpe_prefix_dp,
     "op4_warc_bundles": op4_warc_bundles,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op7_exact_topk": op7_exact_topk,
     "op8_toxicity_knn": op8_toxicity_knn,
     "op9_embedding_dedup": op9_embedding_dedup,
