@@ -11,6 +11,7 @@ from masklens.llm.embeddings import near_duplicates
 from masklens.llm.minhash import near_duplicates as near_duplicate_documents
 from masklens.llm.mixing import mix
 from masklens.llm.pii import KINDS, pseudonymize
+from masklens.llm.suffixes import remove_repeats
 from masklens.llm.topk import exact_top_k
 from masklens.llm.toxicity import score_documents
 from masklens.llm.warc import as_records, read_records, write_bundles
@@ -63,6 +64,11 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_documents(table(spark, sf_dir, "documents"), scratch(spark, "op5"), percent=85)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove from every whole document the 50-byte passages that begin in a document of a smaller id."""
+    return remove_repeats(table(spark, sf_dir, "documents"), scratch(spark, "op6"), width=50).drop("spans")
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 largest inner products of every 50th vector with all other vectors."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -85,6 +91,7 @@ _QUERIES = {
     "op3_bpe_prefix_dp": op3_bpe_prefix_dp,
     "op4_warc_bundles": op4_warc_bundles,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_exact_topk": op7_exact_topk,
     "op8_toxicity_knn": op8_toxicity_knn,
     "op9_embedding_dedup": op9_embedding_dedup,
