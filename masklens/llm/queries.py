@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from masklens.llm.bpe import encode_documents
 from masklens.llm.common import scratch, stored, table, word_count
 from masklens.llm.embeddings import near_duplicates
+from masklens.llm.licenses import scan
 from masklens.llm.minhash import near_duplicates as near_duplicate_documents
 from masklens.llm.mixing import mix
 from masklens.llm.pii import KINDS, pseudonymize
@@ -85,6 +86,11 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), scratch(spark, "op9"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all pages: own notices, and those inherited along the URL's directories."""
+    return scan(table(spark, sf_dir, "pages"), scratch(spark, "op10"))
+
+
 _QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -95,14 +101,19 @@ _QUERIES = {
     "op7_exact_topk": op7_exact_topk,
     "op8_toxicity_knn": op8_toxicity_knn,
     "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 
-def _bounded(fn):
+def bounded_batches(spark: SparkSession) -> None:
     """Python workers get batches of bounded size: long texts and packed blocks are large rows."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+
+
+def _bounded(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key, value in BATCHES.items():
-            spark.conf.set(key, value)
+        bounded_batches(spark)
         return fn(spark, sf_dir)
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     return run
