@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from masklens.llm.common import stored
@@ -61,33 +61,28 @@ def needed_words(vectors: list[tuple[str, dict[str, float]]], least: float) -> l
     return sorted(needed)
 
 
-def best_notice(segment: Column) -> Column:
-    """struct(score, license) of the nearest template, for a text segment; words outside the templates count
-    once each at the largest weight."""
+def best_notices(segments: DataFrame) -> DataFrame:
+    """(uid, score, license) of the nearest template to any segment (uid, k, segment) of a uid.
+
+    Sparse vectors by join: a segment's words meet the template words (a table of bounded size) and add up to
+    one product per template. Words outside the templates count once each at the largest weight.
+    """
     idf, vectors = template_weights()
-    words = sorted(idf)
+    spark = segments.sparkSession
+    products = [f"t{i}" for i in range(len(vectors))]
+    known = spark.createDataFrame([(w, idf[w], *[own.get(w, 0.0) for _, own in vectors]) for w in sorted(idf)],
+                                  "word string, idf double, " + ", ".join(f"{t} double" for t in products))
     far = math.log(1 + len(TEMPLATES)) + 1
-    known = F.array(*[F.lit(w) for w in words])
-    weights = F.array(*[F.lit(idf[w]) for w in words])
-    tokens = F.regexp_extract_all(F.lower(segment), F.lit(f"({TOKEN})"), 1)
-
-    def of(tokens: Column) -> Column:
-        some = F.filter(tokens, lambda t: F.array_contains(known, t))
-        tf = F.zip_with(known, weights, lambda w, i: F.when(F.array_contains(some, w), (
-            F.lit(1.0) + F.log(F.size(F.filter(some, lambda t: t == w)).cast("double"))) * i).otherwise(F.lit(0.0)))
-        others = F.size(F.array_except(tokens, known)).cast("double")
-        return F.transform(F.array(F.struct(tf.alias("tf"), others.alias("others"))), lambda v: scored(v))[0]
-
-    def scored(v: Column) -> Column:
-        norm = F.sqrt(F.aggregate(v["tf"], v["others"] * F.lit(far * far), lambda s, x: s + x * x))
-        each = []
-        for name, own in vectors:
-            dot = F.aggregate(F.zip_with(v["tf"], F.array(*[F.lit(own.get(w, 0.0)) for w in words]), lambda x, y: x * y),
-                              F.lit(0.0), lambda s, x: s + x)
-            each.append(F.struct(F.round(dot / norm, 6).alias("score"), F.lit(name).alias("license")))
-        return F.array_max(F.array(*each))
-
-    return F.transform(F.array(tokens), of)[0]
+    words = (segments.select("uid", "k", F.explode(F.regexp_extract_all(F.lower("segment"), F.lit(f"({TOKEN})"), 1)).alias("word"))
+             .groupBy("uid", "k", "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+             .join(F.broadcast(known), "word", "left")
+             .withColumn("x", F.when(F.col("idf").isNull(), F.lit(far)).otherwise((F.log("tf") + 1.0) * F.col("idf"))))
+    summed = words.groupBy("uid", "k").agg(F.sum(F.col("x") * F.col("x")).alias("square"),
+                                           *[F.sum(F.col("x") * F.col(t)).alias(t) for t in products])
+    nearest = F.greatest(*[F.struct(F.round(F.coalesce(F.col(t), F.lit(0.0)) / F.sqrt("square"), 6).alias("score"),
+                                    F.lit(name).alias("license")) for t, (name, _) in zip(products, vectors, strict=True)])
+    return (summed.select("uid", nearest.alias("near")).groupBy("uid").agg(F.max("near").alias("near"))
+            .select("uid", F.col("near")["score"].alias("score"), F.col("near")["license"].alias("license")))
 
 
 def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "url", body: str = "html",
@@ -102,7 +97,7 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
     texts have no notice; a null or odd URL has no directory and inherits nothing; repeated rows get equal
     results; an empty table gives an empty result; other columns are not read.
 
-    Scale: texts are read once and never shuffled. Ancestors are looked up once per distinct directory
+    Scale: texts are read once and never shuffled; only lines that can reach ``least`` are. Ancestors are looked up once per distinct directory
     (pre-aggregated), and files join their directory's answer; both sides are stored, so that adaptive
     execution can split a host or directory that holds a third of all files.
     """
@@ -119,10 +114,13 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
             .withColumn("dir", F.regexp_extract("path", r"^(.*/)[^/]*$", 1)))
     lines = F.filter(F.split("plain", r"\R"), lambda x: x.rlike(hint))
     segments = F.when(F.col("is_file"), F.concat(lines, F.array("plain"))).otherwise(lines)
-    scored = stored(rows.withColumn("best", F.array_max(F.transform(segments, best_notice)))
-                    .withColumn("own", F.when(F.col("best")["score"] >= least, F.col("best")))
-                    .select("page_id", "host", "path", "dir", "is_file", F.col("own")["license"].alias("own_license"),
-                            F.col("own")["score"].alias("own_score")), f"{path}/scored")
+    # the row number is fixed by the write: every later table goes by it
+    cut = stored(rows.select(F.monotonically_increasing_id().alias("uid"), "page_id", "host", "path", "dir", "is_file",
+                             segments.alias("segments")), f"{path}/cut")
+    near = best_notices(cut.select("uid", F.posexplode("segments").alias("k", "segment"))).where(F.col("score") >= least)
+    scored = stored(cut.drop("segments").join(near, "uid", "left").select(
+        "page_id", "host", "path", "dir", "is_file", F.col("license").alias("own_license"),
+        F.col("score").alias("own_score")), f"{path}/scored")
     said = (scored.where(F.col("own_license").isNotNull() & F.col("host").isNotNull()
                          & (F.col("is_file") | F.col("path").endswith("/")))
             .groupBy("host", "dir").agg(F.max(F.struct("is_file", "own_score", "own_license")).alias("said"))
