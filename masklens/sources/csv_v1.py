@@ -3,15 +3,16 @@
 The model picks one file by name from a folder (a required parameter with a
 list of allowed values), reads it as comma-separated text in code page 1252
 with quotes not special, promotes the header and retypes the columns, where a
-value that does not convert becomes null. Here the folder is a CSV dataset
-partitioned by ``file_name``, so choosing a file is partition pruning.
+value that does not convert becomes null. Columns are bound by the names in
+the chosen file's own header, in whatever order they stand there. The folder
+holds plain files, or folders ``file_name=...`` as Spark writes them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
 from masklens import schemas
 
@@ -50,11 +51,16 @@ def write_ops_csv(fact: DataFrame, folder: str, file_col: str = "file_name") ->
 
 def _retype(raw: DataFrame) -> DataFrame:
     """Promoted header columns retyped; a value that does not convert is null."""
+    missing = [f.name for f in schemas.OPS_CSV_V1.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"the file's header lacks {', '.join(missing)}")
     out = []
     for f in schemas.OPS_CSV_V1.fields:
         c = F.col(f"`{f.name}`")
         if f.name in ("start_time", "end_time"):
-            out.append(F.try_to_timestamp(c, F.lit(TEXT_TIME_FMT)).cast("timestamp_ntz").alias(f.name))
+            # the text format first, then whatever else Spark reads as a date and time
+            known = F.try_to_timestamp(c, F.lit(TEXT_TIME_FMT)).cast("timestamp_ntz")
+            out.append(F.coalesce(known, c.try_cast("timestamp_ntz")).alias(f.name))
         elif isinstance(f.dataType, StringType):
             # an empty field is empty text (unquoted CSV cannot tell it from null)
             out.append(F.coalesce(c, F.lit("")).alias(f.name))
@@ -70,19 +76,16 @@ def read_named_file(spark: SparkSession, folder: str, file_name: str = DEFAULT_F
     file is listed and read.
     """
     check_file_name(file_name)
-    text_schema = StructType([StructField(f.name, StringType(), True) for f in schemas.OPS_CSV_V1.fields])
     exact = "".join(f"[{ch}]" if ch in "*?[]{}\\" else ch for ch in file_name)
     raw = (spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", exact)
-           .option("recursiveFileLookup", "false").schema(text_schema).csv(folder))
+           .option("recursiveFileLookup", "false").csv(folder))
     return _retype(raw)
 
 
 def read_selected(spark: SparkSession, folder: str, file_name: str = DEFAULT_FILE) -> DataFrame:
-    """S9 + S10 + S12: the chosen file's rows, typed; bad values become null."""
+    """S9 + S10 + S12: the chosen file's rows, typed; bad values become null.
+
+    Only the chosen file's folder is listed and read, by its own header.
+    """
     check_file_name(file_name)
-    text_schema = StructType([StructField(f.name, StringType(), True)
-                              for f in schemas.OPS_CSV_V1.fields]
-                             + [StructField("file_name", StringType(), True)])
-    raw = spark.read.options(**CSV_OPTIONS).schema(text_schema).csv(folder)
-    raw = raw.where(F.col("file_name") == F.lit(file_name))
-    return _retype(raw)
+    return _retype(spark.read.options(**CSV_OPTIONS).csv(f"{folder}/file_name={file_name}"))

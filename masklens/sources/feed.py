@@ -9,19 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from masklens import schemas
 
 FLATTEN_DELIMITER = "."
 
 
-def read_feed_pages(spark: SparkSession, folder: str, schema: StructType | None = None) -> DataFrame:
-    """Landed feed pages (JSON arrays or JSON lines) with a given schema."""
-    reader = spark.read.option("multiLine", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(folder)
+# Records without nesting: every field of the feed table as text.
+FLAT_RECORD = StructType([StructField(name, StringType()) for name in schemas.FEED_FIELDS])
+
+
+def read_feed_pages(spark: SparkSession, folder: str, schema: StructType | str = FLAT_RECORD,
+                    mode: str = "array") -> DataFrame:
+    """Landed feed pages of a fixed schema, by default flat text records.
+
+    ``mode`` says what a file is: ``array`` is one JSON array (or one record)
+    per file, ``lines`` one record per line. Neither can be read as the other:
+    a reader of whole files stops after the first record of a file of lines.
+    """
+    if mode not in ("array", "lines"):
+        raise ValueError(f"mode {mode!r} is neither 'array' nor 'lines'")
+    return spark.read.schema(schema).option("multiLine", mode == "array").json(folder)
 
 
 def _leaves(dtype: DataType, path: list[str]):
