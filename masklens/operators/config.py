@@ -50,7 +50,9 @@ def _parse_text(text: Column) -> Column:
     parsed = F.from_json(text, CONFIG_TYPE, JSON_OPTIONS)
     # trailing JSON whitespace; the lookbehind keeps the match linear
     ends_ok = F.regexp_replace(text, r"(?<![ \t\n\r])[ \t\n\r]+$", "").endswith("}")
-    return F.when(ends_ok, parsed)
+    # one value and nothing after it: as the only element of an array
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.when(ends_ok & alone, parsed)
 
 
 def parse_config(c: Column, raw_first: bool = False) -> Column:

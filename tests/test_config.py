@@ -89,3 +89,12 @@ def test_raw_first_keeps_empty_strings(spark):
     assert config.flatten_config(b).count() == 0  # the original loses both
     rows = config.flatten_config(b, raw_first=True).collect()
     assert [(r["object_id"], r["pattern_name"]) for r in rows] == [(1, "")]
+
+
+def test_text_after_the_config_is_rejected(spark):
+    good = '{"S": {"T": [{"column_name": "C", "data_type": "V", "data_length": "1", "pattern_name": "p", "Result": "r", "parameter": "x"}]}}'
+    rows = [("1", good), ("2", good + good), ("3", good + " junk }"), ("4", good + "  ")]
+    df = spark.createDataFrame([(i, c, None, None) for i, c in rows],
+                               "object_id string, config string, masking_log string, load_date timestamp")
+    assert sorted(r["object_id"] for r in config.flatten_config(df).collect()) == [1, 4]
+    assert sorted(r["object_id"] for r in config.config_quarantine(df).collect()) == ["2", "3"]
