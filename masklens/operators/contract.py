@@ -19,7 +19,7 @@ from masklens import schemas
 from masklens.functions.text import py_float
 from masklens.session import ensure_checkpoint_dir
 from masklens.operators.loglines import (
-    DOC_KEY, documents, explode_lines, line_count, log_lines, parse_lines, valid_lines,
+    DOC_KEY, document_key, documents, explode_lines, line_count, log_lines, parse_lines, valid_lines,
 )
 from masklens.operators.maskops import DEFAULT_CHUNK_LINES, chunked_mask_operations, mask_operations
 
@@ -172,7 +172,7 @@ def parse_landed_lines(lines: DataFrame, order_cols: list[str], line_col: str =
     """
     keyed = lines.select(
         *ident, *order_cols, F.col(line_col).alias("line"),
-        F.xxhash64(*ident).alias("doc_id"), F.hash(*ident).alias("doc_h2"),
+        *document_key(ident),
         F.lit(1).cast("long").alias("copies"))
     ordered = keyed.orderBy(*DOC_KEY, *order_cols)
     numbered = ordered.select(

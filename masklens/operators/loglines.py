@@ -18,6 +18,12 @@ from masklens.functions.text import parse_log_time, py_split, py_strip
 DOC_KEY = ("doc_id", "doc_h2")
 
 
+def document_key(cols) -> list[Column]:
+    """The 96-bit key of some columns; their null flags count, since Spark's hashes skip nulls."""
+    flags = [F.col(c).isNull() for c in cols]
+    return [F.xxhash64(*cols, *flags).alias("doc_id"), F.hash(*cols, *flags).alias("doc_h2")]
+
+
 def documents(bronze: DataFrame, log_col: str = "masking_log",
               ident: tuple[str, ...] = ("object_id", "load_date")) -> DataFrame:
     """Bronze rows -> one row per distinct document with its number of ``copies``.
@@ -34,8 +40,7 @@ def documents(bronze: DataFrame, log_col: str = "masking_log",
     cols = [*ident, log_col]
     keyed = bronze.select(
         *cols,
-        F.xxhash64(*cols).alias("doc_id"),
-        F.hash(*cols).alias("doc_h2"),
+        *document_key(cols),
     )
     return keyed.groupBy(*DOC_KEY).agg(
         *[F.any_value(c).alias(c) for c in cols],

@@ -287,3 +287,12 @@ def test_chunked_scan_with_null_object_id(spark):
     chunked = contract.parse_masking_logs(bronze, chunk_lines=4).drop("is_op")
     assert single.count() > 0
     assert sorted(map(repr, single.collect())) == sorted(map(repr, chunked.collect()))
+
+
+def test_null_identity_columns_keep_logs_apart(spark):
+    """('x', null) and (null, 'x') are two logs, though Spark's hashes skip nulls."""
+    rows = [(a, b, i, text) for a, b in (("x", None), (None, "x")) for i, text in enumerate(
+        ["01/01/2024 10:00:00 :: COLUMN : C1 Mask Started", "01/01/2024 10:05:00 :: COLUMN : C1 Mask Finished"])]
+    lines = spark.createDataFrame(rows, "a string, b string, n int, line string")
+    ops = contract.parse_landed_lines(lines, ["n"], ident=("a", "b")).collect()
+    assert len(ops) == 2
