@@ -49,12 +49,13 @@ def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def create_gold(spark: SparkSession, location: str | None = None, fmt: str = "parquet") -> None:
+def create_gold(spark: SparkSession, location: str | None = None, fmt: str = "parquet",
+                database: str = GOLD_DB) -> None:
     """K9: ``CREATE SCHEMA`` and the two Gold tables, if missing."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {GOLD_DB}{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
     for name, schema in ((GOLD_LOGS, schemas.SILVER_OPS), (GOLD_CONFIG, schemas.SILVER_CONFIG)):
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {GOLD_DB}.{name} ({_ddl(schema)}) USING {fmt}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_ddl(schema)}) USING {fmt}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -77,7 +78,8 @@ def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.hint("rebalance").write.mode("overwrite").format(fmt).save(path)
 
 
-def copy_to_gold(spark: SparkSession, silver_ops: DataFrame, silver_config: DataFrame) -> dict:
+def copy_to_gold(spark: SparkSession, silver_ops: DataFrame, silver_config: DataFrame,
+                 database: str = GOLD_DB) -> dict:
     """K6 then K7: the config copy runs after the logs copy, whether or not it failed.
 
     Returns {table: None or the error text}.
@@ -85,7 +87,7 @@ def copy_to_gold(spark: SparkSession, silver_ops: DataFrame, silver_config: Data
     result = {}
     for name, rows in ((GOLD_LOGS, gold_logs(silver_ops)), (GOLD_CONFIG, gold_config(silver_config))):
         try:
-            append_table(rows, f"{GOLD_DB}.{name}")
+            append_table(rows, f"{database}.{name}")
             result[name] = None
         except Exception as exc:  # one copy failing does not stop the other
             result[name] = str(exc)

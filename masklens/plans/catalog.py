@@ -233,10 +233,11 @@ def q_config_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config.flatten_config(fixtures.f_bad_configs(fcfg_bronze(spark, sf_dir)))
 
 
-def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1-K10 (K4 as one ten-column append, Q14), S4-S7, S11: land, Bronze, Silver, join, feed, Gold, read back.
+def _lifecycle(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """K1-K10 (K4 as one ten-column append, Q14), S4-S7: land, Bronze, Silver, join, feed, Gold; the written tables.
 
-    Every stage is written and the next stage reads the written table.
+    Every stage is written and the next stage reads the written table. Gold goes to a database of this run
+    alone, so no other table is touched.
     """
     base = scratch_folder(spark, "lifecycle")
     flog, fcfg = flog_bronze(spark, sf_dir), fcfg_bronze(spark, sf_dir)
@@ -263,15 +264,47 @@ def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      table(spark, sf_dir, "customer")),
                                fixtures.F_FEED_MAPPING)
     sinks.append_path(feed_rows, f"{base}/landing/activity_feed")               # K8
-    sinks.create_gold(spark, location=f"{base}/gold")                           # K9
+    gold = f"{sinks.GOLD_DB}_{uuid.uuid4().hex}"
+    sinks.create_gold(spark, location=f"{base}/gold", database=gold)            # K9
     for name in (sinks.GOLD_LOGS, sinks.GOLD_CONFIG):
-        sinks.drop_table(spark, f"{sinks.GOLD_DB}.{name}")                      # K10
-    sinks.create_gold(spark)
-    errors = sinks.copy_to_gold(spark, ops, cfg)                                # K6, K7
+        sinks.drop_table(spark, f"{gold}.{name}")                               # K10
+    sinks.create_gold(spark, database=gold)
+    errors = sinks.copy_to_gold(spark, ops, cfg, database=gold)                 # K6, K7
     failed = {k: v for k, v in errors.items() if v}
     if failed:
         raise RuntimeError(f"Gold copy failed: {failed}")
-    return spark.table(f"{sinks.GOLD_DB}.{sinks.GOLD_LOGS}")                   # S6, S11
+    return {"gold_logs": spark.table(f"{gold}.{sinks.GOLD_LOGS}"),              # S6, S11
+            "gold_config": spark.table(f"{gold}.{sinks.GOLD_CONFIG}"),
+            "join": spark.read.parquet(f"{base}/silver/joined_masking_results"),
+            "feed": spark.read.parquet(f"{base}/landing/activity_feed")}
+
+
+def q_table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Gold logs table after a whole lifecycle."""
+    return _lifecycle(spark, sf_dir)["gold_logs"]
+
+
+def q_lifecycle_gold_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Gold config table after a whole lifecycle."""
+    return _lifecycle(spark, sf_dir)["gold_config"]
+
+
+def q_lifecycle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the written join of operations and config, read back."""
+    return _lifecycle(spark, sf_dir)["join"]
+
+
+def q_lifecycle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the written activity feed, read back."""
+    return _lifecycle(spark, sf_dir)["feed"]
+
+
+def q_feed_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages landed as JSON files (one record per line), read by the page reader and mapped."""
+    pages = fixtures.f_feed_pages(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    folder = scratch_folder(spark, "feed-pages")
+    pages.write.json(folder)
+    return feed.feed_rows(feed.read_feed_pages(spark, folder, pages.schema, mode="lines"), fixtures.F_FEED_MAPPING)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -301,4 +334,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_survivors": q_quarantine_survivors,
     "config_survivors": q_config_survivors,
     "table_lifecycle": q_table_lifecycle,
+    "lifecycle_gold_config": q_lifecycle_gold_config,
+    "lifecycle_join": q_lifecycle_join,
+    "lifecycle_feed": q_lifecycle_feed,
+    "feed_page_files": q_feed_page_files,
 }

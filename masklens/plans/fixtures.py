@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 FIXTURE_LOAD_DATE = _dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
+# Configured columns per F-CFG object; below 2 * 3 * 5, so that an object's
+# (schema, table, column) are all different.
+CONFIG_COLUMNS = 13
+
+
 def _log_message(event_id: Column, event_type: Column) -> Column:
     """F-LOG message of one event (table in FIXTURES.md section 2)."""
     e = event_id
@@ -71,8 +76,10 @@ def f_log_bronze(events: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE)
 
 
 def f_cfg_bronze(part: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -> DataFrame:
-    """F-CFG as Bronze rows: one config document per object (``p_partkey % 49``).
+    """F-CFG as Bronze rows: one config document per object (``floor(p_partkey / 13)``).
 
+    The objects grow with the table and cover F-LOG's ids; a document has at
+    most 13 columns at any size, each with its own (schema, table, column).
     Every part is one configured column; ``lookup`` is present for
     ``p_partkey % 4 < 2``; documents of even objects have every quote doubled.
     """
@@ -89,7 +96,7 @@ def f_cfg_bronze(part: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -
         ),
         lambda _k, v: v.isNotNull())
     rows = part.select(
-        (k % 49).alias("oid"),
+        F.floor(k / CONFIG_COLUMNS).alias("oid"),
         F.concat(F.lit("S"), (k % 2).cast("string")).alias("schema"),
         F.concat(F.lit("T"), (k % 3).cast("string")).alias("table"),
         k.alias("key"), element.alias("element"))

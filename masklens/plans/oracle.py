@@ -155,7 +155,7 @@ MASKING_OPS_CONTRACT = "WITH RECURSIVE " + MASK_FOLD + SILVER_BODY
 # F-CFG rows as the flattening must return them (round trip of the fixture).
 CFG_ROWS = """
 cfg AS (
-  SELECT CAST(p_partkey % 49 AS INTEGER) AS object_id,
+  SELECT CAST(p_partkey // 13 AS INTEGER) AS object_id,
     'S' || CAST(p_partkey % 2 AS VARCHAR) AS schema, 'T' || CAST(p_partkey % 3 AS VARCHAR) AS "table",
     'C' || CAST(p_partkey % 5 AS VARCHAR) AS column_name, 'VARCHAR' AS data_type,
     CAST(p_size AS VARCHAR) AS data_length, p_brand AS pattern_name, p_type AS result,
@@ -267,7 +267,7 @@ FROM cfg"""
 # value type at each level, required keys), not from the fault design.
 CFG_FAULT_REASONS = """
 cfg_el AS (
-  SELECT p_partkey % 49 AS oid, 'S' || CAST(p_partkey % 2 AS VARCHAR) AS s,
+  SELECT p_partkey // 13 AS oid, 'S' || CAST(p_partkey % 2 AS VARCHAR) AS s,
     'T' || CAST(p_partkey % 3 AS VARCHAR) AS t, p_partkey AS k,
     CASE WHEN p_partkey % 4 < 2 THEN json_object('column_name', 'C' || CAST(p_partkey % 5 AS VARCHAR),
         'data_type', 'VARCHAR', 'data_length', CAST(p_size AS VARCHAR), 'pattern_name', p_brand,
@@ -400,7 +400,7 @@ QUARANTINE_SURVIVORS = ("WITH RECURSIVE " + BAD_MASK_FOLD + _BAD_DOC_TESTS
 CONFIG_SURVIVORS = ("WITH " + CFG_ROWS + "," + CFG_FAULT_REASONS
                     + " SELECT * FROM cfg WHERE object_id IN (SELECT oid FROM cfg_reason WHERE reason IS NULL)")
 
-TABLE_LIFECYCLE = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) < 49"
+TABLE_LIFECYCLE = MASKING_OPS_CONTRACT + " WHERE CAST(object_id AS BIGINT) IN (SELECT p_partkey // 13 FROM part)"
 
 
 DEFAULT_SUMS_CONFIG = "WITH " + CFG_ROWS + """
@@ -442,3 +442,9 @@ ORACLE_SQL = {
     "config_survivors": CONFIG_SURVIVORS,
     "table_lifecycle": TABLE_LIFECYCLE,
 }
+
+# The lifecycle's other tables, read back after every stage was written.
+ORACLE_SQL["lifecycle_join"] = ORACLE_SQL["ops_config_join"]
+ORACLE_SQL["lifecycle_feed"] = ORACLE_SQL["feed_page_files"] = ORACLE_SQL["activity_feed"]
+ORACLE_SQL["lifecycle_gold_config"] = (
+    f"SELECT * FROM ({ORACLE_SQL['gold_config_conform']}) WHERE object_id IN (SELECT user_id FROM events)")
