@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "masking_ops_contract", "log_lines", "config_flatten", "ops_config_join", "ops_own_config",
     "quarantine", "date_drilldown", "fact_by_date", "default_sums_gold", "manifest_documents",
-    "activity_feed",
+    "activity_feed", "ops_by_date", "masking_ops_landed_lines", "table_lifecycle",
 ]
 
 
