@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masklens.llm.common import stored
@@ -61,6 +61,27 @@ def needed_words(vectors: list[tuple[str, dict[str, float]]], least: float) -> l
     return sorted(needed)
 
 
+def can_reach(segment: Column, least: float) -> Column:
+    """Whether a segment's template words weigh enough for a cosine of ``least`` to any template: the cosine is at
+    most the norm of its template words over its whole norm."""
+    idf, _ = template_weights()
+    words = sorted(idf)
+    known, weight = F.array(*[F.lit(w) for w in words]), F.array(*[F.lit(idf[w]) for w in words])
+    far = math.log(1 + len(TEMPLATES)) + 1
+    tokens = F.regexp_extract_all(F.lower(segment), F.lit(f"({TOKEN})"), 1)
+
+    def enough(tokens: Column) -> Column:
+        own = F.filter(tokens, lambda t: F.array_contains(known, t))
+        x = lambda own, w: (F.log(F.size(F.filter(own, lambda t: t == w)).cast("double")) + 1.0) * F.element_at(
+            weight, F.array_position(known, w).cast("int"))
+        mass = F.transform(F.array(own), lambda own: F.aggregate(F.array_distinct(own), F.lit(0.0),
+                                                               lambda s, w: s + x(own, w) * x(own, w)))[0]
+        others = F.size(F.array_except(tokens, known))
+        return mass >= others * F.lit(far * far * least * least / (1 - least * least) - 1e-9)
+
+    return F.transform(F.array(tokens), enough)[0]
+
+
 def best_notices(segments: DataFrame) -> DataFrame:
     """(uid, score, license) of the nearest template to any segment (uid, k, segment) of a uid.
 
@@ -112,7 +133,7 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
             .withColumn("path", F.when(F.col("host").isNotNull(), F.when(F.col("path") == "", F.lit("/")).otherwise(F.col("path"))))
             .withColumn("is_file", F.coalesce(name.rlike(LICENCE_FILE), F.lit(False)))
             .withColumn("dir", F.regexp_extract("path", r"^(.*/)[^/]*$", 1)))
-    lines = F.filter(F.split("plain", r"\R"), lambda x: x.rlike(hint))
+    lines = F.filter(F.filter(F.split("plain", r"\R"), lambda x: x.rlike(hint)), lambda x: can_reach(x, least))
     segments = F.when(F.col("is_file"), F.concat(lines, F.array("plain"))).otherwise(lines)
     # the row number is fixed by the write: every later table goes by it
     cut = stored(rows.select(F.monotonically_increasing_id().alias("uid"), "page_id", "host", "path", "dir", "is_file",
