@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from masklens.llm.common import worker_state
 
 #: words, pieces between blanks and token pairs that a worker remembers before it starts afresh
-MEMO_WORDS, MEMO_CHUNKS, MEMO_PAIRS = 400_000, 400_000, 1_000_000
+MEMO_WORDS, MEMO_CHUNKS, MEMO_PAIRS = 200_000, 240_000, 700_000
 #: longer words and pieces are encoded without being remembered
 MEMO_LENGTH = 64
 
