@@ -19,9 +19,9 @@ from masklens import schemas
 from masklens.functions.text import py_float
 from masklens.session import ensure_checkpoint_dir
 from masklens.operators.loglines import (
-    DOC_KEY, document_key, documents, explode_lines, line_count, log_lines, parse_lines, valid_lines,
+    DOC_KEY, document_key, documents, log_lines, parse_lines, valid_lines,
 )
-from masklens.operators.maskops import DEFAULT_CHUNK_LINES, chunked_mask_operations, mask_operations
+from masklens.operators.maskops import chunked_mask_operations, collapse_copies, mask_operations, rule_lines
 
 # Fixed value: the name stamped into ``processed_by`` by the original job.
 DEFAULT_PROCESSED_BY = "YourName"
@@ -48,48 +48,21 @@ def _stamp(value) -> Column:
 
 def parse_masking_logs(bronze: DataFrame, log_col: str = "masking_log",
                        no_data_status: bool = False, cycle_index: bool = False,
-                       chunk_lines: int | None = DEFAULT_CHUNK_LINES) -> DataFrame:
+                       chunk_lines: int | None = None) -> DataFrame:
     """Bronze documents -> raw operations (with ``copies`` and ``bad_reason``).
 
-    Documents of at most ``chunk_lines`` lines are parsed in the task that
-    holds them (one scan per document). Longer ones are exploded there, their
-    lines shuffled by (document, chunk) and scanned chunk by chunk, so a
-    single huge log is spread over many tasks. Both branches read the same
-    document shuffle. The chunked branch is planned only when the input could
-    hold such a document (:func:`may_hold_long_documents`); ``chunk_lines=None``
-    always uses the single scan.
+    Lines are parsed where the Bronze row is read, lines without a rule are left out, copies are added up, and
+    the extracted values are shuffled by document for the scans. With ``chunk_lines`` every document is instead
+    scanned in chunks of so many lines, each in a task of its own; the caller decides, and the result is the same.
     """
     docs = documents(bronze.where(F.col(log_col).isNotNull()), log_col)
+    ident = ("object_id", "load_date")
+    found = collapse_copies(rule_lines(log_lines(docs, log_col, ident), (*DOC_KEY, *ident, "line_no")))
     opts = dict(no_data_status=no_data_status, cycle_index=cycle_index)
-    if chunk_lines is not None and not may_hold_long_documents(bronze.select(log_col), chunk_lines):
-        chunk_lines = None
     if chunk_lines is None:
-        return mask_operations(log_lines(docs, log_col), **opts)
-    n = line_count(F.col(log_col))
-    small = mask_operations(log_lines(docs.where(n <= chunk_lines), log_col), **opts)
-    big = explode_lines(docs.where(n > chunk_lines), log_col)
-    big = big.withColumn("chunk", F.floor(F.col("line_no") / F.lit(chunk_lines)))
-    big = valid_lines(parse_lines(big.repartition(*DOC_KEY, "chunk")))
-    return small.unionByName(chunked_mask_operations(big, **opts))
-
-
-# A valid log line has at least this many characters ("d/m/yyyy h:m:s :: x").
-MIN_LINE_BYTES = 24
-# Catalyst's size estimates can be several times below the text size
-# (compressed files, default string widths); this factor covers that.
-SIZE_SAFETY = 20
-
-
-def may_hold_long_documents(logs: DataFrame, chunk_lines: int) -> bool:
-    """Could one document of ``logs`` hold more than ``chunk_lines`` valid lines?
-
-    Decided from Catalyst's size estimate of the plan, the same statistic
-    Spark uses to choose broadcast joins; no job runs. Both parse paths give
-    identical results, so the choice only affects speed: the chunked branch
-    is planned only when the input is large enough to need it.
-    """
-    est = int(str(logs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return est * SIZE_SAFETY >= chunk_lines * MIN_LINE_BYTES
+        return mask_operations(found, **opts)
+    found = found.withColumn("chunk", F.floor(F.col("line_no") / F.lit(chunk_lines)))
+    return chunked_mask_operations(found.repartition(*DOC_KEY, "chunk"), **opts)
 
 
 def conform_operations(ops: DataFrame, processed_time=None,
@@ -165,25 +138,23 @@ def parse_landed_lines(lines: DataFrame, order_cols: list[str], line_col: str =
     id numbers them, each sorted partition is a chunk, and the chunked scan
     carries state between the chunks of a log.
 
-    The numbered lines are checkpointed (reliable checkpoint, in the
-    session's ``spark.checkpoint.dir``) before the chunked rounds read them:
-    the range bounds come from sampling, and every round must see the same
-    numbering, also after a lost executor.
+    Lines are parsed first; only rule lines, as extracted values, are sorted. The numbered ones are
+    checkpointed (reliable checkpoint, in the session's ``spark.checkpoint.dir``) before the chunked rounds read
+    them: the range bounds come from sampling, and every round must see the same numbering, also after a lost
+    executor. This runs when the operator is called.
     """
+    order = [f"_order{k}" for k in range(len(order_cols))]
     keyed = lines.select(
-        *ident, *order_cols, F.col(line_col).alias("line"),
-        *document_key(ident),
-        F.lit(1).cast("long").alias("copies"))
-    ordered = keyed.orderBy(*DOC_KEY, *order_cols)
-    numbered = ordered.select(
-        *DOC_KEY, *ident, "copies", "line",
-        F.monotonically_increasing_id().alias("line_no"))
+        *ident, *[F.col(c).alias(o) for c, o in zip(order_cols, order)], F.col(line_col).alias("line"),
+        *document_key(ident))
+    found = rule_lines(valid_lines(parse_lines(keyed)), (*DOC_KEY, *ident, *order))
+    numbered = found.orderBy(*DOC_KEY, *order).drop(*order).withColumns({
+        "copies": F.lit(1).cast("long"), "line_no": F.monotonically_increasing_id()})
     numbered = numbered.withColumn("chunk", F.shiftright(F.col("line_no"), 33))
     ensure_checkpoint_dir(lines.sparkSession)
     numbered = numbered.checkpoint(eager=True)
-    parsed = valid_lines(parse_lines(numbered.repartition(*DOC_KEY, "chunk")))
-    return chunked_mask_operations(parsed, keep=(*ident, "copies"), no_data_status=no_data_status,
-                                   cycle_index=cycle_index)
+    return chunked_mask_operations(numbered.repartition(*DOC_KEY, "chunk"), keep=(*ident, "copies"),
+                                   no_data_status=no_data_status, cycle_index=cycle_index)
 
 
 def only_new_documents(bronze: DataFrame, processed: DataFrame,

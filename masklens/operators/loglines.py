@@ -26,40 +26,19 @@ def document_key(cols) -> list[Column]:
 
 def documents(bronze: DataFrame, log_col: str = "masking_log",
               ident: tuple[str, ...] = ("object_id", "load_date")) -> DataFrame:
-    """Bronze rows -> one row per distinct document with its number of ``copies``.
-
-    Exact copies (same identity columns and text) parse to exactly the same
-    operations, so they are parsed once and counted. Rows are grouped by the
-    96-bit key of those columns; two different documents would share it with
-    probability about n^2 / 2^97 (1e-11 for a billion documents). The collapse is a partial
-    (map-side) aggregate before the single shuffle on the document key, so a
-    group of copies as large as a third of the table never reaches one task;
-    the shuffle's hash partitioning is what every later window on the
-    document reuses.
+    """Bronze rows with the 96-bit key of their identity columns and text.
+
+    Exact copies (same identity columns and text) share the key; two different documents would share it with
+    probability about n^2 / 2^97 (1e-11 for a billion documents). Nothing is shuffled: the text stays where it
+    was read, and only what the rules take from it moves on (:func:`masklens.operators.maskops.rule_lines`).
     """
     cols = [*ident, log_col]
-    keyed = bronze.select(
-        *cols,
-        *document_key(cols),
-    )
-    return keyed.groupBy(*DOC_KEY).agg(
-        *[F.any_value(c).alias(c) for c in cols],
-        F.count(F.lit(1)).alias("copies"),
-    )
-
-
-def line_count(log: Column) -> Column:
-    """Number of lines ``split('\\n')`` gives, without building the array."""
-    return F.length(log) - F.length(F.replace(log, F.lit("\n"), F.lit(""))) + 1
+    return bronze.select(*cols, *document_key(cols))
 
 
 def explode_lines(docs: DataFrame, log_col: str = "masking_log",
-                  keep: tuple[str, ...] = ("object_id", "load_date", "copies")) -> DataFrame:
-    """L1: one row per line in document order, ``line_no`` 0-based.
-
-    ``docs`` comes from :func:`documents`, already hash-partitioned by the
-    document key; the explode keeps that partitioning, so no line is shuffled.
-    """
+                  keep: tuple[str, ...] = ("object_id", "load_date")) -> DataFrame:
+    """L1: one row per line of every row of :func:`documents`, ``line_no`` 0-based."""
     return docs.select(
         *DOC_KEY, *keep,
         F.posexplode(F.split(F.col(log_col), "\n", -1)).alias("line_no", "line"),
@@ -89,6 +68,6 @@ def valid_lines(lines: DataFrame) -> DataFrame:
 
 
 def log_lines(docs: DataFrame, log_col: str = "masking_log",
-              keep: tuple[str, ...] = ("object_id", "load_date", "copies")) -> DataFrame:
-    """L1-L6 + F4: valid lines of every document, in document order."""
+              keep: tuple[str, ...] = ("object_id", "load_date")) -> DataFrame:
+    """L1-L6 + F4: valid lines of every document, with their number in it."""
     return valid_lines(parse_lines(explode_lines(docs, log_col, keep)))

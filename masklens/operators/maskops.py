@@ -13,9 +13,10 @@ Here the same state is carried by window scans over the lines of a document
   starts from;
 * the status that a "No Data" finish carries over is the last assigned status.
 
-All scans share one partitioning and one sort order, so the parse adds no
-Exchange to its input (the document shuffle) and a single Sort; no Python
-runs per row.
+The rules themselves need no state, so they run where a line is read. Lines on
+which none fires change nothing and go no further; of the others only the
+extracted values move on (:func:`rule_lines`), never the text. All scans share
+one partitioning and one sort order; no Python runs per row.
 
 Rules, evaluated on every valid line in this order (case-sensitive substring
 tests on the message, token positions 0-based):
@@ -125,11 +126,29 @@ def _windows(key: tuple[str, ...], order_col: str):
             d.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
 
 
-def _base(lines: DataFrame, key_cols: list[str], order_col: str, keep: tuple[str, ...]) -> DataFrame:
+def rule_lines(lines: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
+    """Valid lines -> the lines on which a rule fires: ``key_cols``, the time and the rules' flags and values.
+
+    The rules are the input of a one-element generator, so that the filter on their outcome cannot be pushed
+    below it and test every substring twice. A message is kept only where a rule stores it (``v_err``).
+    """
     rc = rule_columns(F.col("message"), F.col("tokens"), F.col("log_time"))
-    # the message itself is kept only where a rule stores it (v_err)
-    return lines.select(*key_cols, order_col, *keep, "log_time",
-                        *[c.alias(k) for k, c in rc.items()])
+    found = lines.select(*key_cols, "log_time", F.inline(F.array(F.struct(*[c.alias(k) for k, c in rc.items()]))))
+    values = F.coalesce(*[F.col(v) for v in ("v_schema", "v_table", "v_column", "v_rows", "v_dist", "v_err")])
+    return found.where(_any_of("r1", "r4", "fin", "endc", "short") | values.isNotNull())
+
+
+def _any_of(*flags: str) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f) for f in flags])
+
+
+def collapse_copies(found: DataFrame) -> DataFrame:
+    """One row per rule line of every distinct document, with the number of ``copies`` of the document.
+
+    Grouped by all columns (the identity columns among them), so equal lines are added up before they are
+    shuffled, and the lines of a document with very many copies, or of a very long one, spread over all tasks.
+    """
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _live_event() -> Column:
@@ -249,7 +268,7 @@ def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_
                     cycle_index: bool = False) -> DataFrame:
     """Emitted operations of every document.
 
-    ``lines`` holds the valid lines (``log_time``, ``message``, ``tokens``).
+    ``lines`` holds the rule lines (:func:`rule_lines`) with ``keep`` and ``order_col``.
     Output, one row per emitted operation: the ``keep`` columns, ``doc_key``,
     ``line_no`` of the emitting line, ``cycle``, ``schema``, ``table``,
     ``row_count`` and ``distinct_row_count`` (the raw count tokens),
@@ -263,21 +282,18 @@ def mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY, order_
     operations only. ``no_data_status`` reports 'No Data' instead of carrying
     the previous status; ``cycle_index`` numbers cycles instead of always 1.
 
-    All windows share one partitioning (the document) and one order, so the
-    plan adds no Exchange and one Sort to its input.
+    All windows share one partitioning (the document) and one order: one
+    Exchange and one Sort. They stream through a document and spill, and a
+    document here is one cell, at most 2 GB of text; larger logs are landed
+    one line per row (:func:`masklens.operators.contract.parse_landed_lines`).
     """
     key_cols = list(doc_key)
-    base = _base(lines, key_cols, order_col, keep)
-    l1 = _layer1(base, doc_key, order_col, cycle_index, chunked=False)
+    l1 = _layer1(lines, doc_key, order_col, cycle_index, chunked=False)
     l3 = _layer3(_layer2(l1, doc_key, order_col, chunked=False), doc_key, order_col,
                  no_data_status, chunked=False)
     return _finish(l3, key_cols, keep, order_col)
 
 
-# Documents with more lines than this are scanned in chunks of this many lines.
-DEFAULT_CHUNK_LINES = 1_000_000
-
-
 def _last_by(c: Column, order_col: str) -> Column:
     """Aggregate: the last non-null ``c`` in line order."""
     return F.max_by(c, F.when(c.isNotNull(), F.col(order_col)))
@@ -289,7 +305,7 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
                             no_data_status: bool = False, cycle_index: bool = False) -> DataFrame:
     """:func:`mask_operations` for documents split into line chunks.
 
-    ``lines`` carries a ``chunk`` column (a contiguous range of lines of one
+    ``lines`` holds rule lines with a ``chunk`` column (a contiguous range of lines of one
     document) and is hash-partitioned by (document, chunk), so one long
     document is spread over many tasks. Each chunk runs the same window
     scans; what a chunk inherits from the chunks before it is carried in:
@@ -309,7 +325,7 @@ def chunked_mask_operations(lines: DataFrame, doc_key: tuple[str, ...] = DOC_KEY
     # chunk key changes no group, but keys are never pruned, so every round
     # reads the very same document and line shuffles (Spark reuses them).
     ck = (*doc_key, *keep, "chunk")
-    base = _base(lines, [*key_cols, "chunk"], order_col, keep)
+    base = lines
     dc = Window.partitionBy(*doc_key, *keep).orderBy("chunk")
     prev = dc.rowsBetween(Window.unboundedPreceding, -1)
     every = dc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

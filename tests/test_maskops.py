@@ -9,8 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from masklens.operators import contract
-from masklens.operators.loglines import documents, log_lines
-from masklens.operators.maskops import mask_operations
 from tests.pyfold import ShortLine, fold
 
 LOAD = dt.datetime(2024, 2, 1)
@@ -215,15 +213,32 @@ def test_optional_status_and_cycle_numbering(spark, chunk_lines):
         ("No Data", 1), ("Passed", 2)]
 
 
-def test_parser_plan_has_one_exchange_and_no_python(spark):
+def test_parser_plan_moves_extracted_values_only(spark):
+    """The text meets no shuffle, sort or aggregate, and the rule filter runs before the first shuffle."""
     bronze = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         F.col("user_id").cast("string").alias("object_id"), F.lit(None).cast("string").alias("config"),
         F.col("props").alias("masking_log"), F.lit(LOAD).alias("load_date"))
-    ops = mask_operations(log_lines(documents(bronze)))
-    plan = ops._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1, plan
+    plan = contract.parse_masking_logs(bronze)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2, plan  # copies added up, then by document
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert plan.count("Sort [") <= 3
+    assert plan.count("Sort [") == 1
+    for line in plan.splitlines():
+        if "Exchange" in line or "Aggregate" in line or "Sort [" in line:
+            assert "masking_log" not in line and "props" not in line and " line#" not in line, line
+
+
+def test_copies_of_a_hot_document_are_added_up_before_the_shuffle(spark):
+    rng = random.Random(31)
+    text = random_log(rng, 40)
+    bronze = spark.range(0, 3000, 1, 4).select(
+        F.lit("5").alias("object_id"), F.lit(None).cast("string").alias("config"),
+        F.when(F.col("id") % 3 == 0, F.lit(text)).otherwise(F.concat(F.lit(text), F.lit("\nx"), "id"))
+        .alias("masking_log"), F.lit(LOAD).cast("timestamp").alias("load_date"))
+    ops = contract.parse_masking_logs(bronze)
+    n = len(_expected(text)[0])
+    assert n and sorted(r["copies"] for r in ops.where("copies > 1").collect()) == [1000] * n
+    assert contract.expand_copies(ops).count() == 3000 * n
 
 
 def test_chunked_plan_shuffles_lines_once(spark):
