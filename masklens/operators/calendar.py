@@ -6,11 +6,10 @@ its last (A5), with Year, MonthNo, Month (en-US name), QuarterNo, Quarter
 Year > Quarter > Month > Day with subtotals (rollup), sorted by the number
 columns (O1).
 
-Scale: the calendar has one row per day of the fact's year range, a bound
-that does not grow with the fact, and it is broadcast only after that bound
-is checked. The drill-down first sums the fact per day (partial aggregation
-before the shuffle), so the join and the rollup's row expansion only ever see
-one row per day.
+Scale: the fact is first summed per day (partial aggregation before the
+shuffle), and everything here, the calendar's bounds included, works on those
+sums, so the fact is read once and no job runs while a query is built. How the
+calendar is joined is left to Catalyst and AQE.
 """
 
 from __future__ import annotations
@@ -18,8 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Calendars of at most this many days (about 270 years) are broadcast.
-MAX_BROADCAST_DAYS = 100_000
 DIM_COLUMNS = ["Date", "Year", "MonthNo", "Month", "QuarterNo", "Quarter", "Day"]
 
 
@@ -35,10 +32,16 @@ def date_attributes(d: Column) -> list[Column]:
     ]
 
 
-def year_bounds(fact: DataFrame, date_col: str) -> DataFrame:
-    """A5: one row (y0, y1) = first and last year of the fact's date column."""
+def year_bounds(daily: DataFrame, date_col: str) -> DataFrame:
+    """A5: one row (y0, y1) = first and last year of ``date_col``.
+
+    The years are compared together with the row they stand in. The first field decides, so the result is that
+    of the years alone, but every column stays in use: the plan below is the very one that ``daily`` has
+    elsewhere in the query, and Spark runs it once (a reused exchange).
+    """
     y = F.year(F.to_date(F.col(date_col)))
-    return fact.agg(F.min(y).alias("y0"), F.max(y).alias("y1"))
+    row = F.when(y.isNotNull(), F.struct(y.alias("_year"), *[F.col(f"`{c}`") for c in daily.columns]))
+    return daily.agg(F.min(row)["_year"].alias("y0"), F.max(row)["_year"].alias("y1"))
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
@@ -50,44 +53,21 @@ def calendar(bounds: DataFrame) -> DataFrame:
     return days.select("Date", *date_attributes(F.col("Date")))
 
 
-def date_dimension(fact: DataFrame, date_col: str) -> tuple[DataFrame, int]:
-    """Calendar for ``date_col`` and its number of days (the broadcast check).
+def date_dimension(daily: DataFrame, date_col: str) -> DataFrame:
+    """Calendar over the years of ``date_col``, as part of the plan it is used in.
 
-    The bounds are one aggregated row; reading them is the size check.
-    """
-    row = year_bounds(fact, date_col).first()
-    if row is None or row["y0"] is None:
-        n_days = 0
-    else:
-        n_days = (int(row["y1"]) - int(row["y0"]) + 1) * 366
-    spark = fact.sparkSession
-    bounds = spark.createDataFrame([(row["y0"] if row else None, row["y1"] if row else None)],
-                                   "y0 int, y1 int")
-    return calendar(bounds), n_days
-
-
-def lazy_date_dimension(fact: DataFrame, date_col: str) -> tuple[DataFrame, None]:
-    """Calendar built inside the same plan as ``fact`` (no job to read bounds).
-
-    For facts that are expensive to compute (a parse), reading the bounds
-    first would compute them twice; here the bounds are a one-row aggregate
-    of the same plan and the join strategy is left to Spark's statistics.
+    ``daily`` is best a fact's sums per day; its columns must be orderable.
     """
-    return calendar(year_bounds(fact, date_col)), None
+    return calendar(year_bounds(daily, date_col))
 
 
-def relate_dates(fact: DataFrame, dim: DataFrame, n_days: int | None, date_col: str,
-                 role: str) -> DataFrame:
+def relate_dates(fact: DataFrame, dim: DataFrame, date_col: str, role: str) -> DataFrame:
     """Fact LEFT JOIN calendar on the date part of ``date_col``.
 
     The calendar's columns get the ``role`` prefix (role-playing dimension).
-    It is broadcast when ``n_days`` is within :data:`MAX_BROADCAST_DAYS`;
-    otherwise (or when ``n_days`` is unknown) Catalyst and AQE choose the join
-    from the measured sizes.
     """
     renamed = dim.select(*[F.col(c).alias(f"{role}{c}") for c in DIM_COLUMNS])
-    side = F.broadcast(renamed) if n_days is not None and n_days <= MAX_BROADCAST_DAYS else renamed
-    return fact.join(side, F.to_date(F.col(date_col)) == F.col(f"{role}Date"), "left")
+    return fact.join(renamed, F.to_date(F.col(date_col)) == F.col(f"{role}Date"), "left")
 
 
 def drilldown(daily: DataFrame, measures: dict[str, Column]) -> DataFrame:

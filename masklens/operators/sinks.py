@@ -8,7 +8,7 @@ splits skewed partitions and merges small ones into sensible file sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -19,9 +19,24 @@ GOLD_LOGS = "masking_logs_results"
 GOLD_CONFIG = "masking_config_results"
 
 
+def cut_bytes(c: Column, max_bytes: int) -> Column:
+    """Text cut to at most ``max_bytes`` bytes of UTF-8, between two characters."""
+    raw = F.encode(c, "UTF-8")
+
+    def begins(at: int) -> Column:  # the byte after the first ``at`` ones is not inside a character
+        return ~F.hex(F.substring(raw, at + 1, 1)).between("80", "BF")
+
+    ends = [max_bytes - k for k in range(3) if max_bytes > k]
+    cut = F.lit(max(max_bytes - 3, 0))  # a character has at most four bytes
+    for at in reversed(ends):
+        cut = F.when(begins(at), F.lit(at)).otherwise(cut)
+    return F.when(F.octet_length(c) <= max_bytes, c).otherwise(
+        F.decode(F.substring(raw, F.lit(1), cut), "UTF-8"))
+
+
 def conform(df: DataFrame, target: StructType, max_text: int = schemas.GOLD_VARCHAR) -> DataFrame:
     """cast every column to the target type (null when it does not fit),
-    cut text to ``max_text`` characters, keep the target's column order."""
+    cut text to ``max_text`` bytes of UTF-8, keep the target's column order."""
     cols = []
     present = set(df.columns)
     for f in target.fields:
@@ -30,7 +45,7 @@ def conform(df: DataFrame, target: StructType, max_text: int = schemas.GOLD_VARC
             continue
         c = F.col(f"`{f.name}`").try_cast(f.dataType)
         if isinstance(f.dataType, StringType):
-            c = F.substring(c, 1, max_text)
+            c = cut_bytes(c, max_text)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

@@ -64,6 +64,20 @@ def q_masking_ops_landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.conform_operations(ops, processed_time=PROCESSED_TIME)
 
 
+def q_masking_ops_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, R1-R14 on F-LOG landed as text files, read by splits and never as whole files.
+
+    Same Silver rows as ``masking_ops_contract``.
+    """
+    folder = scratch_folder(spark, "log-files")
+    fixtures.land_log_files(table(spark, sf_dir, "events"), folder)
+    lines = landed.read_log_lines(spark, folder).withColumns({
+        "object_id": F.col("object_id").cast("string"),
+        "load_date": F.lit(fixtures.FIXTURE_LOAD_DATE).cast("timestamp")})
+    return contract.conform_operations(contract.parse_landed_lines(lines, landed.LINE_ORDER),
+                                       processed_time=PROCESSED_TIME)
+
+
 def fcfg_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.f_cfg_bronze(table(spark, sf_dir, "part"))
 
@@ -102,8 +116,8 @@ def q_ops_own_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar over the years of ``o_orderdate``."""
-    dim, _ = calendar.date_dimension(table(spark, sf_dir, "orders"), "o_orderdate")
-    return dim
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("_day")).distinct()
+    return calendar.date_dimension(days, "_day")
 
 
 def q_fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,10 +130,8 @@ def q_fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.to_date("l_shipdate").alias("_end")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"),
         F.sum("l_extendedprice").alias("price"))
-    sdim, sdays = calendar.date_dimension(orders, "o_orderdate")
-    edim, edays = calendar.date_dimension(items, "l_shipdate")
-    rel = calendar.relate_dates(daily, sdim, sdays, "_start", "start_")
-    rel = calendar.relate_dates(rel, edim, edays, "_end", "end_")
+    rel = calendar.relate_dates(daily, calendar.date_dimension(daily, "_start"), "_start", "start_")
+    rel = calendar.relate_dates(rel, calendar.date_dimension(daily, "_end"), "_end", "end_")
     return rel.groupBy("start_Year", "start_QuarterNo", "end_Year", "end_QuarterNo").agg(
         F.sum("n").alias("n_lines"), F.sum("qty").alias("sum_qty"),
         F.round(F.sum("price"), 2).alias("revenue"))
@@ -130,8 +142,7 @@ def q_date_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     daily = orders.groupBy(F.to_date("o_orderdate").alias("_day")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("price"))
-    dim, n_days = calendar.date_dimension(orders, "o_orderdate")
-    rel = calendar.relate_dates(daily, dim, n_days, "_day", "")
+    rel = calendar.relate_dates(daily, calendar.date_dimension(daily, "_day"), "_day", "")
     out = calendar.drilldown(rel, {"n_orders": F.sum("n"),
                                    "total_price": F.round(F.sum("price"), 2)})
     return out.withColumn("level", F.col("level").cast("int"))
@@ -170,10 +181,8 @@ def q_ops_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = measures.v1_fact(ops)
     daily = fact.groupBy(F.to_date("start_time").alias("_s"), F.to_date("end_time").alias("_e")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("duration(s)").alias("secs"))
-    sdim, sdays = calendar.lazy_date_dimension(daily.withColumnRenamed("_s", "start_time"), "start_time")
-    edim, edays = calendar.lazy_date_dimension(daily.withColumnRenamed("_e", "end_time"), "end_time")
-    rel = calendar.relate_dates(daily, sdim, sdays, "_s", "start_")
-    rel = calendar.relate_dates(rel, edim, edays, "_e", "end_")
+    rel = calendar.relate_dates(daily, calendar.date_dimension(daily, "_s"), "_s", "start_")
+    rel = calendar.relate_dates(rel, calendar.date_dimension(daily, "_e"), "_e", "end_")
     return rel.groupBy("start_Year", "start_MonthNo", "start_Month", "end_Year", "end_MonthNo",
                        "end_Month").agg(F.sum("n").alias("n_ops"), F.sum("secs").alias("duration_secs"))
 
@@ -307,11 +316,20 @@ def q_feed_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.feed_rows(feed.read_feed_pages(spark, folder, pages.schema, mode="lines"), fixtures.F_FEED_MAPPING)
 
 
+def q_feed_page_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages landed as JSON files (one array per file), read by the page reader and mapped."""
+    pages = fixtures.f_feed_pages(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    folder = scratch_folder(spark, "feed-arrays")
+    fixtures.land_feed_arrays(pages, folder)
+    return feed.feed_rows(feed.read_feed_pages(spark, folder, pages.schema, mode="array"), fixtures.F_FEED_MAPPING)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
     "masking_ops_contract": q_masking_ops_contract,
     "masking_ops_landed_lines": q_masking_ops_landed_lines,
+    "masking_ops_log_files": q_masking_ops_log_files,
     "config_flatten": q_config_flatten,
     "config_nine_columns": q_config_nine_columns,
     "config_union": q_config_union,
@@ -338,4 +356,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lifecycle_join": q_lifecycle_join,
     "lifecycle_feed": q_lifecycle_feed,
     "feed_page_files": q_feed_page_files,
+    "feed_page_arrays": q_feed_page_arrays,
 }

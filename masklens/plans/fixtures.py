@@ -57,6 +57,12 @@ def f_log_lines(events: DataFrame) -> DataFrame:
                          line.alias("line"))
 
 
+def land_log_files(events: DataFrame, folder: str) -> None:
+    """F-LOG as landed text files, one folder ``object_id=...`` with one file per log, lines in log order."""
+    (f_log_lines(events).repartition("object_id").sortWithinPartitions("object_id", "ts", "event_id")
+     .select("object_id", "line").write.partitionBy("object_id").option("lineSep", "\n").text(folder))
+
+
 def f_log_bronze(events: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -> DataFrame:
     """F-LOG as Bronze ``masking_data`` rows: one log document per user.
 
@@ -157,6 +163,18 @@ def f_feed_pages(events: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+# Records per landed feed page.
+FEED_PAGE_RECORDS = 1000
+
+
+def land_feed_arrays(pages: DataFrame, folder: str) -> None:
+    """F-FEED as landed pages: files that hold one JSON array of at most 1,000 records each."""
+    record = F.struct(*pages.columns)
+    (pages.select(F.floor(F.col("post_id") / FEED_PAGE_RECORDS).alias("page"), record.alias("record"))
+     .groupBy("page").agg(F.to_json(F.collect_list("record")).alias("value"))
+     .write.partitionBy("page").text(folder))
+
+
 # Mapping of the flattened fixture pages onto the feed table.
 F_FEED_MAPPING = [
     ("post_id", "post_id"), ("time", "time"), ("user.user_id", "user_id"),

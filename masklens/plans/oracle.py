@@ -446,5 +446,7 @@ ORACLE_SQL = {
 # The lifecycle's other tables, read back after every stage was written.
 ORACLE_SQL["lifecycle_join"] = ORACLE_SQL["ops_config_join"]
 ORACLE_SQL["lifecycle_feed"] = ORACLE_SQL["feed_page_files"] = ORACLE_SQL["activity_feed"]
+ORACLE_SQL["feed_page_arrays"] = ORACLE_SQL["activity_feed"]
+ORACLE_SQL["masking_ops_log_files"] = ORACLE_SQL["masking_ops_contract"]
 ORACLE_SQL["lifecycle_gold_config"] = (
     f"SELECT * FROM ({ORACLE_SQL['gold_config_conform']}) WHERE object_id IN (SELECT user_id FROM events)")

@@ -17,6 +17,8 @@ from masklens import schemas
 CONFIG_SUFFIX = "_config.json"
 LOG_SUFFIX = "_logs.txt"
 
+LINE_ORDER = ["split_start", "split_line"]
+
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """S1 + F1: multi-line JSON array of runs -> (objectID, Results, Logs)."""
@@ -33,6 +35,24 @@ def read_landed_files(spark: SparkSession, folder: str, glob: str | None = None)
         F.col("_metadata.file_name").alias("filename"), F.col("value").alias("content"))
 
 
+def read_log_lines(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """S2 for logs of any size: landed text files line by line, a file's splits read by different tasks.
+
+    Columns: the folder's partition columns, ``filename`` (the file's path), ``split_start`` and ``split_line``
+    (together the order of the lines in their file) and ``line``. Lines end at a newline only (L1).
+    :data:`LINE_ORDER` is the order that ``contract.parse_landed_lines`` asks for.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    text = reader.text(folder)
+    return text.select(
+        *[c for c in text.columns if c != "value"], F.col("_metadata.file_path").alias("filename"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        # grows along a split, since one task reads it from its start to its end
+        F.monotonically_increasing_id().alias("split_line"), F.col("value").alias("line"))
+
+
 def config_file_name(object_id: Column) -> Column:
     """``{objectID}_config.json``."""
     return F.concat(object_id.cast("string"), F.lit(CONFIG_SUFFIX))

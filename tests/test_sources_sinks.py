@@ -6,6 +6,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from masklens import schemas
 from masklens.operators import sinks
@@ -132,3 +133,36 @@ def test_feed_pages_as_lines_and_arrays(spark, tmp_path):
         assert sorted(r["post_id"] for r in rows) == list("01234") and {r["city"] for r in rows} == {"Oslo"}
     with pytest.raises(ValueError):
         feed.read_feed_pages(spark, str(tmp_path), mode="both")
+
+
+def test_gold_text_is_cut_between_characters(spark):
+    texts = ["", None, "abc", "a\u00e9", "\u00e9\u00e9", "a\u20ac\u20ac", "\U0001f600\U0001f600", "abc\U0001f600"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in (1, 2, 3, 4, 5, 6):
+        for t, cut in df.select("t", sinks.cut_bytes(F.col("t"), n)).collect():
+            assert cut == (None if t is None else t.encode()[:n].decode("utf-8", "ignore")), (t, n)
+
+
+def test_log_files_larger_than_a_split(spark, tmp_path):
+    """One file read in several splits gives its lines in order, and the same operations as the whole text."""
+    from masklens.operators import contract
+
+    text = "\n".join(
+        f"01/01/2024 {h:02d}:{m:02d}:{s:02d} :: COLUMN : C{s % 7} Mask {'Started' if s % 2 == 0 else 'Finished'}"
+        for h in range(4) for m in range(60) for s in range(60))
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "5_logs.txt").write_text(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        lines = landed.read_log_lines(spark, str(tmp_path / "logs"))
+        assert lines.select("split_start").distinct().count() > 5
+        assert [r["line"] for r in lines.orderBy(*landed.LINE_ORDER).collect()] == text.split("\n")
+        ops = contract.parse_landed_lines(lines, landed.LINE_ORDER, ident=("filename",)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = spark.createDataFrame([("5", text, LOAD)], "object_id string, masking_log string, load_date timestamp")
+    fields = ("column", "status", "start_time", "end_time", "duration_secs")
+    expected = [tuple(r[f] for f in fields) for r in contract.parse_masking_logs(whole).collect()]
+    assert len(expected) == 7200
+    assert sorted(map(repr, expected)) == sorted(repr(tuple(r[f] for f in fields)) for r in ops)
