@@ -33,12 +33,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id; the columns stay as they are.
 
+    Documents link at a Jaccard similarity of their five-word shingles of 0.80 or more.
     Of rows that share the smallest id of a group one row stays. Documents with an empty set link with
     nothing and stay; so do rows without an id.
     """
     bounded_batches(spark)
     path = scratch(spark, "stage-minhash")
-    found = near_duplicates(docs, path)
+    found = near_duplicates(docs, path, percent=80)
     out = stored(found.where("not kept").select("doc_id").distinct(), f"{path}/out")
     kept = docs.join(out, "doc_id", "left_anti").select(docs.columns)
     several = stored(kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),

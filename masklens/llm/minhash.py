@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from masklens.llm.common import connected_components, stored
 
 WORDS_PER_SHINGLE = 5
-#: at the least similarity linked (0.85) a pair shares no band with probability (1 - 0.85**6)**32 < 3e-7
-BANDS, ROWS_PER_BAND = 32, 6
+#: a pair shares no band with probability (1 - 0.8**5)**32, about 3e-6, at similarity 0.80, and below 8e-9 at 0.85
+BANDS, ROWS_PER_BAND = 32, 5
 COORDINATES = BANDS * ROWS_PER_BAND
 #: shingles whose coordinates are computed at once (cache-sized), and members of a bucket that meet at once
 SLICE, CHUNK = 1 << 15, 256

@@ -25,6 +25,21 @@ def test_stages_on_odd_rows(spark, tmp_path):
     assert mixed.columns == docs.drop("target").columns
 
 
+def test_near_duplicates_link_at_080(spark):
+    """Long copies with single words changed, at 0.82 and 0.78, against brute force."""
+    def shingles(words):
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    first = [f"a{i}" for i in range(1000)]
+    near = [f"x{i}" if i % 51 == 25 else w for i, w in enumerate(first)]  # about 2% of the words
+    far = [f"y{i}" if i % 41 == 20 else w for i, w in enumerate(first)]
+    a, b, c = map(shingles, (first, near, far))
+    assert 0.80 < len(a & b) / len(a | b) < 0.85 and len(a & c) / len(a | c) < 0.80 and len(b & c) / len(b | c) < 0.80
+    docs = documents(spark, [(1, " ".join(first), "s"), (2, " ".join(near), "s"), (3, " ".join(far), "s")])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "/root/testdata/sf0.001")
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 3]
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     rows = got.collect()
