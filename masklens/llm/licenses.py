@@ -15,29 +15,77 @@ from pyspark.sql import functions as F
 
 from masklens.llm.common import stored
 
-#: notices as they stand in headers and licence files
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+#: names of software licences as notices write them
+SOFTWARE = {
+    "0BSD": ("BSD Zero Clause License",),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL v3", "AGPLv3"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License, Version 1.0",),
+    "CC0-1.0": ("CC0 1.0 Universal License", "Creative Commons CC0 1.0 Universal License"),
+    "EPL-1.0": ("Eclipse Public License 1.0", "Eclipse Public License v1.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL v2", "GPLv2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL v3", "GPLv3"),
+    "ISC": ("ISC License",),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL v2.1", "LGPLv2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL v3", "LGPLv3"),
+    "MIT": ("MIT License", "Expat License"),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0"),
+    "Unlicense": ("Unlicense",),
+    "Zlib": ("zlib License",),
+}
+CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+            "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+#: sentences of headers and licence files that do not name the licence, or name it otherwise
+SENTENCES = (
+    ("AGPL-3.0", "redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3"),
     ("Apache-2.0", "you may not use this file except in compliance with the Apache License, Version 2.0"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("GPL-2.0", "redistribute it and/or modify it under the terms of the GNU General Public License, version 2"),
     ("GPL-3.0", "redistribute it and/or modify it under the terms of the GNU General Public License, version 3"),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
-    ("MIT", "Released under the MIT License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL-2.1", "redistribute it and/or modify it under the terms of the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "redistribute it and/or modify it under the terms of the GNU Lesser General Public License, version 3"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
+
+
+def notices() -> tuple[tuple[str, str], ...]:
+    """(licence, notice) for every form that headers and licence files use."""
+    found = list(SENTENCES)
+    for name, forms in SOFTWARE.items():
+        found += [(name, f"{lead} the {form}") for form in forms for lead in ("Licensed under", "Released under", "This work is licensed under")]
+        found += [(name, f"SPDX-License-Identifier: {own}")
+                  for own in ((name, f"{name}-only", f"{name}-or-later") if "GPL" in name else (name,))]
+    for kind, words in CREATIVE.items():
+        for version, law in (("3.0", "Unported"), ("4.0", "International")):
+            name = f"CC-{kind}-{version}"
+            found += [(name, f"This work is licensed under a Creative Commons {words} {version} {law} License"),
+                      (name, f"Licensed under Creative Commons {words} {version}"), (name, f"Licensed under CC {kind} {version}"),
+                      (name, f"This work is licensed under CC {kind} {version}"), (name, f"SPDX-License-Identifier: {name}")]
+    return tuple(found)
+
+
+TEMPLATES = notices()
 LEAST = 0.6
-TOKEN = r"[\p{L}\p{N}]+"
+#: words; hyphens and dots within join, so that BY-NC, 3-Clause and 2.0 are one word each
+TOKEN = r"[\p{L}\p{N}]+(?:[-.][\p{L}\p{N}]+)*"
+#: words of any text, needed last
+COMMON = frozenset("a all and any are by except for in into is it may new not of or out person related rights the this to use "
+                   "with without work you".split())
 LICENCE_FILE = r"(?i)^(licen[cs]es?|copying|notice|unlicense)([.-].*)?$"
 
 
 def template_weights() -> tuple[dict[str, float], list[tuple[str, dict[str, float]]]]:
     """Inverse document frequencies over the templates, and each template's unit vector."""
-    words = [re.findall(r"[^\W_]+", t.lower()) for _, t in TEMPLATES]
+    words = [re.findall(r"[^\W_]+(?:[-.][^\W_]+)*", t.lower()) for _, t in TEMPLATES]
     idf = {w: math.log((1 + len(words)) / (1 + sum(w in own for own in words))) + 1 for own in words for w in own}
     vectors = []
     for (name, _), own in zip(TEMPLATES, words, strict=True):
@@ -49,11 +97,11 @@ def template_weights() -> tuple[dict[str, float], list[tuple[str, dict[str, floa
 
 def needed_words(vectors: list[tuple[str, dict[str, float]]], least: float) -> list[str]:
     """Words of which a text at cosine ``least`` or more to some template holds at least one: of each template
-    the heaviest, until the norm of the others is below ``least`` (Cauchy-Schwarz)."""
+    the heaviest, ``COMMON`` ones last, until the norm of the others is below ``least`` (Cauchy-Schwarz)."""
     needed = set()
     for _, own in vectors:
         rest = 1.0
-        for w, x in sorted(own.items(), key=lambda p: (-p[1], p[0])):
+        for w, x in sorted(own.items(), key=lambda p: (p[0] in COMMON, -p[1], p[0])):
             if rest < (least - 1e-9) ** 2:
                 break
             needed.add(w)
@@ -90,18 +138,20 @@ def best_notices(segments: DataFrame) -> DataFrame:
     """
     idf, vectors = template_weights()
     spark = segments.sparkSession
-    products = [f"t{i}" for i in range(len(vectors))]
-    known = spark.createDataFrame([(w, idf[w], *[own.get(w, 0.0) for _, own in vectors]) for w in sorted(idf)],
-                                  "word string, idf double, " + ", ".join(f"{t} double" for t in products))
+    known = spark.createDataFrame([(w, idf[w], [(i, own[w]) for i, (_, own) in enumerate(vectors) if w in own]) for w in sorted(idf)],
+                                  "word string, idf double, own array<struct<t: int, y: double>>")
+    names = F.array(*[F.lit(name) for name, _ in vectors])
     far = math.log(1 + len(TEMPLATES)) + 1
     words = (segments.select("uid", "k", F.explode(F.regexp_extract_all(F.lower("segment"), F.lit(f"({TOKEN})"), 1)).alias("word"))
              .groupBy("uid", "k", "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
              .join(F.broadcast(known), "word", "left")
              .withColumn("x", F.when(F.col("idf").isNull(), F.lit(far)).otherwise((F.log("tf") + 1.0) * F.col("idf"))))
-    summed = words.groupBy("uid", "k").agg(F.sum(F.col("x") * F.col("x")).alias("square"),
-                                           *[F.sum(F.col("x") * F.col(t)).alias(t) for t in products])
-    nearest = F.greatest(*[F.struct(F.round(F.coalesce(F.col(t), F.lit(0.0)) / F.sqrt("square"), 6).alias("score"),
-                                    F.lit(name).alias("license")) for t, (name, _) in zip(products, vectors, strict=True)])
+    square = F.sum(F.col("x") * F.col("x")).alias("square")
+    summed = (words.groupBy("uid", "k").agg(square, F.flatten(F.collect_list(F.transform("own", lambda o: F.struct(
+        o["t"].alias("t"), (F.col("x") * o["y"]).alias("y"))))).alias("own")).select("uid", "k", "square", F.explode("own").alias("own"))
+        .groupBy("uid", "k", "square", F.col("own")["t"].alias("t")).agg(F.sum(F.col("own")["y"]).alias("dot")))
+    nearest = F.struct(F.round(F.col("dot") / F.sqrt("square"), 6).alias("score"),
+                       F.element_at(names, F.col("t") + 1).alias("license"))
     return (summed.select("uid", nearest.alias("near")).groupBy("uid").agg(F.max("near").alias("near"))
             .select("uid", F.col("near")["score"].alias("score"), F.col("near")["license"].alias("license")))
 

@@ -323,3 +323,17 @@ def test_license_words_are_needed():
     _, vectors = licenses.template_weights()
     needed = set(licenses.needed_words(vectors, licenses.LEAST))
     assert all(sum(x * x for w, x in own.items() if w not in needed) < licenses.LEAST ** 2 for _, own in vectors)
+
+
+def test_license_notice_forms(spark, tmp_path):
+    """Each notice form, those of the pages among them, gets its own licence, by the scan and by brute force."""
+    told = [*licenses.TEMPLATES, ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+            ("ISC", "Licensed under the ISC License"), ("MIT", "// SPDX-License-Identifier: MIT"), ("MIT", "Released under the MIT License."),
+            ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+            ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+            ("AGPL-3.0", "redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3."),
+            ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.")]
+    df = spark.createDataFrame([(i, f"https://h{i}/x", f"<p>{t}</p>") for i, (_, t) in enumerate(told)],
+                               "page_id long, url string, html string")
+    got = {r.page_id: r.own_license for r in licenses.scan(df, str(tmp_path / "l")).collect()}
+    assert {i: got[i] for i in range(len(told))} == {i: name for i, (name, _) in enumerate(told)}
