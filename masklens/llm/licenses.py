@@ -1,7 +1,7 @@
 """License scans with DataFrame functions only: TF-IDF cosine to templates, then inheritance by path joins.
 
-Every line of a file, and the whole text of a licence file, is compared with short licence notices by sparse
-TF-IDF cosine. A file without a notice of its own inherits from its nearest ancestor directory that has one:
+Every line of a file, the word windows in it, and the whole text of a licence file are compared with short licence
+notices by sparse TF-IDF cosine. A file without a notice of its own inherits from its nearest ancestor directory that has one:
 a directory's licence is that of a licence file in it or of its index page (a path that ends in a slash).
 """
 
@@ -75,6 +75,11 @@ def notices() -> tuple[tuple[str, str], ...]:
 
 TEMPLATES = notices()
 LEAST = 0.6
+#: words in a window, at least, and words of which it holds one, as every template does: without them too little is said
+#: inside a sentence (the German word "mit", say)
+SHORTEST = 4
+CUES = ("license", "licensed", "permission", "redistribute", "redistribution", "released", "spdx-license-identifier",
+        "unencumbered", "waived")
 #: words; hyphens and dots within join, so that BY-NC, 3-Clause and 2.0 are one word each
 TOKEN = r"[\p{L}\p{N}]+(?:[-.][\p{L}\p{N}]+)*"
 #: words of any text, needed last
@@ -109,14 +114,13 @@ def needed_words(vectors: list[tuple[str, dict[str, float]]], least: float) -> l
     return sorted(needed)
 
 
-def can_reach(segment: Column, least: float) -> Column:
-    """Whether a segment's template words weigh enough for a cosine of ``least`` to any template: the cosine is at
-    most the norm of its template words over its whole norm."""
+def can_reach(tokens: Column, least: float) -> Column:
+    """Whether the template words of a segment (its words) weigh enough for a cosine of ``least`` to any template: the
+    cosine is at most the norm of its template words over its whole norm."""
     idf, _ = template_weights()
     words = sorted(idf)
     known, weight = F.array(*[F.lit(w) for w in words]), F.array(*[F.lit(idf[w]) for w in words])
     far = math.log(1 + len(TEMPLATES)) + 1
-    tokens = F.regexp_extract_all(F.lower(segment), F.lit(f"({TOKEN})"), 1)
 
     def enough(tokens: Column) -> Column:
         own = F.filter(tokens, lambda t: F.array_contains(known, t))
@@ -130,6 +134,33 @@ def can_reach(segment: Column, least: float) -> Column:
     return F.transform(F.array(tokens), enough)[0]
 
 
+def windows(tokens: Column) -> Column:
+    """The word windows of a line longer than themselves: of every template's length (``SHORTEST`` at least), from each
+    template word that has another one among the two words after it, with one of ``CUES``; and each SPDX tag with the
+    word after it."""
+    idf, _ = template_weights()
+    cues = F.array(*[F.lit(w) for w in CUES])
+    known = F.array(*[F.lit(w) for w in sorted(idf)])
+    lengths = sorted({len(re.findall(r"[^\W_]+(?:[-.][^\W_]+)*", t)) for _, t in TEMPLATES})
+    sizes = F.array(*[F.lit(n) for n in lengths if n >= SHORTEST])
+
+    def cut(line: Column) -> Column:
+        own, is_known, n = line["own"], line["is_known"], F.size(line["own"])
+        places = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+        here = lambda i: F.coalesce(F.get(is_known, i), F.lit(False))
+        starts = F.filter(places, lambda i: here(i) & (here(i + 1) | here(i + 2)))
+        inside = F.flatten(F.transform(starts, lambda i: F.transform(F.filter(sizes, lambda k: (k < n) & (i + k <= n)),
+                                                                     lambda k: F.slice(own, i + 1, k))))
+        tags = F.transform(F.filter(places, lambda i: (F.get(own, i) == "spdx-license-identifier") & (n > 2)),
+                           lambda i: F.slice(own, i + 1, F.lit(2)))
+        return F.when(F.arrays_overlap(own, cues), F.concat(F.filter(inside, lambda w: F.arrays_overlap(w, cues)), tags)
+                      ).otherwise(F.array().cast("array<array<string>>"))
+
+    told = F.transform(F.array(tokens), lambda own: F.struct(
+        own.alias("own"), F.transform(own, lambda t: F.array_contains(known, t)).alias("is_known")))
+    return F.transform(told, cut)[0]
+
+
 def best_notices(segments: DataFrame) -> DataFrame:
     """(uid, score, license) of the nearest template to any segment (uid, k, segment) of a uid.
 
@@ -161,14 +192,14 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
     """One row per file: ``page_id``, ``host``, ``path``, ``own_license``, ``own_score``, ``license``,
     ``inherited_from`` (directory) and ``status`` (own, inherited or none).
 
-    Markup is cut out of the whole text, each of its lines is a header candidate, and a licence file counts
-    as a whole too. The nearest notice at cosine ``least`` or more is the file's own (ties: the last
+    Markup is cut out of the whole text, each of its lines and each word window in it (``windows``) is a header
+    candidate, and a licence file counts as a whole too. The nearest notice at cosine ``least`` or more is the file's own (ties: the last
     licence by name). The directory of a file is its path up to the last slash; of several declarations in
     a directory a licence file comes first, then the larger score, then the licence's name. Null and empty
     texts have no notice; a null or odd URL has no directory and inherits nothing; repeated rows get equal
     results; an empty table gives an empty result; other columns are not read.
 
-    Scale: texts are read once and never shuffled; only lines that can reach ``least`` are. Ancestors are looked up once per distinct directory
+    Scale: texts are read once and never shuffled; only lines and windows that can reach ``least`` are. Ancestors are looked up once per distinct directory
     (pre-aggregated), and files join their directory's answer; both sides are stored, so that adaptive
     execution can split a host or directory that holds a third of all files.
     """
@@ -183,7 +214,10 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
             .withColumn("path", F.when(F.col("host").isNotNull(), F.when(F.col("path") == "", F.lit("/")).otherwise(F.col("path"))))
             .withColumn("is_file", F.coalesce(name.rlike(LICENCE_FILE), F.lit(False)))
             .withColumn("dir", F.regexp_extract("path", r"^(.*/)[^/]*$", 1)))
-    lines = F.filter(F.filter(F.split("plain", r"\R"), lambda x: x.rlike(hint)), lambda x: can_reach(x, least))
+    words = F.transform(F.filter(F.split("plain", r"\R"), lambda x: x.rlike(hint)),
+                        lambda x: F.regexp_extract_all(F.lower(x), F.lit(f"({TOKEN})"), 1))
+    lines = F.transform(F.filter(F.flatten(F.transform(words, lambda x: F.concat(F.array(x), windows(x)))),
+                                 lambda x: can_reach(x, least)), lambda x: F.array_join(x, " "))
     segments = F.when(F.col("is_file"), F.concat(lines, F.array("plain"))).otherwise(lines)
     # the row number is fixed by the write: every later table goes by it
     cut = stored(rows.select(F.monotonically_increasing_id().alias("uid"), "page_id", "host", "path", "dir", "is_file",

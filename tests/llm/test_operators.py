@@ -337,3 +337,18 @@ def test_license_notice_forms(spark, tmp_path):
                                "page_id long, url string, html string")
     got = {r.page_id: r.own_license for r in licenses.scan(df, str(tmp_path / "l")).collect()}
     assert {i: got[i] for i in range(len(told))} == {i: name for i, (name, _) in enumerate(told)}
+
+
+def test_license_notice_inside_a_paragraph(spark, tmp_path):
+    """Notices inside long one-line paragraphs count; words that notices merely share with other texts do not."""
+    prose = "Here we speak about quite different subjects and never mention any terms, " * 40
+    mit = ("MIT License Copyright (c) 2024 Example Corp Permission is hereby granted, free of charge, to any person obtaining a copy of "
+           "this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+           "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies")
+    told = [("MIT", "Copyright 2024 Example Corp. All rights reserved. Released under the MIT License. See the file for details."),
+            ("CC-BY-NC-4.0", f"{prose}Licensed under CC BY-NC 4.0. {prose}"), ("Apache-2.0", f"{prose}SPDX-License-Identifier: Apache-2.0 {prose}"),
+            ("MIT", mit), (None, prose), (None, "Er kam mit 3 Leuten mit in den Saal und ging mit 2 davon"), (None, "mit ihm for mit 4.0")]
+    df = spark.createDataFrame([(i, f"https://h{i}/x", f"<p>{t}</p>") for i, (_, t) in enumerate(told)],
+                               "page_id long, url string, html string")
+    got = {r.page_id: r.own_license for r in licenses.scan(df, str(tmp_path / "l")).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(told)}
