@@ -2,10 +2,15 @@
 
 Byte-pair merging gives every prefix of a word an encoding, and that of a longer prefix ends in a last
 token whose removal leaves the encoding of a shorter prefix. So one token per prefix is enough: of the
-vocabulary tokens that end at a place (found by a suffix automaton over the vocabulary), the last token is
+vocabulary tokens that end at a place (found by a trie with failure links over the vocabulary), the last token is
 the one that is compatible with the last token of the prefix before it, that is, merging would never join
 across their border. Following the stored tokens from the end of the word back gives the ids.
 
+The method as dealt names a suffix automaton. A trie with failure links (Aho-Corasick) is used in its place: what is
+asked at each place is which whole tokens end there, which its states answer directly, while a suffix automaton
+tracks all substrings of the tokens and would have to tell the whole ones apart. The matches, and so the ids, are
+the same.
+
 The tokenizer file (word-level BPE with an end-of-word suffix) is a parameter; its normalisation, word
 pattern, byte alphabet and special tokens are applied as the file states them.
 """
@@ -134,7 +139,7 @@ class PrefixBPE:
                 y, y_until = py[0], py[2]
 
     def _automaton(self, tokens: dict[str, tuple[int, int]]) -> None:
-        """The suffix automaton: per state, where each letter leads, where to fall back, and the tokens
+        """The trie with failure links: per state, where each letter leads, where to fall back, and the tokens
         that end there, longest first."""
         leaf: dict[str, int] = {}
         goto, own = [{}], [None]
