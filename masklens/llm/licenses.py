@@ -80,6 +80,8 @@ LEAST = 0.6
 SHORTEST = 4
 CUES = ("license", "licensed", "permission", "redistribute", "redistribution", "released", "spdx-license-identifier",
         "unencumbered", "waived")
+#: names that make a line of its own a notice without a word of licensing ("By." is none), beside ids such as GPLv3 or BY-NC
+NAMES = ("affero", "agpl", "apache", "bsd", "cc", "gnu", "gpl", "lgpl", "mozilla", "unlicense")
 #: words; hyphens and dots within join, so that BY-NC, 3-Clause and 2.0 are one word each
 TOKEN = r"[\p{L}\p{N}]+(?:[-.][\p{L}\p{N}]+)*"
 #: words of any text, needed last
@@ -214,9 +216,11 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
             .withColumn("path", F.when(F.col("host").isNotNull(), F.when(F.col("path") == "", F.lit("/")).otherwise(F.col("path"))))
             .withColumn("is_file", F.coalesce(name.rlike(LICENCE_FILE), F.lit(False)))
             .withColumn("dir", F.regexp_extract("path", r"^(.*/)[^/]*$", 1)))
+    idf, _ = template_weights()
+    telling = F.array(*[F.lit(w) for w in sorted({*CUES, *NAMES, *(w for w in idf if re.search(r"[a-z]{2}.*\d|\d.*[a-z]{2}|-", w))})])
     words = F.transform(F.filter(F.split("plain", r"\R"), lambda x: x.rlike(hint)),
                         lambda x: F.regexp_extract_all(F.lower(x), F.lit(f"({TOKEN})"), 1))
-    lines = F.transform(F.filter(F.flatten(F.transform(words, lambda x: F.concat(F.array(x), windows(x)))),
+    lines = F.transform(F.filter(F.flatten(F.transform(words, lambda x: F.concat(F.filter(F.array(x), lambda y: F.arrays_overlap(y, telling)), windows(x)))),
                                  lambda x: can_reach(x, least)), lambda x: F.array_join(x, " "))
     segments = F.when(F.col("is_file"), F.concat(lines, F.array("plain"))).otherwise(lines)
     # the row number is fixed by the write: every later table goes by it

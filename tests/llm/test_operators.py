@@ -347,7 +347,8 @@ def test_license_notice_inside_a_paragraph(spark, tmp_path):
            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies")
     told = [("MIT", "Copyright 2024 Example Corp. All rights reserved. Released under the MIT License. See the file for details."),
             ("CC-BY-NC-4.0", f"{prose}Licensed under CC BY-NC 4.0. {prose}"), ("Apache-2.0", f"{prose}SPDX-License-Identifier: Apache-2.0 {prose}"),
-            ("MIT", mit), (None, prose), (None, "Er kam mit 3 Leuten mit in den Saal und ging mit 2 davon"), (None, "mit ihm for mit 4.0")]
+            ("MIT", mit), (None, prose), (None, "Er kam mit 3 Leuten mit in den Saal und ging mit 2 davon"), (None, "mit ihm for mit 4.0"),
+            (None, "By."), ("CC-BY-NC-4.0", "CC BY-NC 4.0"), ("GPL-3.0", "GPLv3")]
     df = spark.createDataFrame([(i, f"https://h{i}/x", f"<p>{t}</p>") for i, (_, t) in enumerate(told)],
                                "page_id long, url string, html string")
     got = {r.page_id: r.own_license for r in licenses.scan(df, str(tmp_path / "l")).collect()}
