@@ -12,10 +12,12 @@ from masklens.llm.licenses import scan
 from masklens.llm.minhash import near_duplicates as near_duplicate_documents
 from masklens.llm.mixing import mix
 from masklens.llm.pii import KINDS, pseudonymize
+from masklens.llm.spelling import variant_groups
 from masklens.llm.suffixes import remove_repeats
 from masklens.llm.topk import exact_top_k
 from masklens.llm.toxicity import score_documents
 from masklens.llm.warc import as_records, read_records, write_bundles
+from masklens.llm.whitening import whiten
 
 #: the permutation key of the registered query and the pipeline; a deployment passes its own secret
 PII_KEY = b"masklens corpus key"
@@ -91,6 +93,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "pages"), scratch(spark, "op10"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened principal components of all vectors, fitted on the distinct ones."""
+    return whiten(table(spark, sf_dir, "embeddings"), scratch(spark, "op11"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents one edit apart, with the more common form of each."""
+    return variant_groups(table(spark, sf_dir, "documents"), scratch(spark, "op12"))
+
+
 _QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -102,6 +114,8 @@ _QUERIES = {
     "op8_toxicity_knn": op8_toxicity_knn,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 
