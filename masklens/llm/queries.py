@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from masklens.llm.bpe import encode_documents
 from masklens.llm.common import scratch, stored, table, word_count
 from masklens.llm.embeddings import near_duplicates
+from masklens.llm.language import identify_documents
 from masklens.llm.licenses import scan
 from masklens.llm.minhash import near_duplicates as near_duplicate_documents
 from masklens.llm.mixing import mix
@@ -103,6 +104,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_groups(table(spark, sf_dir, "documents"), scratch(spark, "op12"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, learned from the labels that are not held out."""
+    return identify_documents(table(spark, sf_dir, "documents"), scratch(spark, "op13")).drop("spans")
+
+
 _QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -116,6 +122,7 @@ _QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_language_id": op13_language_id,
 }
 
 

@@ -51,7 +51,7 @@ def corpus(seed=5):
             at = rnd.randrange(len(w))
             words += [w[:at] + rnd.choice("xyzé") + w[at + rnd.randint(0, 1):]] * rnd.choice((1, 2, 11))
             words += [w[:at] + w[at + 1:]] * rnd.choice((2, 3))
-    words += ["kettenwort"] * 400 + ["kettenwart"] * 25 + ["kettenwarz"] * 2  # a chain of forms
+    words += ["kettenwort"] * 2000 + ["kettenwart"] * 90 + ["kettenwarz"] * 5  # a chain of forms
     rnd.shuffle(words)
     texts = [rnd.choice((" ", "1", "_", "-")).join(words[i:i + 40]) for i in range(0, len(words), 40)]
     return [(i % 17 if i % 5 else None, t) for i, t in enumerate(texts)] + [(1, None), (2, ""), (3, "ab 12"), (4, texts[0]), (4, texts[0])]
