@@ -50,8 +50,10 @@ def _parse_text(text: Column) -> Column:
     parsed = F.from_json(text, CONFIG_TYPE, JSON_OPTIONS)
     # trailing JSON whitespace; the lookbehind keeps the match linear
     ends_ok = F.regexp_replace(text, r"(?<![ \t\n\r])[ \t\n\r]+$", "").endswith("}")
-    # one value and nothing after it: as the only element of an array
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    # one value and nothing after it: the only element of an array, and the only member of an object. A text that
+    # closes the bracket around it and opens another one can do so for one of the two kinds only.
+    alone = ((F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
+             & (F.size(F.json_object_keys(F.concat(F.lit('{"k":'), text, F.lit("}")))) == 1))
     return F.when(ends_ok & alone, parsed)
 
 
@@ -149,11 +151,14 @@ def config_union(bronze: DataFrame, config_col: str = "config") -> DataFrame:
     return both.withColumn("lookup", F.when(F.col("_form") == 10, F.col("lookup"))).drop("_form")
 
 
-def config_quarantine(bronze: DataFrame, config_col: str = "config") -> DataFrame:
-    """Config documents that cannot be flattened, with the reason."""
+def config_quarantine(bronze: DataFrame, config_col: str = "config", raw_first: bool = False) -> DataFrame:
+    """Config documents that cannot be flattened, with the reason.
+
+    ``raw_first`` must be the one given to :func:`flatten_config`.
+    """
     _last_key_wins(bronze)
     raw = F.col(config_col)
-    parsed = parse_config(raw)
+    parsed = parse_config(raw, raw_first)
     problem = F.coalesce(config_problem(parsed, raw), F.when(
         F.col("object_id").isNotNull() & F.col("object_id").try_cast("int").isNull(),
         F.lit("object_id is not an integer")))

@@ -74,8 +74,9 @@ def q_masking_ops_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = landed.read_log_lines(spark, folder).withColumns({
         "object_id": F.col("object_id").cast("string"),
         "load_date": F.lit(fixtures.FIXTURE_LOAD_DATE).cast("timestamp")})
-    return contract.conform_operations(contract.parse_landed_lines(lines, landed.LINE_ORDER),
-                                       processed_time=PROCESSED_TIME)
+    # a log is a file: two files of one object keep their own state
+    ops = contract.parse_landed_lines(lines, landed.LINE_ORDER, ident=("object_id", "load_date", "filename"))
+    return contract.conform_operations(ops, processed_time=PROCESSED_TIME)
 
 
 def fcfg_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +192,9 @@ def q_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows for manifest objects with both files landed."""
     manifest, configs, logs = fixtures.f_man(table(spark, sf_dir, "pages"),
                                              table(spark, sf_dir, "documents"))
-    return landed.bronze_documents(manifest, configs, logs, load_date=fixtures.FIXTURE_LOAD_DATE)
+    folder = scratch_folder(spark, "manifest")
+    fixtures.land_manifest(manifest, folder)
+    return landed.bronze_documents(landed.read_manifest(spark, folder), configs, logs, load_date=fixtures.FIXTURE_LOAD_DATE)
 
 
 def q_activity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +327,26 @@ def q_feed_page_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.feed_rows(feed.read_feed_pages(spark, folder, pages.schema, mode="array"), fixtures.F_FEED_MAPPING)
 
 
+def _landed_chain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Linked pages landed as JSON lines and read back, and where each stands in its chain."""
+    records = fixtures.f_feed_pages(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    folder = scratch_folder(spark, "feed-chain")
+    fixtures.f_linked_pages(records).write.json(folder)
+    pages = feed.read_feed_pages(spark, folder, feed.linked_page_schema(records.schema), mode="lines")
+    return pages, feed.page_chains(pages.select("page", feed.next_link(F.col("link")).alias("next")))
+
+
+def q_feed_page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of linked feed pages with their place in the chain of ``next`` links."""
+    pages, chains = _landed_chain(spark, sf_dir)
+    return feed.chain_records(pages, chains, fixtures.F_FEED_MAPPING)
+
+
+def q_feed_chain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chains of linked feed pages, with those that are broken or cyclic."""
+    return feed.chain_report(_landed_chain(spark, sf_dir)[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
@@ -357,4 +380,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lifecycle_feed": q_lifecycle_feed,
     "feed_page_files": q_feed_page_files,
     "feed_page_arrays": q_feed_page_arrays,
+    "feed_page_chain": q_feed_page_chain,
+    "feed_chain_report": q_feed_chain_report,
 }

@@ -147,6 +147,18 @@ def f_man(pages: DataFrame, documents_: DataFrame) -> tuple[DataFrame, DataFrame
     return manifest, configs, logs
 
 
+# Runs per landed manifest file.
+MANIFEST_RUNS = 1000
+
+
+def land_manifest(manifest: DataFrame, folder: str) -> None:
+    """F-MAN's manifest as landed files, each one JSON array of about 1,000 runs."""
+    run = F.struct(*manifest.columns)
+    (manifest.select(F.floor(F.col("objectID").cast("long") / MANIFEST_RUNS).alias("part"), run.alias("run"))
+     .groupBy("part").agg(F.to_json(F.collect_list("run")).alias("value"))
+     .write.partitionBy("part").text(folder))
+
+
 def f_feed_pages(events: DataFrame, customer: DataFrame) -> DataFrame:
     """F-FEED: feed records with the user fields nested in a struct."""
     e = events.alias("e")
@@ -175,6 +187,34 @@ def land_feed_arrays(pages: DataFrame, folder: str) -> None:
      .write.partitionBy("page").text(folder))
 
 
+# F-CHAIN: the feed as linked pages. Seven feeds (``post_id % 7``) of pages of ten records, addressed by a hash, so that
+# names tell nothing about the order. Of feed 5 every 40th page has not landed; feed 6 leads back to its first page.
+CHAIN_FEEDS, CHAIN_RECORDS = 7, 10
+CHAIN_ADDRESS = "https://feed.example/posts?cursor="
+
+
+def f_linked_pages(pages: DataFrame) -> DataFrame:
+    """F-CHAIN pages (page, link, records) from F-FEED records."""
+    records = pages.withColumns({
+        "_feed": F.col("post_id") % CHAIN_FEEDS, "_k": F.floor(F.col("post_id") / (CHAIN_FEEDS * CHAIN_RECORDS))})
+
+    def address(feed: Column, k: Column) -> Column:
+        return F.concat(F.lit(CHAIN_ADDRESS), F.md5(F.concat_ws("-", feed, k)))
+
+    def link(target: Column, rel: str) -> Column:
+        return F.concat(F.lit("<"), target, F.lit(f'>; rel="{rel}"'))
+
+    last = records.groupBy("_feed").agg(F.max("_k").alias("_last"))
+    grouped = records.groupBy("_feed", "_k").agg(
+        F.array_sort(F.collect_list(F.struct(*pages.columns))).alias("records")).join(last, "_feed")
+    landed_ = grouped.where(~((F.col("_feed") == 5) & (F.col("_k") % 40 == 17)))
+    feed, k = F.col("_feed"), F.col("_k")
+    follower = F.when(k < F.col("_last"), address(feed, k + 1)).when(feed == 6, address(feed, F.lit(0)))
+    return landed_.select(
+        address(feed, k).alias("page"),
+        F.concat_ws(", ", F.when(k > 0, link(address(feed, k - 1), "prev")), link(follower, "next")).alias("link"), "records")
+
+
 # Mapping of the flattened fixture pages onto the feed table.
 F_FEED_MAPPING = [
     ("post_id", "post_id"), ("time", "time"), ("user.user_id", "user_id"),

@@ -239,6 +239,40 @@ SELECT CAST(e.event_id AS VARCHAR) AS post_id, CAST(NULL AS VARCHAR) AS post_tit
   CAST(NULL AS VARCHAR) AS post_slug, CAST(NULL AS VARCHAR) AS post_type, CAST(NULL AS VARCHAR) AS user_role
 FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey"""
 
+# Linked feed pages: walked back from their ends, page by page.
+_CHAINS = """
+WITH RECURSIVE rec AS (SELECT event_id, event_id % 7 AS f, event_id // 70 AS k FROM events),
+numbers AS (SELECT f, k, max(k) OVER (PARTITION BY f) AS last FROM (SELECT DISTINCT f, k FROM rec)),
+page AS (
+  SELECT f, k, 'https://feed.example/posts?cursor=' || md5(f || '-' || k) AS name,
+    'https://feed.example/posts?cursor=' || md5(f || '-' || CASE WHEN k < last THEN k + 1 WHEN f = 6 THEN 0 END) AS next
+  FROM numbers WHERE NOT (f = 5 AND k % 40 = 17)
+),
+walk AS (
+  SELECT name, name AS end_page, 0 AS dist, next AS missing FROM page
+  WHERE next IS NULL OR next NOT IN (SELECT name FROM page)
+  UNION ALL
+  SELECT p.name, w.end_page, w.dist + 1, w.missing FROM page p JOIN walk w ON p.next = w.name
+),
+chains AS (SELECT end_page, max(dist) AS far, arg_max(name, dist) AS chain FROM walk GROUP BY end_page),
+ranked AS (
+  SELECT w.name, c.chain, c.far - w.dist AS page_rank, w.missing,
+    CASE WHEN w.missing IS NULL THEN 'complete' ELSE 'broken' END AS status
+  FROM walk w JOIN chains c USING (end_page)
+  UNION ALL
+  SELECT name, min(name) OVER (PARTITION BY f), NULL, NULL, 'cyclic' FROM page
+  WHERE name NOT IN (SELECT name FROM walk)
+)"""
+
+FEED_CHAIN_REPORT = _CHAINS + """
+SELECT chain, status, missing, count(*) AS pages FROM ranked GROUP BY ALL"""
+
+FEED_PAGE_CHAIN = _CHAINS + ", feed AS (" + ACTIVITY_FEED + """)
+SELECT feed.*, r.chain, CAST(r.page_rank AS BIGINT) AS page_rank,
+  CAST(row_number() OVER (PARTITION BY p.name ORDER BY rec.event_id) - 1 AS INTEGER) AS position
+FROM feed JOIN rec ON feed.post_id = CAST(rec.event_id AS VARCHAR)
+JOIN page p ON p.f = rec.f AND p.k = rec.k JOIN ranked r ON r.name = p.name"""
+
 CSV_SELECTED = "WITH RECURSIVE " + MASK_FOLD + """
 SELECT CAST(coalesce(cycle, 0) AS BIGINT) AS cycle, coalesce(schema, '') AS schema, coalesce("table", '') AS "table",
   CASE WHEN line_no % 97 = 7 THEN NULL ELSE CAST(coalesce(CAST(row_count AS DOUBLE), 0) AS BIGINT) END AS row_count,
@@ -434,6 +468,8 @@ ORACLE_SQL = {
     "ops_by_date": OPS_BY_DATE,
     "manifest_documents": MANIFEST_DOCUMENTS,
     "activity_feed": ACTIVITY_FEED,
+    "feed_page_chain": FEED_PAGE_CHAIN,
+    "feed_chain_report": FEED_CHAIN_REPORT,
     "csv_selected": CSV_SELECTED,
     "gold_conform": GOLD_CONFORM,
     "gold_config_conform": GOLD_CONFIG_CONFORM,

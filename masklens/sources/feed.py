@@ -3,17 +3,27 @@
 The original pulls a paged REST feed. Here the pages are JSON files already
 landed; they are read with a fixed schema, nested objects are flattened to
 ``a.b`` columns and mapped onto the sixteen text columns of the feed table.
+
+A paged feed is a chain: every page's ``Link`` header names the next one. Pages
+landed with their headers are put back into chain order by list ranking
+(pointer doubling), which also tells whether a chain is complete.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from masklens import schemas
+from masklens.session import ensure_checkpoint_dir
 
 FLATTEN_DELIMITER = "."
+# A link of a Link header: its target, then its parameters up to the next link.
+LINK = r"<([^>]*)>([^<]*)"
+REL_NEXT = r"""(?i);\s*rel\s*=\s*("([^"]*\s)?next(\s[^"]*)?"|next(?![^\s;,]))"""
 
 
 # Records without nesting: every field of the feed table as text.
@@ -57,6 +67,10 @@ def map_columns(df: DataFrame, mapping: list[tuple[str, str]] | None = None) ->
 
     Sinks without a present source are null; every value is cast to text.
     """
+    return df.select(*_mapped(df, mapping))
+
+
+def _mapped(df: DataFrame, mapping: list[tuple[str, str]] | None) -> list[Column]:
     if mapping is None:
         mapping = [(name, name) for name in schemas.FEED_FIELDS]
     present = set(df.columns)
@@ -68,9 +82,85 @@ def map_columns(df: DataFrame, mapping: list[tuple[str, str]] | None = None) ->
             cols.append(F.col(f"`{src}`").cast("string").alias(sink))
         else:
             cols.append(F.lit(None).cast("string").alias(sink))
-    return df.select(*cols)
+    return cols
 
 
 def feed_rows(pages: DataFrame, mapping: list[tuple[str, str]] | None = None) -> DataFrame:
     """S8 -> F7 -> F6: landed pages as rows of the feed table."""
     return map_columns(flatten(pages), mapping)
+
+
+def linked_page_schema(record: StructType) -> StructType:
+    """A landed page: its address, its ``Link`` header and its records."""
+    return StructType([StructField("page", StringType()), StructField("link", StringType()),
+                       StructField("records", ArrayType(record))])
+
+
+def next_link(header: Column) -> Column:
+    """The target of the first link with relation ``next`` in a ``Link`` header, or null."""
+    links = F.arrays_zip(F.regexp_extract_all(header, F.lit(LINK), 1).alias("target"),
+                         F.regexp_extract_all(header, F.lit(LINK), 2).alias("told"))
+    return F.get(F.filter(links, lambda x: x["told"].rlike(REL_NEXT)), 0)["target"]
+
+
+def page_chains(pages: DataFrame, page: str = "page", next_page: str = "next") -> DataFrame:
+    """Where every landed page stands in its chain of ``next`` links.
+
+    One row per page address: ``page``, ``next``, ``chain`` (the chain's first page), ``page_rank`` (from 0), ``status`` and
+    ``missing``. ``status`` is ``complete`` (the chain ends with a page without a next one), ``broken`` (it ends with a page
+    whose next one has not landed: ``missing``), ``merged`` (several pages name the same next page; pages
+    are ranked by their distance from the end, the chain is the furthest page, the first by name of several) or ``cyclic`` (no
+    first page: ``chain`` is the cycle's first page by name, without rank). A page landed several times counts once, with
+    the link it has (the first by name if they differ); rows without an address are left out.
+
+    List ranking by pointer doubling: every round doubles the distance each pointer spans, so a chain of n pages takes
+    log2(n) rounds of one equi-join each, whatever its length; pages that reached their end leave the join. Each round is
+    checkpointed (reliable, in the session's checkpoint folder) and one count reaches the driver.
+    """
+    ensure_checkpoint_dir(pages.sparkSession)
+    nodes = (pages.where(F.col(page).isNotNull()).groupBy(F.col(page).alias("page")).agg(F.min(next_page).alias("next"))
+             .checkpoint())
+    known = nodes.select(F.col("page").alias("follower"))
+    # far: the page that ``hops`` links lead to; low: the first page by name among those passed
+    at = nodes.join(known, nodes["next"] == known["follower"], "left").select(
+        "page", F.coalesce("follower", "page").alias("far"), F.col("follower").isNotNull().cast("long").alias("hops"),
+        F.col("follower").isNull().alias("ended"), F.col("page").alias("low")).checkpoint()
+    for _ in range(math.ceil(math.log2(max(2, nodes.count()))) + 1):
+        if not at.where("not ended").limit(1).count():
+            break
+        there = at.select(F.col("page").alias("far"), F.col("far").alias("far2"), F.col("hops").alias("hops2"),
+                          F.col("ended").alias("ended2"), F.col("low").alias("low2"))
+        moved = at.where("not ended").join(there, "far").select(
+            "page", F.col("far2").alias("far"), (F.col("hops") + F.col("hops2")).alias("hops"), F.col("ended2").alias("ended"),
+            F.least("low", "low2").alias("low"))
+        at = at.where("ended").unionByName(moved).checkpoint()
+    # chains with an end: one row each, summed before the shuffle
+    ends = (at.where("ended").groupBy("far").agg(F.max(F.struct("hops")).alias("last"), F.count(F.lit(1)).alias("pages"),
+                                                 F.min(F.struct((-F.col("hops")).alias("back"), "page")).alias("first"))
+            .join(nodes.select(F.col("page").alias("far"), F.col("next").alias("missing")), "far"))
+    status = (F.when(F.col("pages") > F.col("last")["hops"] + 1, "merged").when(F.col("missing").isNotNull(), "broken")
+              .otherwise("complete"))
+    ranked = at.where("ended").join(ends, "far").select(
+        "page", F.col("first")["page"].alias("chain"), (F.col("last")["hops"] - F.col("hops")).alias("page_rank"),
+        status.alias("status"), "missing")
+    # a pointer that never ended stands inside a cycle, and has passed all of it
+    cycles = at.where("not ended").select(F.col("page").alias("far"), F.col("low").alias("chain"))
+    cyclic = at.where("not ended").select("page", "far").join(cycles, "far").select(
+        "page", "chain", F.lit(None).cast("long").alias("page_rank"), F.lit("cyclic").alias("status"),
+        F.lit(None).cast("string").alias("missing"))
+    return nodes.join(ranked.unionByName(cyclic), "page").select("page", "next", "chain", "page_rank", "status", "missing")
+
+
+def chain_report(chains: DataFrame) -> DataFrame:
+    """One row per chain of :func:`page_chains`: its pages, how it ends, and the page that is missing."""
+    return chains.groupBy("chain", "status", "missing").agg(F.count(F.lit(1)).alias("pages"))
+
+
+def chain_records(pages: DataFrame, chains: DataFrame, mapping: list[tuple[str, str]] | None = None) -> DataFrame:
+    """S8 -> F7 -> F6 in chain order: the feed's sixteen columns of every record of linked pages (``page``, ``records``), with
+    ``chain``, ``page_rank`` and ``position`` in the page. A page landed twice gives its records twice, as an append does."""
+    rows = pages.where(F.col("page").isNotNull()).select("page", F.posexplode("records").alias("position", "record"))
+    placed = rows.join(chains.select("page", "chain", "page_rank"), "page")
+    order = ["chain", "page_rank", "position"]
+    flat = flatten(placed.select(F.struct(*order).alias("_at"), "record.*"))
+    return flat.select(*_mapped(flat, mapping), *[F.col(f"`_at.{c}`").alias(c) for c in order])

@@ -98,3 +98,21 @@ def test_text_after_the_config_is_rejected(spark):
                                "object_id string, config string, masking_log string, load_date timestamp")
     assert sorted(r["object_id"] for r in config.flatten_config(df).collect()) == [1, 4]
     assert sorted(r["object_id"] for r in config.config_quarantine(df).collect()) == ["2", "3"]
+
+
+def test_text_that_closes_a_wrapping_bracket_is_rejected(spark):
+    one = '{"S": {"T": []}}'
+    texts = [one, one + "],[" + one, one + ',"x":' + one, one + "}," + one, "{}", '{"S": {}}']
+    b = _bronze(spark, [(str(i), t) for i, t in enumerate(texts)])
+    assert {r.object_id for r in config.config_quarantine(b).collect()} == {"1", "2", "3"}
+
+
+def test_raw_first_and_quarantine_agree(spark):
+    """A config that raw_first keeps is not quarantined as well."""
+    full = ('{"S": {"T": [{"column_name": "", "data_type": "d", "data_length": "1", "pattern_name": "p", "Result": "r", '
+            '"parameter": "x"}]}}')
+    b = _bronze(spark, [("1", full), ("2", "{")])
+    kept = {r.object_id for r in config.flatten_config(b, raw_first=True).collect()}
+    bad = {r.object_id for r in config.config_quarantine(b, raw_first=True).collect()}
+    assert (kept, bad) == ({1}, {"2"})
+    assert {r.object_id for r in config.config_quarantine(b).collect()} == {"1", "2"}

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from masklens import schemas
-from masklens.operators import sinks
+from masklens.operators import contract, sinks
 from masklens.sources import csv_v1, feed, landed
 
 LOAD = dt.datetime(2024, 2, 1)
@@ -145,7 +145,7 @@ def test_gold_text_is_cut_between_characters(spark):
 
 def test_log_files_larger_than_a_split(spark, tmp_path):
     """One file read in several splits gives its lines in order, and the same operations as the whole text."""
-    from masklens.operators import contract
+
 
     text = "\n".join(
         f"01/01/2024 {h:02d}:{m:02d}:{s:02d} :: COLUMN : C{s % 7} Mask {'Started' if s % 2 == 0 else 'Finished'}"
@@ -166,3 +166,17 @@ def test_log_files_larger_than_a_split(spark, tmp_path):
     expected = [tuple(r[f] for f in fields) for r in contract.parse_masking_logs(whole).collect()]
     assert len(expected) == 7200
     assert sorted(map(repr, expected)) == sorted(repr(tuple(r[f] for f in fields)) for r in ops)
+
+
+def test_two_log_files_of_one_object_keep_their_own_state(spark, tmp_path):
+    """The file is part of a log's identity: a column that one file starts is not finished by the other."""
+    folder = tmp_path / "logs" / "object_id=7"
+    folder.mkdir(parents=True)
+    stamp = "01/02/2024 00:00:0%d :: %s\n"
+    (folder / "a.txt").write_text(stamp % (1, "COLUMN : A Mask Started") + stamp % (2, "COLUMN : A Mask Finished"))
+    (folder / "b.txt").write_text(stamp % (3, "COLUMN : B Mask Started") + stamp % (4, "MASKING HAS STARTED"))
+    lines = landed.read_log_lines(spark, str(tmp_path / "logs")).withColumns(
+        {"object_id": F.col("object_id").cast("string"), "load_date": F.lit("2024-02-01").cast("timestamp")})
+    ops = contract.parse_landed_lines(lines, landed.LINE_ORDER, ident=("object_id", "load_date", "filename"))
+    got = {(r.column, r.status, r.cycle) for r in contract.conform_operations(ops).collect()}
+    assert got == {("A", "Passed", 0), ("B", "Failed", 1)}
