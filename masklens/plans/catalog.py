@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masklens.operators import calendar, config, contract, joins, measures, sinks
+from masklens.operators import batches, calendar, config, contract, joins, measures, sinks
 from masklens.operators.loglines import documents, log_lines
 from masklens.plans import fixtures
 from masklens.session import ensure_checkpoint_dir
@@ -347,6 +347,52 @@ def q_feed_chain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.chain_report(_landed_chain(spark, sf_dir)[1])
 
 
+def q_default_sums_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, A4: the Gold model's default sums by every one of its group columns, in one scan."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return measures.sums_by_every_column(ops, measures.GOLD_GROUPING, measures.GOLD_SUMMED)
+
+
+def q_default_sums_v1_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2, A4: the first model's default sums by every one of its group columns, in one scan."""
+    fact = measures.v1_fact(contract.parse_masking_logs(flog_bronze(spark, sf_dir)))
+    return measures.sums_by_every_column(fact, measures.V1_GROUPING, measures.V1_SUMMED)
+
+
+def q_join_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + A3: the sums of the operations-config join by schema, table and status, without the join's rows."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return measures.join_sums(ops, config.flatten_config(fcfg_bronze(spark, sf_dir)), ["schema", "table", "status"], [])
+
+
+def q_join_sums_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + A3: the same by the operations' status and the config's pattern."""
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    return measures.join_sums(ops, config.flatten_config(fcfg_bronze(spark, sf_dir)), ["status"], ["pattern_name"])
+
+
+def q_repeatable_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2-K4, K6, K7, K9: three loads, each cut off on the way and run again; the Gold logs table with its batches.
+
+    A load is cut off between its writes and once more inside one: a partition is there without its ledger entry.
+    """
+    base = scratch_folder(spark, "batches")
+    logs, configs = flog_bronze(spark, sf_dir), fcfg_bronze(spark, sf_dir)
+    loads = logs.drop("config").join(configs.select("object_id", "config"), "object_id")
+    gold = f"{sinks.GOLD_DB}_{uuid.uuid4().hex}"
+    batches.create_gold_batches(spark, gold, location=f"{base}/gold")
+    for k, until in enumerate(("bronze", "silver", "gold")):
+        load, name = loads.where(F.col("object_id").cast("long") % 3 == k), f"load-{k}"
+        batches.run_batch(spark, load, name, base, gold, PROCESSED_TIME, until=until)
+        if until == "bronze":  # ended while it wrote Silver
+            sinks.overwrite_path(contract.silver_operations(load, processed_time=PROCESSED_TIME),
+                                 f"{base}/{batches.SILVER_OPS}/batch_id={name}")
+        errors = batches.run_batch(spark, load, name, base, gold, PROCESSED_TIME)
+        if any(errors.values()):
+            raise RuntimeError(f"Gold copy failed: {errors}")
+    return spark.table(f"{gold}.{sinks.GOLD_LOGS}")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
@@ -382,4 +428,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_page_arrays": q_feed_page_arrays,
     "feed_page_chain": q_feed_page_chain,
     "feed_chain_report": q_feed_chain_report,
+    "default_sums_by_column": q_default_sums_by_column,
+    "default_sums_v1_by_column": q_default_sums_v1_by_column,
+    "join_sums": q_join_sums,
+    "join_sums_by_pattern": q_join_sums_by_pattern,
+    "repeatable_batches": q_repeatable_batches,
 }

@@ -486,3 +486,36 @@ ORACLE_SQL["feed_page_arrays"] = ORACLE_SQL["activity_feed"]
 ORACLE_SQL["masking_ops_log_files"] = ORACLE_SQL["masking_ops_contract"]
 ORACLE_SQL["lifecycle_gold_config"] = (
     f"SELECT * FROM ({ORACLE_SQL['gold_config_conform']}) WHERE object_id IN (SELECT user_id FROM events)")
+
+
+def _by_every_column(rows: str, grouping: list[str], sums: str) -> str:
+    """Sums of ``rows`` by GROUPING SETS of one column each."""
+    quoted = [f'"{c}"' for c in grouping]
+    name = " ".join(f"WHEN grouping({q}) = 0 THEN '{c}'" for c, q in zip(grouping, quoted))
+    value = " ".join(f"WHEN grouping({q}) = 0 THEN CAST({q} AS VARCHAR)" for q in quoted)
+    return (f"{rows} SELECT CASE {name} END AS group_column, CASE {value} END AS group_value, {sums}, count(*) AS n_ops FROM facts "
+            f"GROUP BY GROUPING SETS ({', '.join(f'({q})' for q in quoted)})")
+
+
+_GOLD_SUMS = """sum(cycle) AS cycle, round(sum(row_count), 2) AS row_count, round(sum(distinct_row_count), 2) AS distinct_row_count,
+  round(sum(duration_secs), 2) AS duration_secs, round(sum(duration_mins), 2) AS duration_mins, sum(object_id) AS object_id"""
+ORACLE_SQL["default_sums_by_column"] = _by_every_column(
+    "WITH RECURSIVE " + MASK_FOLD + ", facts AS (" + SILVER_BODY + ")",
+    ["schema", "table", "column", "status", "start_time", "end_time", "error", "processed_time", "processed_by"], _GOLD_SUMS)
+ORACLE_SQL["default_sums_v1_by_column"] = _by_every_column(
+    "WITH RECURSIVE " + MASK_FOLD + """, facts AS (SELECT schema, "table", "column", status, start_time, end_time, error,
+      CAST(coalesce(CAST(row_count AS DOUBLE), 0) AS BIGINT) AS row_count,
+      CAST(coalesce(CAST(distinct_row_count AS DOUBLE), 0) AS BIGINT) AS distinct_row_count,
+      CAST(coalesce(duration_secs, 0) AS BIGINT) AS secs,
+      coalesce(CASE WHEN duration_secs <> 0 THEN round(duration_secs / 60, 2) END, 0) AS mins,
+      CAST(coalesce(cycle, 0) AS BIGINT) AS cycle, CAST(line_no AS BIGINT) AS line_number FROM ops)""",
+    ["schema", "table", "column", "status", "start_time", "end_time", "error"],
+    """sum(row_count) AS row_count, sum(distinct_row_count) AS distinct_row_count, sum(secs) AS "duration(s)",
+  round(sum(mins), 2) AS "duration(min)", sum(cycle) AS cycle, sum(line_number) AS line_number""")
+
+# The materialised join, summed.
+_JOINED = "WITH joined AS (" + OPS_CONFIG_JOIN + ") SELECT {by}, " + _GOLD_SUMS + ", count(*) AS n_pairs FROM joined GROUP BY ALL"
+ORACLE_SQL["join_sums"] = _JOINED.format(by='schema, "table", status')
+ORACLE_SQL["join_sums_by_pattern"] = _JOINED.format(by="status, pattern_name AS config_pattern_name")
+ORACLE_SQL["repeatable_batches"] = (
+    f"SELECT *, 'load-' || CAST(object_id % 3 AS VARCHAR) AS batch_id FROM ({ORACLE_SQL['table_lifecycle']})")
