@@ -251,18 +251,88 @@ def test_topk(spark, tmp_path):
 # 8 toxicity
 
 def test_block_max_index_is_exact():
+    """Neighbours with all ties at the last place, against all cosines; one block, many blocks, equal vectors."""
     rnd = np.random.default_rng(8)
-    idf = rnd.uniform(1, 3, 60)
-    vectors = [toxicity.unit_vector(t := sorted(rnd.choice(60, rnd.integers(0, 8), replace=False)), rnd.integers(1, 5, len(t)), idf)
-               for _ in range(500)]
-    index = toxicity.BlockMaxIndex(toxicity.Examples(list(range(500)), [i % 2 for i in range(500)], vectors), 60, idf)
-    for t, w in vectors[:80]:
+    weights = rnd.uniform(0.1, 3, 60) * (rnd.random(60) > 0.1)
+    raw = [(sorted(rnd.choice(60, rnd.integers(0, 8), replace=False)), rnd.integers(1, 5, 8)) for _ in range(700)]
+    raw += [raw[5], raw[5], ([3], [1]), ([3], [2]), *[([7, 9], [1, 1])] * 30]
+    vectors = [toxicity.unit_vector(t, n[:len(t)], weights) for t, n in raw]
+    index = toxicity.BlockMaxIndex(toxicity.Examples(list(range(len(raw))), [i % 2 for i in range(len(raw))], vectors), weights)
+    for t, w in [*vectors[:80], vectors[-1], vectors[-31]]:
+        if not len(t):
+            continue
         dense = np.zeros(60)
         dense[t] = w
-        sims = [(round(float(dense[u] @ x), 12), i) for i, (u, x) in enumerate(vectors) if len(u)]
-        want = sorted([(-s, i) for s, i in sims if s > 0])[:15]
-        got = [(-s, int(index.ids[p])) for s, p in index.top(t, w)]
-        assert [i for _, i in got] == [i for _, i in want] or [s for s, _ in got] == pytest.approx([s for s, _ in want])
+        sims = {i: round(float(dense[u] @ x), 10) for i, (u, x) in enumerate(vectors) if len(u)}
+        last = sorted((s for s in sims.values() if s > 0), reverse=True)[:15][-1]
+        got = index.top(t, w)
+        assert {int(index.ids[p]) for _, p in got} == {i for i, s in sims.items() if s >= last and s > 0}
+        assert [c for c, _ in got] == sorted((c for c, _ in got), reverse=True)
+
+
+def toxicity_by_brute_force(texts, labelled):
+    """Scores from the definitions alone: dictionaries, all cosines, votes."""
+    def terms(text):
+        got = collections.Counter()
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            got.update([w, w[:5] + "-"] if len(w) > 5 else [w])
+        return got
+
+    known = [(terms(t), y) for t, y in labelled]
+    n, pos = len(known), sum(y for _, y in known)
+    weight = {}
+    for w in {w for t, _ in known for w in t}:
+        df, both = sum(w in t for t, _ in known), sum(y for t, y in known if w in t)
+        chi2 = (both * n - df * pos) ** 2 / (df * (n - df) * pos * (n - pos)) if df < n else 0
+        weight[w] = chi2 * (np.log((1 + len(texts)) / (1 + sum(w in terms(t) for t in texts))) + 1)
+
+    def vector(t):
+        v = {w: (1 + np.log(c)) * weight[w] for w, c in t.items() if weight.get(w, 0) > 0}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors, prior, out = [(vector(t), y) for t, y in known], pos / n, []
+    for text in texts:
+        own = vector(terms(text))
+        if not own:
+            m = [y for v, y in vectors if not v]
+            k = (len(m) - 1) / len(m) if m else 0
+            out.append((k * sum(m) + prior) / (k * len(m) + 1))
+            continue
+        cosine = [(round(sum(x * v.get(w, 0) for w, x in own.items()), 10), y) for v, y in vectors if v]
+        cosine = sorted([c for c in cosine if c[0] > 0], key=lambda c: -c[0])
+        near = [c for c in cosine if c[0] >= cosine[:15][-1][0]]
+        m = sum(c >= 1 for c, _ in near)
+        votes = [((1 if c < 1 else (m - 1) / m) / (1.05 - c), y) for c, y in near]
+        out.append((sum(v * y for v, y in votes) + prior) / (sum(v for v, _ in votes) + 1))
+    return out
+
+
+def test_toxicity_equals_brute_force(spark, tmp_path):
+    """The whole score on 20 labelled documents among odd ones; few labels still tell texts apart."""
+    import random
+
+    rnd = random.Random(3)
+    words = ["lorem", "ipsum", "dolorsit", "amet", "consectetur", "adipiscing", "elit"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(1, 12)) + (["Scumbag", "idiot"] if i % 4 == 0 else [])) for i in range(40)]
+    texts += [None, "", "42 !?", "unknown zzz", texts[0], texts[1], "idiot " * 4000]
+    rows = [(i, t, "x", 5) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string, score int")
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1 and i < 40][:20]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in ids], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, labels, str(tmp_path / "t")).collect()}
+    want = toxicity_by_brute_force(texts, [(texts[i], int(i % 4 == 0)) for i in ids])
+    assert [got[i].score for i in range(len(texts))] == pytest.approx(want, abs=1e-9)
+    assert len({round(s, 6) for s in want}) > 5 and got[46].predicted == 1
+
+
+def test_toxicity_rows_of_shared_and_null_ids(spark, tmp_path):
+    rows = [(1, "nice words here", 0), (1, "idiot scum", 1), (None, "idiot scum", 2), (None, None, 3)]
+    docs = spark.createDataFrame([*rows, *[(i, ("idiot scum" if i % 2 else "nice words here") + f" w{i % 7}", i) for i in range(10, 60)]],
+                                 "doc_id long, text string, key long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10, 60)], "doc_id long, toxic int")
+    got = {r.key: r.predicted for r in toxicity.score_documents(docs, labels, str(tmp_path / "t"), row="key").collect()}
+    assert len(got) == 54 and [got[i] for i in range(4)] == [0, 1, 1, 0]
 
 
 def test_toxicity_held_out(spark, tmp_path):
