@@ -17,39 +17,55 @@ from masklens.llm.queries import PII_KEY, bounded_batches, tokenizer_text
 from masklens.llm.toxicity import score_documents
 
 
+def keyed(docs: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """The rows with a key of their own in a column of an unused name, written once: decisions go by it, as ids may be
+    shared or null."""
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), f"{path}/keyed"), key
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject; the columns stay as they are.
 
-    The decision of a document goes by its id; rows that share an id go together if any of them is rejected.
-    Rows without an id are scored like the others and are kept.
+    Every row is decided by its own text: rows that share an id, and rows without one, are kept or go each for
+    itself. Null and empty texts score the share of toxic examples, and stay. Without labels all rows stay; an empty
+    table gives an empty one.
     """
     bounded_batches(spark)
     path = scratch(spark, "stage-toxicity")
-    scored = score_documents(docs, table(spark, sf_dir, "labels"), path)
-    toxic = stored(scored.where("predicted = 1").select("doc_id").distinct(), f"{path}/toxic")
-    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+    rows, key = keyed(docs, path)
+    scored = score_documents(rows, table(spark, sf_dir, "labels"), path, row=key)
+    toxic = stored(scored.where("predicted = 1").select(key), f"{path}/toxic")
+    return rows.join(toxic, key, "left_anti").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id; the columns stay as they are.
+    """One row of each group of near-duplicates, that of the smallest id (rows without an id come last; of several rows of
+    one id the first read); the columns stay as they are.
 
-    Documents link at a Jaccard similarity of their five-word shingles of 0.80 or more.
-    Of rows that share the smallest id of a group one row stays. Documents with an empty set link with
-    nothing and stay; so do rows without an id.
+    Documents link at a Jaccard similarity of their five-word shingles of 0.80 or more. Rows are compared by
+    their own texts, so rows that share an id stay unless their texts are alike, and rows without an id take part.
+    Null and empty texts, and texts of blanks, link with nothing and stay. An empty table gives an empty one.
     """
     bounded_batches(spark)
     path = scratch(spark, "stage-minhash")
-    found = near_duplicates(docs, path, percent=80)
-    out = stored(found.where("not kept").select("doc_id").distinct(), f"{path}/out")
-    kept = docs.join(out, "doc_id", "left_anti").select(docs.columns)
-    several = stored(kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-                     f"{path}/several")
-    once = kept.join(several, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(several, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    rows, key = keyed(docs, path)
+    found = near_duplicates(rows, path, percent=80, doc_id=key).select(F.col("doc_id").alias(key), "component_id")
+    # only groups of several rows are looked at: a row links with another one, or its group is itself
+    several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    grouped = stored(found.join(several, "component_id").join(rows.select(key, "doc_id"), key), f"{path}/grouped")
+    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key))[key].alias("first"))
+    lost = stored(grouped.join(first, "component_id").where(F.col(key) != F.col("first")).select(key), f"{path}/lost")
+    return rows.join(lost, key, "left_anti").select(docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with validated personal data permuted; ``n_chars`` is the new text's length where it changed."""
+    """Texts with validated personal data permuted; ``n_chars`` is the new text's length where it changed.
+
+    Rows and columns stay: null and empty texts as they are, repeated rows alike, an empty table empty.
+    """
     bounded_batches(spark)
     found = [f"n_{k}" for k in KINDS]
     changed = pseudonymize(docs.drop(*found), PII_KEY)
@@ -61,7 +77,12 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document that is taken several times is repeated, one that is not taken goes."""
+    """The mix: a document that is taken several times is repeated, one that is not taken goes.
+
+    Rows count one by one, whatever their ids. Documents without words (null, empty, blanks) have size 0 and follow the whole
+    passes of their source; a null source is one of the sources, the last. Ties between rows of a size go by the
+    operator's seed. An empty table gives an empty one.
+    """
     own = [c for c in docs.columns if c not in ("source_size", "target", "copies", "taken")]
     sized = docs.select(*own, word_count(F.col("text")).alias("_size"))
     mixed = mix(sized, scratch(spark, "stage-mix"), size="_size")
@@ -69,7 +90,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text that is left, beside the other columns."""
+    """Token ids of every text that is left, beside the other columns.
+
+    Null and empty texts have no ids, repeated rows equal ones; an empty table gives an empty one.
+    """
     bounded_batches(spark)
     return encode_documents(docs, tokenizer_text())
 
