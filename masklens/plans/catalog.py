@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masklens.operators import batches, calendar, config, contract, joins, measures, sinks
+from masklens.operators import batches, calendar, config, contract, joins, layout, loads, measures, sinks
 from masklens.operators.loglines import documents, log_lines
 from masklens.plans import fixtures
 from masklens.session import ensure_checkpoint_dir
@@ -393,6 +393,59 @@ def q_repeatable_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{gold}.{sinks.GOLD_LOGS}")
 
 
+def q_objects_over_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: distinct config objects after each of four loads that overlap, negative ids among them, from stored bitmaps."""
+    path = scratch_folder(spark, "object-bitmaps")
+    rows = config.flatten_config(fcfg_bronze(spark, sf_dir))
+    # every object comes with the load of its number, and every third one in the next load again
+    moved = rows.select((F.col("object_id") - 50).alias("object_id"), F.col("object_id").alias("n"))
+    for k in range(4):
+        load = moved.where((F.col("n") % 4 == k) | ((F.col("n") % 3 == 0) & (F.col("n") % 4 == (k + 3) % 4)))
+        loads.add_load_bitmaps(load, path, f"load-{k}")
+    return loads.distinct_over_loads(spark, path)
+
+
+def q_drilldown_by_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date drill-down of orders kept up to date over three loads, each with days that the others have too."""
+    orders = table(spark, sf_dir, "orders")
+    stored = loads.RollupTable(spark, scratch_folder(spark, "rollup"), {"price": "o_totalprice"})
+    for k in (0, 1, 2, 1):  # the second load comes twice
+        stored.apply(orders.where(F.col("o_orderkey") % 3 == k), "o_orderdate", f"load-{k}")
+    return stored.rows().select(*loads.ROLLUP_KEYS, "level", F.col("n").alias("n_orders"), F.round("price", 2).alias("total_price"))
+
+
+def _bucketed_silver(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Silver operations and config written as bucketed tables in a database of this run."""
+    base, db = scratch_folder(spark, "bucketed"), f"silver_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{base}/db'")
+    ops = contract.silver_operations(flog_bronze(spark, sf_dir), processed_time=PROCESSED_TIME)
+    layout.write_bucketed(ops, f"{db}.ops", ["object_id"], f"{base}/ops", buckets=16)
+    layout.write_bucketed(config.flatten_config(fcfg_bronze(spark, sf_dir)), f"{db}.cfg", ["object_id"], f"{base}/cfg", buckets=16)
+    return f"{db}.ops", f"{db}.cfg"
+
+
+def q_own_config_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each operation with its own config row, over bucketed Silver tables, without an exchange."""
+    return layout.own_config_colocated(spark, *_bucketed_silver(spark, sf_dir))
+
+
+def q_config_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operations-config join over bucketed Silver tables, without an exchange."""
+    return layout.config_join_colocated(spark, *_bucketed_silver(spark, sf_dir))
+
+
+def q_quarter_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders laid out by day; months and days of the first quarter of 1995, read from that quarter's files."""
+    base = scratch_folder(spark, "by-day")
+    layout.write_by_day(table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice"), f"{base}/orders", "o_orderdate")
+    fact = spark.read.parquet(f"{base}/orders")
+    dates = calendar.date_dimension(fact.select(layout.DAY).distinct(), layout.DAY)
+    dates.write.parquet(f"{base}/calendar")
+    rows = layout.days_of(fact, spark.read.parquet(f"{base}/calendar"), (F.col("Year") == 1995) & (F.col("QuarterNo") == 1))
+    out = calendar.drilldown(rows, {"n_orders": F.count(F.lit(1)), "total_price": F.round(F.sum("o_totalprice"), 2)})
+    return out.withColumn("level", F.col("level").cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
@@ -433,4 +486,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_sums": q_join_sums,
     "join_sums_by_pattern": q_join_sums_by_pattern,
     "repeatable_batches": q_repeatable_batches,
+    "objects_over_loads": q_objects_over_loads,
+    "drilldown_by_loads": q_drilldown_by_loads,
+    "own_config_bucketed": q_own_config_bucketed,
+    "config_join_bucketed": q_config_join_bucketed,
+    "quarter_drilldown": q_quarter_drilldown,
 }

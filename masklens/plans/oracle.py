@@ -519,3 +519,17 @@ ORACLE_SQL["join_sums"] = _JOINED.format(by='schema, "table", status')
 ORACLE_SQL["join_sums_by_pattern"] = _JOINED.format(by="status, pattern_name AS config_pattern_name")
 ORACLE_SQL["repeatable_batches"] = (
     f"SELECT *, 'load-' || CAST(object_id % 3 AS VARCHAR) AS batch_id FROM ({ORACLE_SQL['table_lifecycle']})")
+
+ORACLE_SQL["own_config_bucketed"] = OPS_OWN_CONFIG
+ORACLE_SQL["config_join_bucketed"] = OPS_CONFIG_JOIN
+ORACLE_SQL["drilldown_by_loads"] = f'SELECT "Year", "QuarterNo", "MonthNo", "Day", level, n_orders, total_price FROM ({DATE_DRILLDOWN})'
+ORACLE_SQL["quarter_drilldown"] = DATE_DRILLDOWN.replace(
+    "FROM orders)", "FROM orders WHERE year(o_orderdate) = 1995 AND quarter(o_orderdate) = 1)")
+# An object comes in the load of its number, and every third one in the next load again.
+ORACLE_SQL["objects_over_loads"] = "WITH " + CFG_ROWS + """,
+came AS (
+  SELECT object_id, object_id % 4 AS k FROM cfg
+  UNION ALL SELECT object_id, (object_id % 4 + 1) % 4 FROM cfg WHERE object_id % 3 = 0
+)
+SELECT 'load-' || l.k AS load_id, count(DISTINCT c.object_id) AS n_objects
+FROM (SELECT unnest(range(4)) AS k) l JOIN came c ON c.k <= l.k GROUP BY l.k"""
