@@ -3,8 +3,11 @@
 ``pseudonymize`` finds card numbers, phone numbers, IPv4 addresses, calendar dates and e-mail addresses in
 whole texts, validates each one, and replaces it by the image of a keyed permutation of its own format: a
 card number stays a valid card number with its separators, a date a valid date, an address an address.
-Equal values have equal images in every document, different values different ones, and whoever holds the
-key can undo the permutation (``Feistel.undo``).
+Equal values have equal images in every document and in every way of writing them, different values different
+ones, and whoever holds the key can undo the permutation.
+
+A kind has one permutation, whatever the format: what a format needs of a value (the width of a month or day, a day
+above 12 where the day comes first, an area code) is kept by permuting among the values that have it.
 """
 
 from __future__ import annotations
@@ -12,7 +15,8 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,7 +32,8 @@ FOUND = re.compile(
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d)(?!\.\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])(?!\.\d))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)"
-    r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\d-]))"
+    r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\d-])"
+    r"|(?<![\w.-])\d{3}\.\d{3}\.\d{4}(?![\w-])(?!\.\d)|(?<![\w.-])[2-9]\d{2}[2-9]\d{6}(?![\w-])(?!\.\d))"
     r"|(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w]|-\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d))", re.ASCII)
 KINDS = ("email", "ip", "date", "phone", "card", "ssn")
@@ -108,12 +113,35 @@ def _date(value: str) -> tuple[dt.date, str] | None:
     return None
 
 
+#: fixed values: country calling codes of one and of two digits; all others have three
+CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 "
+                  "94 95 98".split())
+
+
+def country_code(digits: str) -> int:
+    """How many leading digits of an international number are its country's code."""
+    return 1 if digits[:1] in CODES else 2 if digits[:2] in CODES else 3
+
+
+def day_class(day: dt.date) -> tuple[bool, int]:
+    """What the ways of writing a date need of it: the widths of month and day, and a day that can't be a month."""
+    return day.month < 10, 0 if day.day < 10 else 1 if day.day <= 12 else 2
+
+
+def area_code(body: int) -> bool:
+    """Whether a number of ten digits has an area code and an exchange, as one that is written without marks must."""
+    return body // 10 ** 9 >= 2 and body // 10 ** 6 % 10 >= 2
+
+
 class Pseudonyms:
     """The permutations under one key, made on demand; ``image`` is None for a value that is not valid."""
 
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key, digest_size=32).digest()
         self.made: dict[tuple[str, int], Feistel] = {}
+        self.days: dict[tuple[bool, int], list[int]] = {}
+        for n in range(FIRST_DAY, LAST_DAY + 1):
+            self.days.setdefault(day_class(dt.date.fromordinal(n)), []).append(n)
 
     def permutation(self, name: str, size: int) -> Feistel:
         if (name, size) not in self.made:
@@ -130,13 +158,13 @@ class Pseudonyms:
             new = digits[0] + str(move(self.permutation("card", 10 ** len(body)), int(body))).zfill(len(body))
             return _fill(value, new + str(luhn_digit(new)))
         if kind == "phone":
-            # the country code (or nothing) stays; the national number is permuted
-            head = re.match(r"\+\d{1,3}(?=[ .(-])|", value)[0]
-            body = "".join(ch for ch in value[len(head):] if ch in DIGITS)
+            # a country code stays; the national number is permuted, however it is written
+            code = country_code(digits) if value[0] == "+" else 0
+            body = digits[code:]
             if not 7 <= len(digits) <= 15 or len(body) < 4:
                 return None
-            return head + _fill(value[len(head):], str(move(self.permutation("phone", 10 ** len(body)), int(body)))
-                                .zfill(len(body)))
+            new = self._phone(int(body), len(body), move)
+            return _fill(value, digits[:code] + str(new).zfill(len(body)))
         if kind == "ip":
             parts = value.split(".")
             if any(int(x) > 255 or x != str(int(x)) for x in parts):
@@ -156,33 +184,24 @@ class Pseudonyms:
             if not (known := _date(value)):
                 return None
             day, order = known
-            if "/" in value:  # an image must be read in the order it was written: both orders stay apart
-                return self._slashed(day, order, undo)
-            size = LAST_DAY - FIRST_DAY + 1
-            new = dt.date.fromordinal(FIRST_DAY + move(self.permutation("date", size), day.toordinal() - FIRST_DAY))
-            if order == "ymd":
-                return f"{new:%Y-%m-%d}"
-            return f"{new.day:02d}.{new.month:02d}.{new.year}"
+            alike = self.days[day_class(day)]
+            p = self.permutation(f"date-{day_class(day)}", len(alike))
+            new = dt.date.fromordinal(alike[move(p, bisect_left(alike, day.toordinal()))])
+            parts = {"y": new.year, "m": new.month, "d": new.day}
+            feed = iter(order)
+            return re.sub(r"\d+", lambda m: str(parts[next(feed)]).zfill(len(m[0])), value)
         if kind == "email":
             local, _, domain = value.partition("@")
             return self._letters(local, domain.lower(), move) + "@" + domain
         raise ValueError(kind)
 
-    def _slashed(self, day: dt.date, order: str, undo: bool) -> str:
-        """Dates with slashes: permuted among the days that are read in the same order.
-
-        Month-first covers every day; day-first is only read where the day is above 12, so those dates
-        are permuted by cycle walking among such days.
-        """
-        p = self.permutation(f"date-{order}", LAST_DAY - FIRST_DAY + 1)
-        x = day.toordinal() - FIRST_DAY
-        while True:
-            x = p.undo(x) if undo else p.apply(x)
-            new = dt.date.fromordinal(FIRST_DAY + x)
-            if order == "mdy":
-                return f"{new.month:02d}/{new.day:02d}/{new.year}"
-            if new.day > 12:
-                return f"{new.day:02d}/{new.month:02d}/{new.year}"
+    def _phone(self, body: int, width: int, move: Callable) -> int:
+        """Numbers of ten digits that have an area code are permuted among themselves (by cycle walking), and so are the others."""
+        p = self.permutation("phone", 10 ** width)
+        new = move(p, body)
+        while width == 10 and area_code(new) != area_code(body):
+            new = move(p, new)
+        return new
 
     def _letters(self, local: str, tweak: str, move) -> str:
         """Letters and digits of ``local`` permuted together, each within its own class; the rest stays."""
@@ -203,14 +222,14 @@ class Pseudonyms:
         return "".join(reversed(out))
 
 
-def replace_text(text: str, names: Pseudonyms, cache: dict, counts: dict) -> str:
-    """One whole text with every validated value replaced; ``counts`` gains one per replaced value."""
+def replace_text(text: str, names: Pseudonyms, cache: dict, counts: dict, undo: bool = False) -> str:
+    """One whole text with every validated value replaced, or put back; ``counts`` gains one per value."""
     def swap(m: re.Match) -> str:
         kind, value = m.lastgroup, m[0]
         if (kind, value) not in cache:
             if len(cache) > 200_000:
                 cache.clear()
-            cache[kind, value] = names.image(kind, value)
+            cache[kind, value] = names.image(kind, value, undo)
         new = cache[kind, value]
         if new is None:
             return value
@@ -220,13 +239,15 @@ def replace_text(text: str, names: Pseudonyms, cache: dict, counts: dict) -> str
     return FOUND.sub(swap, text) if HINT.search(text) else text
 
 
-def pseudonymize(docs: DataFrame, key: bytes, *, text: str = "text") -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced, plus ``n_<kind>`` counts (long) for each kind.
+def pseudonymize(docs: DataFrame, key: bytes, *, text: str = "text", undo: bool = False) -> DataFrame:
+    """``docs`` with personal data in ``text`` replaced, plus ``n_<kind>`` counts (long) for each kind. With ``undo`` and the same
+    key, a pseudonymized text becomes the original one again.
 
     Whole texts are read, of any length. A null text stays null with counts 0; empty texts and texts
     without a valid value are unchanged byte for byte; repeated rows are treated alike; an empty table
     gives an empty result. All other columns pass through; columns already named ``n_<kind>`` are
-    replaced. Invalid look-alikes (a card number with a wrong check digit, 31 February, 300.1.1.1) stay.
+    replaced. Invalid look-alikes (a card number with a wrong check digit, 31 February, 300.1.1.1) stay. Ten digits without
+    any mark are a phone number if they begin as one does (area code and exchange from 2). The key is the caller's secret.
 
     Narrow: no shuffle; each row depends on its own text and the key only, so a retried task writes the
     same rows.
@@ -246,7 +267,7 @@ def pseudonymize(docs: DataFrame, key: bytes, *, text: str = "text") -> DataFram
             texts, tallies = [], {k: [] for k in KINDS}
             for value in batch.column(at).to_pylist():
                 counts: dict[str, int] = {}
-                texts.append(value if value is None else replace_text(value, names, cache, counts))
+                texts.append(value if value is None else replace_text(value, names, cache, counts, undo))
                 for k in KINDS:
                     tallies[k].append(counts.get(k, 0))
             columns = list(batch.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from masklens.llm.toxicity import score_documents
 from masklens.llm.warc import as_records, read_records, write_bundles
 from masklens.llm.whitening import whiten
 
-#: the permutation key of the registered query and the pipeline; a deployment passes its own secret
-PII_KEY = b"masklens corpus key"
+#: session setting that holds the secret of the pseudonyms
+PII_KEY = "spark.masklens.pii.key"
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 TOKENIZER = "word_bpe_49k.json"
 
@@ -34,10 +36,17 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sizes, path, size="size").select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The secret in the session's ``spark.masklens.pii.key``; where there is none, one drawn for this run that nobody keeps, so
+    values are linked within the run and can't be put back."""
+    given = spark.conf.get(PII_KEY, None)
+    return given.encode() if given else secrets.token_bytes(32)
+
+
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with validated personal data permuted within its format, and counts by kind."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymize(docs, PII_KEY).select("doc_id", "text", *[f"n_{k}" for k in KINDS])
+    return pseudonymize(docs, pii_key(spark)).select("doc_id", "text", *[f"n_{k}" for k in KINDS])
 
 
 def tokenizer_text(name: str = TOKENIZER) -> str:

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -82,15 +83,14 @@ def test_feistel_is_a_permutation(size):
 @pytest.mark.parametrize("kind,value,mold", [
     ("card", "4785 3805 9239 1139", r"4\d{3} \d{4} \d{4} \d{4}"), ("ip", "152.143.123.131", r"\d+(\.\d+){3}"),
     ("phone", "+1 (743) 555-3824", r"\+1 \(\d{3}\) \d{3}-\d{4}"), ("date", "2021-02-28", r"\d{4}-\d\d-\d\d"),
-    ("date", "28/02/2021", r"\d\d/\d\d/\d{4}"), ("date", "3/4/2021", r"\d\d/\d\d/\d{4}"), ("date", "28.02.2021", r"\d\d\.\d\d\.\d{4}"),
+    ("date", "28/02/2021", r"\d\d/\d\d/\d{4}"), ("date", "3/4/2021", r"\d/\d/\d{4}"), ("date", "28.02.2021", r"\d\d\.\d\d\.\d{4}"),
     ("ssn", "123-45-6789", r"\d{3}-\d\d-\d{4}"), ("email", "hein.19@mail5.example.com", r"[a-z]{4}\.\d\d@mail5.example.com")])
 def test_pseudonyms_keep_format_and_undo(kind, value, mold):
     names = pii.Pseudonyms(b"key")
     new = names.image(kind, value)
     assert re.fullmatch(mold, new) and new != value
     assert pii.FOUND.fullmatch(new).lastgroup == kind
-    back = names.image(kind, new, undo=True)
-    assert back == value or (kind == "date" and [int(x) for x in back.split("/")] == [int(x) for x in value.split("/")])
+    assert names.image(kind, new, undo=True) == value
 
 
 def test_pseudonymize(spark):
@@ -127,6 +127,58 @@ def test_bpe_equals_the_library(spark, docs):
     assert encode_documents(docs.limit(0), spec).count() == 0
 
 
+def test_bpe_of_every_code_point():
+    """Each code point alone, between letters, doubled and between capitals: the library's ids."""
+    from tokenizers import Tokenizer
+
+    spec = tokenizer_text()
+    lib, own = Tokenizer.from_str(spec), PrefixBPE(spec)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # assigned ones of any table, and one in 97 of the others
+    points = [c for c in points if unicodedata.category(c) != "Cn" or ord(c) in own.later or ord(c) in own.lower or ord(c) % 97 == 0]
+    points = [c for c in points if unicodedata.category(c) not in ("Co", "Lo") or ord(c) % 7 == 0 or ord(c) in own.later]
+    texts = [f"a{c}b {c} x{c}{c}'S" for c in points]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    bad = [hex(ord(points[i])) for i, (ids, told) in enumerate(zip(own.encode_all(texts), want, strict=True)) if list(ids) != told]
+    assert not bad
+
+
+def test_suffix_automaton_finds_all_tokens():
+    """Tokens that end at each place of random words, by the automaton and by trying all."""
+    from masklens.llm.bpe import SuffixAutomaton
+
+    import random
+
+    rnd = random.Random(7)
+    tokens = {w: i for i, w in enumerate({"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 6))) for _ in range(150)})}
+    automaton = SuffixAutomaton(tokens)
+    for _ in range(300):
+        word, state, size = "".join(rnd.choice("abcd") for _ in range(20)), 0, 0
+        for at in range(1, 21):
+            state, size = automaton.step(state, size, word[at - 1])
+            assert size == max(n for n in range(at + 1) if any(word[at - n:at] in t for t in tokens))
+            want = sorted(((i, len(t)) for t, i in tokens.items() if word[:at].endswith(t)), key=lambda x: -x[1])
+            assert list(automaton.ending(state, size)) == want
+
+
+def test_bpe_memory_turns_over(monkeypatch):
+    """Small memories, shared prefixes and long words change no ids."""
+    from masklens.llm import bpe as module
+    from tokenizers import Tokenizer
+
+    import random
+
+    monkeypatch.setattr(module, "MEMO_CHUNKS", 30)
+    monkeypatch.setattr(module, "MEMO_WORDS", 20)
+    monkeypatch.setattr(module, "MEMO_PAIRS", 50)
+    spec, rnd = tokenizer_text(), random.Random(5)
+    lib, own = Tokenizer.from_str(spec), PrefixBPE(spec)
+    texts = [" ".join("".join(rnd.choice(("in", "ter", "na", "tion", "al", "é", "S", ".", "'s", "7")) for _ in range(rnd.randint(1, 40))) for _ in range(25))
+             for _ in range(60)]
+    for k in range(0, 60, 6):
+        assert [list(x) for x in own.encode_all(texts[k:k + 6])] == [e.ids for e in lib.encode_batch(texts[k:k + 6], add_special_tokens=False)]
+
+
 # 4 WARC
 
 def test_warc_round_trip(spark, tmp_path):
