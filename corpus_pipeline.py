@@ -13,7 +13,7 @@ from masklens.llm.common import scratch, stored, table, word_count
 from masklens.llm.minhash import near_duplicates
 from masklens.llm.mixing import mix
 from masklens.llm.pii import KINDS, pseudonymize
-from masklens.llm.queries import PII_KEY, bounded_batches, tokenizer_text
+from masklens.llm.queries import bounded_batches, pii_key, tokenizer_text
 from masklens.llm.toxicity import score_documents
 
 
@@ -64,11 +64,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with validated personal data permuted; ``n_chars`` is the new text's length where it changed.
 
-    Rows and columns stay: null and empty texts as they are, repeated rows alike, an empty table empty.
+    The key is the session's (see ``pii_key``). Rows and columns stay: null and empty texts as they are, repeated rows alike, an
+    empty table empty.
     """
     bounded_batches(spark)
     found = [f"n_{k}" for k in KINDS]
-    changed = pseudonymize(docs.drop(*found), PII_KEY)
+    changed = pseudonymize(docs.drop(*found), pii_key(spark))
     total = sum((F.col(c) for c in found), F.lit(0))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(total > 0, F.length("text")).otherwise(F.col("n_chars"))
