@@ -29,6 +29,8 @@ MAX_EXAMPLES, EXAMPLE_LETTERS = 2_000, 50_000
 #: the beginning of so many letters of a longer word is a term too
 STEM = 5
 BLOCK, FIRST_BLOCKS = 64, 4
+#: terms of at least one in so many examples have full rows, most postings first and so many at most; their sums bound the rest
+FREQUENT, FULL_ROWS = 16, 512
 NEIGHBOURS = 15
 #: weight of the share of toxic examples beside the votes, and distance added to each vote's
 PRIOR_WEIGHT, SOFT = 1.0, 0.05
@@ -72,8 +74,18 @@ class BlockMaxIndex:
         term = np.concatenate([examples.vectors[i][0] for i in filled] or [np.zeros(0, dtype=np.int64)])
         place = np.repeat(np.arange(len(filled)), [len(examples.vectors[i][0]) for i in filled])
         weight = np.concatenate([examples.vectors[i][1] for i in filled] or [np.zeros(0)])
+        many = np.bincount(term, minlength=terms)
+        full = np.argsort(-many, kind="stable")[:FULL_ROWS]
+        full = full[many[full] * FREQUENT > len(filled)]
+        self.row = np.full(terms, -1)
+        self.row[full] = np.arange(len(full))
+        in_row = self.row[term] >= 0
+        self.rows = np.zeros((len(full), len(filled)))
+        self.rows[self.row[term[in_row]], place[in_row]] = weight[in_row]
+        self.first = np.arange(0, len(filled), BLOCK)
+        term, place, weight = term[~in_row], place[~in_row], weight[~in_row]
         order = np.lexsort((place, term))
-        term, self.place, self.weight = term[order], place[order].astype(np.int32), weight[order]
+        term, self.place, self.weight = term[order], place[order], weight[order]
         # an entry: the postings of one term in one block
         key = term * max(1, self.blocks) + self.place // BLOCK
         self.start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
@@ -85,12 +97,19 @@ class BlockMaxIndex:
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k examples of the largest positive cosine, and all that tie with the last, as (cosine, place), by falling cosine
         and then by id."""
+        if not self.blocks:
+            return []
+        rows = self.row[terms]
+        full = rows >= 0
+        sums = weights[full] @ self.rows[rows[full]]
+        terms, weights = terms[~full], weights[~full]
         sizes = self.entry[terms + 1] - self.entry[terms]
         entries, of = spread(self.entry[terms], sizes), np.repeat(weights, sizes)
         block = self.block[entries]
-        bound = np.bincount(block, self.most[entries] * of, minlength=self.blocks)
+        # at most: the largest sum so far in the block, and each other term's largest weight there
+        bound = np.maximum.reduceat(sums, self.first) + np.bincount(block, self.most[entries] * of, minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        sums, least, at, step = np.zeros(len(self.ids)), 0.0, 0, FIRST_BLOCKS
+        least, at, step = 0.0, 0, FIRST_BLOCKS
         while at < self.blocks and bound[order[at]] > 0 and bound[order[at]] >= least - 1e-9:
             visit = np.zeros(self.blocks, dtype=bool)
             visit[order[at:at + step]] = True
@@ -212,8 +231,8 @@ def feature_counts(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
                     told = seen.get(word)
                     for t in own(word) if told is None else told:
                         got[t] = got.get(t, 0) + n
-                terms += sorted(got)
-                counts += [got[t] for t in sorted(got)]
+                terms += got
+                counts += got.values()
                 ends.append(len(terms))
             cut = pa.array(ends, pa.int32())
             yield pa.RecordBatch.from_arrays(
