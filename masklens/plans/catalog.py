@@ -18,6 +18,7 @@ from masklens.operators.loglines import documents, log_lines
 from masklens.plans import fixtures
 from masklens.session import ensure_checkpoint_dir
 from masklens.sources import csv_v1, feed, landed
+from masklens.streaming import growing
 
 # Fixed processing stamp of registered queries, so results are repeatable.
 PROCESSED_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -446,6 +447,19 @@ def q_quarter_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("level", F.col("level").cast("int"))
 
 
+def q_masking_ops_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-LOG landed in three parts, each parsed in a run of its own from the state of the one before.
+
+    Same Silver rows as ``masking_ops_contract``.
+    """
+    base = scratch_folder(spark, "growing")
+    fixtures.f_log_parts(table(spark, sf_dir, "events")).write.partitionBy("part").parquet(f"{base}/landed")
+    parts = spark.read.parquet(f"{base}/landed").withColumn("part", F.col("part").cast("long"))
+    for k in range(fixtures.LOG_PARTS):
+        growing.process_parts(parts.where(F.col("part") == k), k, f"{base}/silver")
+    return growing.grown_operations(spark, f"{base}/silver", processed_time=PROCESSED_TIME)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_lines": q_log_lines,
     "masking_ops": q_masking_ops,
@@ -486,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_sums": q_join_sums,
     "join_sums_by_pattern": q_join_sums_by_pattern,
     "repeatable_batches": q_repeatable_batches,
+    "masking_ops_growing": q_masking_ops_growing,
     "objects_over_loads": q_objects_over_loads,
     "drilldown_by_loads": q_drilldown_by_loads,
     "own_config_bucketed": q_own_config_bucketed,

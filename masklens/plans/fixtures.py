@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,19 @@ def f_log_lines(events: DataFrame) -> DataFrame:
                          line.alias("line"))
 
 
+# Parts that each F-LOG log is landed in.
+LOG_PARTS = 3
+
+
+def f_log_parts(events: DataFrame, load_date: _dt.datetime = FIXTURE_LOAD_DATE) -> DataFrame:
+    """F-LOG as logs that grow: its lines with their number in the log and the part they land in (a third of a log each)."""
+    log = Window.partitionBy("object_id")
+    numbered = f_log_lines(events).withColumns({
+        "line_no": F.row_number().over(log.orderBy("ts", "event_id")).cast("long") - 1, "_n": F.count(F.lit(1)).over(log)})
+    return numbered.select("object_id", F.lit(load_date).cast("timestamp").alias("load_date"),
+                           F.floor(F.col("line_no") * LOG_PARTS / F.col("_n")).alias("part"), "line_no", "line")
+
+
 def land_log_files(events: DataFrame, folder: str) -> None:
     """F-LOG as landed text files, one folder ``object_id=...`` with one file per log, lines in log order."""
     (f_log_lines(events).repartition("object_id").sortWithinPartitions("object_id", "ts", "event_id")
