@@ -280,6 +280,21 @@ def test_suffixes(spark, docs, tmp_path, monkeypatch, width):
     assert suffixes.remove_repeats(docs.limit(0), str(tmp_path / "e")).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 3, 40])
+def test_suffixes_of_hot_anchors(spark, docs, tmp_path, monkeypatch, most):
+    """A passage in many documents, each with neighbours of its own, and hot anchors of few or all units: as by brute force."""
+    monkeypatch.setattr(suffixes, "HOT_SHAPES", most)
+    monkeypatch.setattr(suffixes, "CHUNK_BYTES", 6000)
+    rnd = np.random.default_rng(5)
+    word = lambda n: "".join(rnd.choice(list("abcdefgh "), n))
+    passage, other = word(130), word(70)
+    rows = [(i, word(rnd.integers(20, 90)) + (passage if i % 3 else other) + word(rnd.integers(0, 90))) for i in range(150)]
+    rows += [(200, passage), (201, passage[:60]), (None, passage), (202, None), (3, passage + passage)]
+    got = suffixes.remove_repeats(documents(spark, [(i, t, "s") for i, t in rows]).repartition(4), str(tmp_path / "s"), width=50)
+    key = lambda x: sorted(map(str, x))
+    assert key(tuple(r) for r in got.drop("spans").collect()) == key(brute_repeats(rows, 50))
+
+
 # 7 top-k
 
 def test_topk(spark, tmp_path):
@@ -440,25 +455,99 @@ def test_licenses(spark, tmp_path):
     assert licenses.scan(df.limit(0), str(tmp_path / "e")).count() == 0
 
 
-def test_license_words_are_needed():
-    """No segment without a needed word can reach the limit: the others' norm is below it for every template."""
-    _, vectors = licenses.template_weights()
-    needed = set(licenses.needed_words(vectors, licenses.LEAST))
-    assert all(sum(x * x for w, x in own.items() if w not in needed) < licenses.LEAST ** 2 for _, own in vectors)
+def nearest_by_brute_force(segments, templates, least):
+    """(score, licence) by dictionaries: all cosines, telling words, the margin."""
+    own = [licenses.tokens_of(t.text) for t in templates]
+    idf = {w: np.log((1 + len(own)) / (1 + sum(w in x for x in own))) + 1 for x in own for w in x}
+    far = np.log(1 + len(own)) + 1
+
+    def vector(words):
+        return {w: (1 + np.log(words.count(w))) * idf[w] if w in idf else far for w in words}
+
+    vectors, best = [vector(x) for x in own], {}
+    for words in segments:
+        v = vector(words)
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        for t, u in zip(templates, vectors, strict=True):
+            if t.telling <= set(words) and words:
+                score = round(sum(x * u.get(w, 0) for w, x in v.items()) / norm / np.sqrt(sum(x * x for x in u.values())), 6)
+                if score >= least:
+                    best[t.name] = max(best.get(t.name, 0), score)
+    if not best:
+        return None
+    order = sorted(((s, n) for n, s in best.items()), reverse=True)
+    rest = [s for s, n in order if not order[0][1].endswith(n)]
+    return order[0][0], "unknown" if rest and order[0][0] - rest[0] < licenses.MARGIN else order[0][1]
+
+
+def test_nearest_templates_equal_brute_force(spark):
+    """Pieces of notices mixed with other words: scores and licences."""
+    import random
+
+    rnd, rows, want = random.Random(6), [], {}
+    for uid in range(250):
+        segments = []
+        for k in range(rnd.randint(1, 3)):
+            words = licenses.tokens_of(rnd.choice(licenses.NOTICES).text)
+            cut = rnd.randint(0, 3)
+            words = words[cut // 2:len(words) - cut % 2] + [rnd.choice(("foo", "the", "mit", "license", "3", "bar"))] * rnd.randint(0, 2)
+            segments.append(words)
+            rows.append((uid, k, words))
+        want[uid] = nearest_by_brute_force(segments, licenses.NOTICES, 0.6)
+    got = licenses.nearest_templates(spark.createDataFrame(rows, "uid long, k int, words array<string>"), licenses.NOTICES, 0.6)
+    found = {r.uid: (r.score, r.license) for r in got.collect()}
+    for uid, told in want.items():
+        assert (uid in found) == (told is not None)
+        if told:
+            assert found[uid][0] == pytest.approx(told[0], abs=2e-6) and found[uid][1] == told[1]
+    assert len({v[1] for v in found.values()}) > 15
+
+
+def test_license_key_words_leave_no_template_out(spark):
+    """Every segment that holds all telling words of a template passes ``can_tell``."""
+    rows = [(i, sorted(t.telling)) for i, t in enumerate(licenses.NOTICES)]
+    got = spark.createDataFrame(rows, "i int, words array<string>").where(licenses.can_tell(F.col("words"))).count()
+    assert got == len(rows) and all(t.telling and t.telling <= set(licenses.tokens_of(t.text)) for t in licenses.NOTICES)
+
+
+GPL2 = ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as "
+        "published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.")
 
 
 def test_license_notice_forms(spark, tmp_path):
-    """Each notice form, those of the pages among them, gets its own licence, by the scan and by brute force."""
-    told = [*licenses.TEMPLATES, ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    """Each notice form, those of the pages among them, gets its own licence; what is not known or not clear is unknown."""
+    apache = "Licensed under the Apache License, Version 2.0"
+    texts = dict(licenses.TEXTS)
+    told = [*[(t.name, t.text) for t in licenses.NOTICES], ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0"),
             ("ISC", "Licensed under the ISC License"), ("MIT", "// SPDX-License-Identifier: MIT"), ("MIT", "Released under the MIT License."),
             ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-            ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-            ("AGPL-3.0", "redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3."),
-            ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.")]
+            ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."), ("Apache-2.0", f"{apache}."),
+            ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."), ("GPL-2.0", GPL2), ("GPL-2.0", " * " + GPL2.replace("\n", "\n * ")),
+            ("GPL-3.0", GPL2.replace("version 2", "version 3")), ("LGPL-2.1", GPL2.replace("GNU General", "GNU Lesser General").replace("version 2", "version 2.1")),
+            ("AGPL-3.0", GPL2.replace("GNU General", "GNU Affero General").replace("version 2", "version 3")),
+            ("unknown", "licensed under the Example Corp Commercial License, version 3"), ("unknown", f"Licensed under the MIT License. {apache}."),
+            (None, texts["BSD-2-Clause"][60:200]), ("MIT", "Released under the <a href='x'>MIT License</a>."),
+            ("Apache-2.0", "<!-- SPDX-License-Identifier: Apache-2.0 -->text"), ("Apache-2.0", f"<p>Licensed under\nthe Apache License,\nVersion 2.0 (the \"License\")</p>")]
     df = spark.createDataFrame([(i, f"https://h{i}/x", f"<p>{t}</p>") for i, (_, t) in enumerate(told)],
                                "page_id long, url string, html string")
-    got = {r.page_id: r.own_license for r in licenses.scan(df, str(tmp_path / "l")).collect()}
-    assert {i: got[i] for i in range(len(told))} == {i: name for i, (name, _) in enumerate(told)}
+    got = {r.page_id: (r.own_license, r.status) for r in licenses.scan(df, str(tmp_path / "l")).collect()}
+    for i, (name, text) in enumerate(told):
+        assert got[i] == (name, "none" if name is None else "unknown" if name == "unknown" else "own"), text
+
+
+def test_license_files_by_their_whole_text(spark, tmp_path):
+    """Licence files with names, years and other wrapping, against the texts; unknown ones declare nothing."""
+    texts = dict(licenses.TEXTS)
+    files = [(name, texts[name].replace("(c)", "(c) 2020 Jane Doe").replace(". ", ".\n\n")) for name in texts]
+    files += [("BSD-2-Clause", texts["BSD-2-Clause"].replace("BSD 2-Clause License ", "")), (None, "see elsewhere"), (None, ""),
+              ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1989 Free Software Foundation"),
+              ("unknown", "Licensed under the Example License")]
+    rows = [(2 * i, f"https://h{i}/LICENSE.txt", t) for i, (_, t) in enumerate(files)] + [(2 * i + 1, f"https://h{i}/a/b", "x") for i in range(len(files))]
+    got = {r.page_id: (r.license, r.status) for r in
+           licenses.scan(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "l")).collect()}
+    for i, (name, _) in enumerate(files):
+        assert got[2 * i][0] == name
+        assert got[2 * i + 1] == ((None, "none") if name in (None, "unknown") else (name, "inherited"))
 
 
 def test_license_notice_inside_a_paragraph(spark, tmp_path):
