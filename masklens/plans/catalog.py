@@ -190,7 +190,14 @@ def q_ops_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows for manifest objects with both files landed."""
+    """Bronze rows for manifest objects with both files landed."""
+    manifest, configs, logs = fixtures.f_man(table(spark, sf_dir, "pages"),
+                                             table(spark, sf_dir, "documents"))
+    return landed.bronze_documents(manifest, configs, logs, load_date=fixtures.FIXTURE_LOAD_DATE)
+
+
+def q_manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a manifest that has landed as JSON files."""
     manifest, configs, logs = fixtures.f_man(table(spark, sf_dir, "pages"),
                                              table(spark, sf_dir, "documents"))
     folder = scratch_folder(spark, "manifest")
@@ -480,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "default_sums_config": q_default_sums_config,
     "ops_by_date": q_ops_by_date,
     "manifest_documents": q_manifest_documents,
+    "manifest_files": q_manifest_files,
     "activity_feed": q_activity_feed,
     "csv_selected": q_csv_selected,
     "gold_conform": q_gold_conform,

@@ -534,3 +534,4 @@ came AS (
 SELECT 'load-' || l.k AS load_id, count(DISTINCT c.object_id) AS n_objects
 FROM (SELECT unnest(range(4)) AS k) l JOIN came c ON c.k <= l.k GROUP BY l.k"""
 ORACLE_SQL["masking_ops_growing"] = MASKING_OPS_CONTRACT
+ORACLE_SQL["manifest_files"] = MANIFEST_DOCUMENTS
