@@ -32,11 +32,12 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def worker_state(key, build):
-    """One object per Python worker process, built on first use and kept for the tasks that follow."""
-    store = sys.modules.setdefault("_corpus_worker_state", types.ModuleType("_corpus_worker_state"))
-    if key not in vars(store):
-        vars(store)[key] = build()
-    return vars(store)[key]
+    """One object per Python worker process, built on first use and kept for the tasks that follow, until another one is asked for."""
+    store = vars(sys.modules.setdefault("_corpus_worker_state", types.ModuleType("_corpus_worker_state"))).setdefault("held", {})
+    if key not in store:
+        store.clear()  # a later stage's state takes the place of an earlier one's
+        store[key] = build()
+    return store[key]
 
 
 def word_count(text):
