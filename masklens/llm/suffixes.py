@@ -30,6 +30,9 @@ from masklens.llm.common import stored
 GRAM = 16
 #: plain bytes of texts in one chunk, bytes anchored at once, and plain bytes of text per key bucket
 CHUNK_BYTES, SLICE_BYTES, BUCKET_BYTES = 4 << 20, 1 << 19, 4 << 20
+#: shapes of units of one anchor (windows and place of the anchor, told apart in each chunk) from which on its windows are dealt
+#: out by their own content
+HOT_SHAPES = 4096
 PLACE = (1 << 20) - 1  # low bits of a sort key hold the place in a slice; slice and window stay below it
 NO_ID = np.iinfo(np.int64).min
 CHUNKS = "chunk long, plain long, blob binary"
@@ -114,19 +117,24 @@ def _known(units: Units, null: np.ndarray) -> Units:
     return Units(*[x[keep] for x in units])
 
 
-def chunk_anchors(units: Units, ids: np.ndarray, buckets: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By key bucket: a chunk's distinct anchors, ascending, and which of them have several documents here."""
+def chunk_anchors(units: Units, ids: np.ndarray, buckets: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By key bucket: a chunk's distinct anchors, ascending, which of them have several documents here, and how many shapes of
+    units (windows, place of the anchor) they have."""
     if not len(units.anchor):
         return {}
     order = np.lexsort((ids[units.doc], units.anchor))
     anchor, doc = units.anchor[order], ids[units.doc][order]
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
     last = np.append(first[1:], len(anchor)) - 1
+    shape = (units.count << 32 | (units.place - units.start))[order]
+    by_shape = np.lexsort((shape, anchor))
+    new = np.append(True, (shape[by_shape][1:] != shape[by_shape][:-1]) | (anchor[by_shape][1:] != anchor[by_shape][:-1]))
+    shapes = np.add.reduceat(new.astype(np.int64), first)  # anchors stand in the same order
     many, anchor = doc[first] != doc[last], anchor[first]
     bucket = (anchor % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))
-    return {int(bucket[own[0]]): (anchor[own], many[own]) for own in np.split(by, cuts[1:])}
+    return {int(bucket[own[0]]): (anchor[own], many[own], shapes[own]) for own in np.split(by, cuts[1:])}
 
 
 class Records(NamedTuple):
@@ -148,14 +156,14 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
-def fingerprints(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def fingerprints(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mix: int = 0xD6E8FEB86659FD93) -> np.ndarray:
     """64-bit fingerprints of byte runs (of 8 bytes at least), from their 8-byte words and the last 8 bytes."""
     eight = np.ndarray(max(0, len(data) - 7), dtype="<u8", buffer=data, strides=(1,))
     h = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for j in range(0, int(sizes.max(initial=0)), 8):
         more = np.flatnonzero(sizes > j)
         at = np.minimum(starts[more] + j, starts[more] + sizes[more] - 8)
-        x = (h[more] ^ eight[at]) * np.uint64(0xD6E8FEB86659FD93)
+        x = (h[more] ^ eight[at]) * np.uint64(mix)
         h[more] = x ^ (x >> np.uint64(32))
     return h
 
@@ -188,9 +196,28 @@ def chunk_records(units: Units, ids: np.ndarray, data: bytes, kept: np.ndarray,
     return mine, number, Records(*[x[one] for x in raw[:4]], least), start[one]
 
 
+def as_windows(records: Records, starts: np.ndarray, data: np.ndarray, width: int) -> tuple[Records, np.ndarray]:
+    """The distinct windows of some records as records of their own, and the number of each window's: a window of a hot anchor is
+    known by two fingerprints, and the second one takes the anchor's place, so such windows meet by their content. Their distance
+    is -1, and their bytes are not sent."""
+    counts = records.size - width + 1
+    at = ragged(starts, counts)
+    sizes = np.full(len(at), width, dtype=np.int64)
+    raw = Records(fingerprints(data, at, sizes), fingerprints(data, at, sizes, 0xA0761D6478BD642F), np.full(len(at), -1), sizes,
+                  np.repeat(records.doc, counts))
+    one, number = distinct(raw)
+    least = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(least, number, raw.doc)
+    return Records(*[x[one] for x in raw[:4]], least), number
+
+
+def sent_bytes(records: Records) -> np.ndarray:
+    return np.where(records.distance >= 0, records.size, 0)
+
+
 def pack_records(records: Records, starts: np.ndarray, data: np.ndarray) -> bytes:
     n = np.array([len(starts)], dtype=np.int64)
-    return _zip(n.tobytes() + b"".join(x.tobytes() for x in records) + data[ragged(starts, records.size)].tobytes())
+    return _zip(n.tobytes() + b"".join(x.tobytes() for x in records) + data[ragged(starts, sent_bytes(records))].tobytes())
 
 
 def unpack_records(blob: bytes) -> tuple[Records, np.ndarray]:
@@ -214,7 +241,7 @@ def smallest_documents(units: Records, starts: np.ndarray, data: np.ndarray, wid
     alone[:-1] &= ~same
     shared = np.zeros(len(order), dtype=bool)
     shared[order] = ~alone
-    some = np.flatnonzero(shared)
+    some = np.flatnonzero(shared & (units.distance >= 0))
     if not len(some):
         return best
     live = ragged((np.cumsum(counts) - counts)[some], counts[some])
@@ -265,8 +292,10 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
     columns are not read.
 
     Scale: texts are packed once into compressed chunks under ``path``; messages between chunks and key
-    buckets are pre-aggregated per chunk, so a passage in a third of all documents is one record per chunk.
-    The number of chunks and of buckets follows the input; a bucket holds the distinct units of its anchors.
+    buckets are pre-aggregated per chunk, so units wholly inside a passage of a third of all documents are one record per
+    chunk. Units at its borders hold each document's own bytes and stay apart: an anchor with more than ``HOT_SHAPES`` shapes of
+    units is hot, and its windows are dealt out by a further digit, their own content, so they spread over all
+    buckets and only equal ones meet. The number of chunks and of buckets follows the input.
     """
     if width < GRAM:
         raise ValueError(f"width is at least {GRAM}")
@@ -302,33 +331,43 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
             for r in batch.itertuples(index=False):
                 ids, null, bounds, data = unpack_texts(r.blob)
                 own = chunk_anchors(_known(anchored_units(data, bounds, width), null), ids, buckets)
-                yield pd.DataFrame({"bucket": list(own), "chunk": r.chunk, "anchors": [a.tobytes() for a, _ in own.values()],
-                                    "many": [np.packbits(m).tobytes() for _, m in own.values()]})
+                yield pd.DataFrame({"bucket": list(own), "chunk": r.chunk, "anchors": [a.tobytes() for a, _, _ in own.values()],
+                                    "many": [np.packbits(m).tobytes() for _, m, _ in own.values()],
+                                    "shapes": [np.minimum(n, 1 << 30).astype(np.int32).tobytes() for _, _, n in own.values()]})
 
-    sent = chunks.mapInPandas(anchors, "bucket long, chunk long, anchors binary, many binary")
+    sent = chunks.mapInPandas(anchors, "bucket long, chunk long, anchors binary, many binary, shapes binary")
+    most = HOT_SHAPES
 
     def repeated(rows: pd.DataFrame) -> pd.DataFrame:
         lists = [np.frombuffer(a, dtype=np.uint64) for a in rows["anchors"]]
         flags = [np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(a)).astype(bool)
                  for a, m in zip(lists, rows["many"], strict=True)]
-        value, times = np.unique(np.concatenate(lists), return_counts=True)
+        value, of, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        shapes = np.bincount(of, weights=np.concatenate([np.frombuffer(n, dtype=np.int32) for n in rows["shapes"]]))
         twice = times > 1
         twice[np.searchsorted(value, np.concatenate([a[m] for a, m in zip(lists, flags, strict=True)]))] = True
-        keep = [twice[np.searchsorted(value, a)] for a in lists]
-        return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "keep": [np.packbits(k).tobytes() for k in keep]})
+        marked = {"keep": twice, "hot": twice & (shapes > most)}
+        return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], **{
+            name: [np.packbits(flag[np.searchsorted(value, a)]).tobytes() for a in lists] for name, flag in marked.items()}})
 
-    masks = stored(sent.groupBy("bucket").applyInPandas(repeated, "chunk long, bucket long, keep binary"), f"{path}/masks")
+    masks = stored(sent.groupBy("bucket").applyInPandas(repeated, "chunk long, bucket long, keep binary, hot binary"), f"{path}/masks")
 
-    def kept_anchors(own: dict, told: pd.DataFrame) -> np.ndarray:
+    def marked_anchors(own: dict, told: pd.DataFrame, mark: str) -> np.ndarray:
         some = [own[b][0][np.unpackbits(np.frombuffer(k, dtype=np.uint8), count=len(own[b][0])).astype(bool)]
-                for b, k in zip(told["bucket"], told["keep"], strict=True)]
+                for b, k in zip(told["bucket"], told[mark], strict=True)]
         return np.sort(np.concatenate(some)) if some else np.zeros(0, dtype=np.uint64)
 
     def chunk_state(chunk: pd.DataFrame, told: pd.DataFrame):
         ids, null, bounds, data = unpack_texts(chunk["blob"].iloc[0])
         units = _known(anchored_units(data, bounds, width), null)
-        kept = kept_anchors(chunk_anchors(units, ids, buckets), told)
-        return ids, null, bounds, data, units, chunk_records(units, ids, data, kept, width)
+        own = chunk_anchors(units, ids, buckets)
+        found = chunk_records(units, ids, data, marked_anchors(own, told, "keep"), width)
+        _, _, records, starts = found
+        hot = np.isin(records.anchor, marked_anchors(own, told, "hot"))
+        plain = np.frombuffer(data, dtype=np.uint8)
+        cut, number = as_windows(Records(*[x[hot] for x in records]), starts[hot], plain, width)
+        sent = Records(*[np.concatenate([x[~hot], y]) for x, y in zip(records, cut, strict=True)])
+        return ids, null, bounds, data, units, found, hot, sent, np.concatenate([starts[~hot], np.zeros(len(cut.doc), dtype=np.int64)]), number
 
     def by_bucket(records: Records) -> Iterator[tuple[int, np.ndarray]]:
         bucket = (records.anchor % np.uint64(buckets)).astype(np.int64)
@@ -340,7 +379,7 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
     def send_units(chunk: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(chunk):
-            _, _, _, data, _, (_, _, records, starts) = chunk_state(chunk, told)
+            _, _, _, data, _, _, _, records, starts, _ = chunk_state(chunk, told)
             plain = np.frombuffer(data, dtype=np.uint8)
             out = [(bucket, chunk["chunk"].iloc[0], pack_records(Records(*[x[own] for x in records]), starts[own], plain))
                    for bucket, own in by_bucket(records)]
@@ -352,7 +391,7 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
     def order(rows: pd.DataFrame) -> pd.DataFrame:
         lists, texts = zip(*map(unpack_records, rows["records"]), strict=True)
         every = Records(*[np.concatenate(x) for x in zip(*lists, strict=True)])
-        begin = np.cumsum(every.size) - every.size
+        begin = np.cumsum(sent_bytes(every)) - sent_bytes(every)
         one, number = distinct(every)
         least = np.full(len(one), np.iinfo(np.int64).max)
         np.minimum.at(least, number, every.doc)
@@ -373,12 +412,18 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
         if not len(chunk):
             return pd.DataFrame([], columns=columns)
         answered = dict(zip(told["bucket"], told["least"], strict=True))
-        ids, null, bounds, data, units, (mine, number, records, _) = chunk_state(chunk, told)
+        ids, null, bounds, data, units, (mine, number, records, _), hot, sent, _, window = chunk_state(chunk, told)
+        each = sent.size - width + 1
+        stops = np.cumsum(each)
+        answer = np.empty(int(stops[-1]) if len(stops) else 0, dtype=np.int64)
+        for bucket, own in by_bucket(sent):
+            answer[ragged((stops - each)[own], each[own])] = np.frombuffer(_unzip(answered[bucket]), dtype=np.int64)
         counts = records.size - width + 1
         ends = np.cumsum(counts)
         least = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
-        for bucket, own in by_bucket(records):
-            least[ragged((ends - counts)[own], counts[own])] = np.frombuffer(_unzip(answered[bucket]), dtype=np.int64)
+        whole = int(counts[~hot].sum())  # windows of units that were sent as such; those of hot anchors follow
+        least[ragged((ends - counts)[~hot], counts[~hot])] = answer[:whole]
+        least[ragged((ends - counts)[hot], counts[hot])] = answer[whole:][window]
         windows = units.count[mine]
         low = least[ragged((ends - counts)[number], windows)]
         gone = ragged(units.start[mine], windows)[low < np.repeat(ids[units.doc[mine]], windows)]
