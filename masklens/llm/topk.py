@@ -20,6 +20,8 @@ from masklens.llm.common import stored
 QUERY_BLOCK, CANDIDATE_BLOCK = 1_024, 8_192
 QUERY_SLICE = 64  # queries whose first partial products are held at once
 DIMENSION_BLOCK = 16
+#: packed queries that are broadcast at once, at most (one block more)
+ROUND_BYTES = 48 << 20
 PACK = "block long, ids binary, width int, cells binary"
 LONG_MIN, LONG_MAX = -(1 << 63), (1 << 63) - 1
 
@@ -30,11 +32,11 @@ def quantize(vector: np.ndarray) -> np.ndarray:
 
 
 def top_products(queries: np.ndarray, query_ids: np.ndarray, cells: np.ndarray, ids: np.ndarray,
-                 k: int) -> Iterator[tuple[int, int, int]]:
+                 k: int, floors: np.ndarray | None = None) -> Iterator[tuple[int, int, int]]:
     """(query id, candidate id, product) of each query's k largest products, ties to the smaller id.
 
     ``queries`` is (queries, dimensions); ``cells`` is (dimensions, candidates), both of integral doubles.
-    Candidates with the query's own id take no part.
+    Candidates with the query's own id take no part. ``floors``: by query, a product below which none is asked for.
     """
     width = cells.shape[0]
     largest = lambda x: float(np.abs(x).max(initial=0.0))
@@ -52,11 +54,11 @@ def top_products(queries: np.ndarray, query_ids: np.ndarray, cells: np.ndarray,
             if step > 1:
                 a, b = cuts[step - 1], cuts[step]
                 partial = partial + queries[qi, a:b] @ cells[a:b, alive]
-            if cuts[step] == width or len(alive) <= k:
+            if cuts[step] == width or len(alive) <= k and floors is None:
                 continue
             slack = left_q[step][qi] * left_c[step][alive] * (1 + 1e-9) + 1e-6
-            floor = np.partition(partial - slack, len(alive) - k)[len(alive) - k]
-            keep = partial + slack >= floor
+            floor = np.partition(partial - slack, len(alive) - k)[len(alive) - k] if len(alive) > k else -np.inf
+            keep = partial + slack >= (floor if floors is None else max(floor, floors[qi]))
             alive, partial = alive[keep], partial[keep]
         best = np.lexsort((ids[alive], -partial))[:k]
         for i in best:
@@ -129,9 +131,10 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, path: str, *, k: int = 5
     occurs in several rows is asked once, with the row of the largest vector. Empty tables give an empty
     result; other columns are not read.
 
-    Scale: queries and candidates are packed into blocks of bounded size; every pair of blocks is one row of
-    an equi-join on the query block (the stated query set against all rows, in blocks) and is worked on
-    alone, so no task holds more than two blocks and no key gathers rows; k rows per query and block remain.
+    Scale: queries and candidates are packed into blocks of bounded size. The packed queries go out by broadcast in rounds of
+    ``ROUND_BYTES``; in a round every task reads its candidate blocks where they are stored, so no candidate is shuffled or copied, and
+    carries each query's k-th product on from block to block as a bound. A round leaves k rows per query and task, which are
+    written; the driver holds one round's queries.
     """
     take = lambda df: df.select(F.col(vec_id).cast("long").alias("row"), F.col(vector).alias("vector")).where(
         F.col(vec_id).isNotNull() & usable(F.col(vector)))
@@ -139,25 +142,45 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, path: str, *, k: int = 5
     parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
     packed_q = stored(pack(asked.coalesce(parts), QUERY_BLOCK), f"{path}/queries")
     packed_c = stored(pack(take(vectors), CANDIDATE_BLOCK), f"{path}/candidates")
-    # one row per block is numbered; each candidate block meets each number
-    turn = F.row_number().over(Window.orderBy("block")).cast("long")
-    numbers = stored(packed_q.select("block").withColumn("turn", turn), f"{path}/numbers")
-    q = packed_q.join(numbers, "block").select("turn", F.col("ids").alias("q_ids"), F.col("width").alias("q_width"),
-                                               F.col("cells").alias("q_cells"))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(max(1, numbers.count())).cast("long")))
-    pairs = packed_c.drop("block").withColumn("turn", each).join(q, "turn")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                own, asked_cells = unpack(r.q_ids, r.q_cells, r.q_width)
-                ids, cells = unpack(r.ids, r.cells, r.width)
-                width = min(r.q_width, r.width)
-                asked_rows = np.ascontiguousarray(asked_cells[:width].T)
-                for at in range(0, len(own), QUERY_SLICE):
-                    found = top_products(asked_rows[at:at + QUERY_SLICE], own[at:at + QUERY_SLICE], cells[:width], ids, k)
-                    yield pd.DataFrame(list(found), columns=["query_id", "vec_id", "score"])
-
-    near = pairs.mapInPandas(run, "query_id long, vec_id long, score long")
+    width_bytes = F.octet_length("cells") + F.octet_length("ids")
+    sizes = packed_q.select("block", width_bytes.alias("size")).orderBy("block").collect()  # two numbers a block
+    rounds: list[list[int]] = [[]]
+    held = 0
+    for r in sizes:
+        if held >= ROUND_BYTES:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(r["block"])
+        held += r["size"]
+    spark = vectors.sparkSession
+
+    def run_round(blocks: list[int]) -> DataFrame:
+        rows = packed_q.where(F.col("block").isin(blocks)).orderBy("block").collect()
+        shared = spark.sparkContext.broadcast([(bytes(r["ids"]), bytes(r["cells"]), r["width"]) for r in rows])
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: dict[int, list[tuple[int, int]]] = {}  # by query: (-product, id) of the k best so far
+            asked = [(own, cells) for own, cells in (unpack(*r) for r in shared.value)]
+            for batch in batches:
+                for r in batch.itertuples(index=False):
+                    ids, cells = unpack(r.ids, r.cells, r.width)
+                    for own, asked_cells in asked:
+                        width = min(len(asked_cells), r.width)
+                        rows_of = np.ascontiguousarray(asked_cells[:width].T)
+                        for at in range(0, len(own), QUERY_SLICE):
+                            some = own[at:at + QUERY_SLICE]
+                            floors = np.array([-best[q][k - 1][0] if len(best.get(q, ())) >= k else -np.inf for q in some.tolist()])
+                            for q, i, score in top_products(rows_of[at:at + QUERY_SLICE], some, cells[:width], ids, k, floors):
+                                best.setdefault(q, []).append((-score, i))
+                            for q in some.tolist():
+                                if q in best:
+                                    best[q] = sorted(best[q])[:k]
+            if best:
+                yield pd.DataFrame([(q, i, -s) for q, own in best.items() for s, i in own], columns=["query_id", "vec_id", "score"])
+
+        return packed_c.select("ids", "width", "cells").mapInPandas(run, "query_id long, vec_id long, score long")
+
+    near = [stored(run_round(blocks), f"{path}/near/{n}") for n, blocks in enumerate(rounds)]
+    found = spark.read.schema(near[0].schema).parquet(*[f"{path}/near/{n}" for n in range(len(near))])
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

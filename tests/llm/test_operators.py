@@ -297,7 +297,13 @@ def test_suffixes_of_hot_anchors(spark, docs, tmp_path, monkeypatch, most):
 
 # 7 top-k
 
-def test_topk(spark, tmp_path):
+@pytest.mark.parametrize("small", [False, True])
+def test_topk(spark, tmp_path, monkeypatch, small):
+    """Against all products; with ``small`` in many rounds of queries and many blocks a task."""
+    if small:
+        monkeypatch.setattr(topk, "ROUND_BYTES", 1)
+        monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+        monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 20)
     rnd = np.random.default_rng(7)
     rows = [(i, list(map(float, rnd.normal(size=33))), 1) for i in range(400)]
     rows += [(500, rows[0][1], 1), (501, rows[0][1], 1), (502, None, 1), (503, [1.0, None], 1), (504, [float("nan")], 1),
