@@ -23,6 +23,7 @@ from masklens.llm.common import stored
 
 FRAME_BYTES = 256 << 10  # a frame is closed once its plain size reaches this
 BUNDLE_BYTES = 32 << 20  # a bundle is closed once its compressed size reaches this ...
+PLAIN_BYTES = 64 << 20  # ... or its plain size this, which is what one reader of a bundle holds (and one record more) ...
 BUNDLE_RECORDS = 20_000  # ... or it has so many records
 LEVEL = 3
 # fixed values of the public seekable format (little endian)
@@ -133,7 +134,8 @@ class _Bundle:
             self.plain = bytearray()
 
     def full(self) -> bool:
-        return self.size >= BUNDLE_BYTES or len(self.rows) >= BUNDLE_RECORDS
+        plain = sum(size for _, size in self.frames) + len(self.plain)
+        return self.size >= BUNDLE_BYTES or plain >= PLAIN_BYTES or len(self.rows) >= BUNDLE_RECORDS
 
     def close(self, folder: str) -> pd.DataFrame:
         self.end_frame()
