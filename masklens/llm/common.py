@@ -24,10 +24,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     """Write a table and read it again: lineage is cut and a lost executor costs no rerun of it."""
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
