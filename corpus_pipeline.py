@@ -23,7 +23,7 @@ def keyed(docs: DataFrame, path: str) -> tuple[DataFrame, str]:
     key = "row_key"
     while key in docs.columns:
         key += "_"
-    return stored(docs.withColumn(key, F.monotonically_increasing_id()), f"{path}/keyed"), key
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), f"{path}/keyed", codec="zstd"), key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
