@@ -11,8 +11,6 @@ landed with their headers are put back into chain order by list ranking
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
@@ -114,41 +112,44 @@ def page_chains(pages: DataFrame, page: str = "page", next_page: str = "next") -
     the link it has (the first by name if they differ); rows without an address are left out.
 
     List ranking by pointer doubling: every round doubles the distance each pointer spans, so a chain of n pages takes
-    log2(n) rounds of one equi-join each, whatever its length; pages that reached their end leave the join. Each round is
-    checkpointed (reliable, in the session's checkpoint folder) and one count reaches the driver.
+    log2(n) rounds of one equi-join each, whatever its length. Pages are numbered in the order of their names, and rounds move
+    numbers only, in as many partitions as the join has. Each round is checkpointed (reliable, in the session's checkpoint
+    folder) and one count reaches the driver.
     """
     ensure_checkpoint_dir(pages.sparkSession)
     nodes = (pages.where(F.col(page).isNotNull()).groupBy(F.col(page).alias("page")).agg(F.min(next_page).alias("next"))
-             .checkpoint())
-    known = nodes.select(F.col("page").alias("follower"))
+             .orderBy("page").withColumn("id", F.monotonically_increasing_id()).checkpoint())
+    known = nodes.select(F.col("page").alias("follower"), F.col("id").alias("far"))
     # far: the page that ``hops`` links lead to; low: the first page by name among those passed
     at = nodes.join(known, nodes["next"] == known["follower"], "left").select(
-        "page", F.coalesce("follower", "page").alias("far"), F.col("follower").isNotNull().cast("long").alias("hops"),
-        F.col("follower").isNull().alias("ended"), F.col("page").alias("low")).checkpoint()
-    for _ in range(math.ceil(math.log2(max(2, nodes.count()))) + 1):
-        if not at.where("not ended").limit(1).count():
-            break
-        there = at.select(F.col("page").alias("far"), F.col("far").alias("far2"), F.col("hops").alias("hops2"),
+        "id", F.coalesce("far", "id").alias("far"), F.col("far").isNotNull().cast("long").alias("hops"),
+        F.col("far").isNull().alias("ended"), F.col("id").alias("low")).checkpoint()
+    span, before, running = 1, None, at.where("not ended").count()
+    # pages that have an end reach it one after the other, so that a round in which none did leaves cycles and what leads into
+    # them; a pointer that spans as many pages as are left stands inside a cycle, and that page's pointer has passed all of it
+    while running and not (running == before and span >= running):
+        there = at.select(F.col("id").alias("via"), F.col("far").alias("far2"), F.col("hops").alias("hops2"),
                           F.col("ended").alias("ended2"), F.col("low").alias("low2"))
-        moved = at.where("not ended").join(there, "far").select(
-            "page", F.col("far2").alias("far"), (F.col("hops") + F.col("hops2")).alias("hops"), F.col("ended2").alias("ended"),
-            F.least("low", "low2").alias("low"))
-        at = at.where("ended").unionByName(moved).checkpoint()
+        # a page that reached its end looks up a number that no page has
+        via = F.when(F.col("ended"), -1 - F.col("id")).otherwise(F.col("far"))
+        at = at.join(there, via == F.col("via"), "left").select(
+            "id", F.coalesce("far2", "far").alias("far"), (F.col("hops") + F.coalesce("hops2", F.lit(0))).alias("hops"),
+            F.coalesce("ended2", "ended").alias("ended"), F.least("low", "low2").alias("low")).checkpoint()
+        span, before, running = 2 * span, running, at.where("not ended").count()
     # chains with an end: one row each, summed before the shuffle
-    ends = (at.where("ended").groupBy("far").agg(F.max(F.struct("hops")).alias("last"), F.count(F.lit(1)).alias("pages"),
-                                                 F.min(F.struct((-F.col("hops")).alias("back"), "page")).alias("first"))
-            .join(nodes.select(F.col("page").alias("far"), F.col("next").alias("missing")), "far"))
-    status = (F.when(F.col("pages") > F.col("last")["hops"] + 1, "merged").when(F.col("missing").isNotNull(), "broken")
+    name = nodes.select(F.col("id").alias("first"), F.col("page").alias("chain"))
+    ends = (at.where("ended").groupBy("far").agg(F.max("hops").alias("last"), F.count(F.lit(1)).alias("pages"),
+                                                 F.min(F.struct((-F.col("hops")).alias("back"), "id"))["id"].alias("first"))
+            .join(nodes.select(F.col("id").alias("far"), F.col("next").alias("missing")), "far").join(name, "first"))
+    status = (F.when(F.col("pages") > F.col("last") + 1, "merged").when(F.col("missing").isNotNull(), "broken")
               .otherwise("complete"))
     ranked = at.where("ended").join(ends, "far").select(
-        "page", F.col("first")["page"].alias("chain"), (F.col("last")["hops"] - F.col("hops")).alias("page_rank"),
-        status.alias("status"), "missing")
-    # a pointer that never ended stands inside a cycle, and has passed all of it
-    cycles = at.where("not ended").select(F.col("page").alias("far"), F.col("low").alias("chain"))
-    cyclic = at.where("not ended").select("page", "far").join(cycles, "far").select(
-        "page", "chain", F.lit(None).cast("long").alias("page_rank"), F.lit("cyclic").alias("status"),
+        "id", "chain", (F.col("last") - F.col("hops")).alias("page_rank"), status.alias("status"), "missing")
+    cycles = at.where("not ended").select(F.col("id").alias("far"), F.col("low").alias("first"))
+    cyclic = at.where("not ended").select("id", "far").join(cycles, "far").join(name, "first").select(
+        "id", "chain", F.lit(None).cast("long").alias("page_rank"), F.lit("cyclic").alias("status"),
         F.lit(None).cast("string").alias("missing"))
-    return nodes.join(ranked.unionByName(cyclic), "page").select("page", "next", "chain", "page_rank", "status", "missing")
+    return nodes.join(ranked.unionByName(cyclic), "id").select("page", "next", "chain", "page_rank", "status", "missing")
 
 
 def chain_report(chains: DataFrame) -> DataFrame:

@@ -61,3 +61,22 @@ def test_records_come_in_chain_order(spark, tmp_path):
     assert [(r.chain, r.page_rank, r.position, r.post_id, r.user_id) for r in rows] == [
         ("p0", 1, 0, "1", "7"), ("p0", 1, 1, "2", "8"), ("p0", 2, 0, "3", "1"), ("p0", 2, 1, "4", None)]
     assert "post_title" in got.columns and feed.chain_report(where).collect() == [("p0", "complete", None, 3)]
+
+
+def test_rounds_do_not_add_partitions(spark, monkeypatch):
+    """A long chain and a cycle with a tail: every round's stored rows have as many partitions as a join has, one row a page."""
+    rows = [(f"p{k * 7919 % 3000:04d}", f"p{(k + 1) * 7919 % 3000:04d}" if k < 2999 else None) for k in range(3000)]
+    rows += [(f"t{k:03d}", f"t{k + 1:03d}" if k < 299 else "t250") for k in range(300)]
+    frame, stored = type(spark.range(1)), []
+    checkpoint = frame.checkpoint
+
+    def watched(self, *args, **kw):
+        out = checkpoint(self, *args, **kw)
+        stored.append((out.rdd.getNumPartitions(), out.count()))
+        return out
+
+    monkeypatch.setattr(frame, "checkpoint", watched)
+    got = chains(spark, rows)
+    assert len(stored) > 10 and max(n for n, _ in stored) <= 8 and {c for _, c in stored} == {3300}
+    assert [got[f"p{k * 7919 % 3000:04d}"][:3] for k in range(3000)] == [("p0000", k, "complete") for k in range(3000)]
+    assert {got[f"t{k:03d}"] for k in range(300)} == {("t250", None, "cyclic", None)}
