@@ -200,6 +200,17 @@ def key_words(templates: tuple[Template, ...]) -> tuple[list[str], list[str], li
             sorted({k for t, k in zip(templates, keys, strict=True) if len(t.telling) == 1}))
 
 
+def any_of(words: list[str]) -> str:
+    """A pattern of some words that branches by their common beginnings: at a place in a text it tries one way for each first
+    character that words have, not one for each word."""
+    rest: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            rest.setdefault(w[0], []).append(w[1:])
+    ways = "|".join(re.escape(c) + any_of(own) for c, own in sorted(rest.items()))
+    return f"(?:{ways})" + ("?" if "" in words else "") if ways else ""
+
+
 def can_tell(tokens: Column) -> Column:
     """Whether a segment (its words) has a template's key word, and another telling word unless the key stands alone: without
     them no template counts."""
@@ -278,7 +289,7 @@ def scan(files: DataFrame, path: str, *, file_id: str = "page_id", url: str = "u
     that adaptive execution can split a host or directory that holds a third of all files.
     """
     keys, _, _ = key_words(NOTICES)
-    hint = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(map(re.escape, keys)) + r")(?![\p{L}\p{N}])"
+    hint = r"(?i)(?<![\p{L}\p{N}])" + any_of(keys) + r"(?![\p{L}\p{N}])"
     open_text = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(body), F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>", "\n\n"),
                                  r"<!--|-->", "\n\n")
     plain = F.regexp_replace(F.regexp_replace(open_text, rf"(?i)</?({INLINE})(\s[^>]*)?>", " "), r"<[^>]*>", "\n\n")

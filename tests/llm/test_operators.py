@@ -570,3 +570,21 @@ def test_license_notice_inside_a_paragraph(spark, tmp_path):
                                "page_id long, url string, html string")
     got = {r.page_id: r.own_license for r in licenses.scan(df, str(tmp_path / "l")).collect()}
     assert got == {i: name for i, (name, _) in enumerate(told)}
+
+
+def test_licence_hint_branches_by_first_characters_only(spark):
+    """The pattern of key words tries one way for each first character, and finds the words that a list of all of them finds."""
+    keys = licenses.key_words(licenses.NOTICES)[0]
+    hint = licenses.any_of(keys)
+    depth, ways = 0, 1
+    for c in hint.replace("\\", ""):
+        depth += {"(": 1, ")": -1}.get(c, 0)
+        ways += c == "|" and depth == 1
+    assert ways == len({k[0] for k in keys}) < len(keys) / 4
+    texts = [f"{a}{k.upper()}{b}" for k in keys for a, b in (("", ""), ("x ", " y"), ("x", ""), ("", "é"), ("(", ")."), ("", "-9"))]
+    texts += [k[:-1] for k in keys] + ["", " ", "v", "v1", "by-", "lgplv2.1.", "gplv", "apache-2,0"]
+    edge = r"(?i)(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = "(" + "|".join(map(re.escape, keys)) + ")"
+    assert not df.where(F.col("t").rlike(plain.join(edge)) != F.col("t").rlike(hint.join(edge))).collect()
+    assert df.where(F.col("t").rlike(hint.join(edge))).count() > len(keys)
