@@ -44,23 +44,34 @@ def _carry(name: str) -> str:
     return f"c{name}" if name.startswith("_e_") else f"c_{name}"
 
 
-def resume(parts: DataFrame, state: DataFrame, no_data_status: bool = False, cycle_index: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Raw operations of new parts (``PART_LINES``) given ``state`` (``STATE``, one row a log), and the state of the logs they
-    belong to afterwards. Lines are shuffled by log once; a log's part streams through the window scans of one task."""
+def _scan(parts: DataFrame, state: DataFrame, no_data_status: bool = False, cycle_index: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rule lines of new parts (``PART_LINES``) with the parser's values at each, given ``state`` (``STATE``, one row a log), and
+    the logs that have a new part with what they inherit. Lines are parsed where they are read; only the values that rules take
+    are shuffled by log, once, and a log's part streams through the window scans of one task."""
     order = F.struct("part", "line_no").alias(ORDER)
     keyed = parts.select(*IDENT, "part", order, "line", *document_key(IDENT))
     known = state.select(*[F.col(k).alias(f"_k_{k}") for k in DOC_KEY], "last_part", *[F.col(f"s_{n}").alias(_carry(n)) for n in CARRIED],
                          *[F.col(f"s_{n}").alias(f"was_{n}") for n in BAD])
-    same = [keyed[k] == known[f"_k_{k}"] for k in DOC_KEY]
-    new = keyed.join(known, same, "left").where(F.col("last_part").isNull() | (F.col("part") > F.col("last_part")))
-    carries = [c for c in known.columns if not c.startswith("_k_")]
-    found = rule_lines(valid_lines(parse_lines(new)), (*DOC_KEY, *IDENT, ORDER, "part", *carries))
+
+    def new(rows: DataFrame) -> DataFrame:
+        same = [rows[k] == known[f"_k_{k}"] for k in DOC_KEY]
+        return (rows.join(known, same, "left").where(F.col("last_part").isNull() | (F.col("part") > F.col("last_part")))
+                .drop(*[f"_k_{k}" for k in DOC_KEY]))
+
+    found = new(rule_lines(valid_lines(parse_lines(keyed)), (*DOC_KEY, *IDENT, ORDER, "part")))
     found = found.withColumns({"c_short_doc": F.lit(False), "c_last_line": F.lit(None).cast(found.schema[ORDER].dataType),
                                "c_bad_num_doc": F.lit(None).cast("boolean")})
     l2 = _layer2(_layer1(found, DOC_KEY, ORDER, cycle_index, chunked=True), DOC_KEY, ORDER, chunked=True)
     l3 = _layer3(l2, DOC_KEY, ORDER, no_data_status, chunked=True)
-    ops = _finish(l3.withColumn("copies", F.lit(1).cast("long")), list(DOC_KEY), (*IDENT, "copies"), ORDER)
+    touched = new(keyed.groupBy(*DOC_KEY).agg(*[F.first(c).alias(c) for c in IDENT], F.max("part").alias("part")))
+    return l3.drop(*[c for c in l3.columns if c.startswith("v_")], "f_kind", "f_rec", "last_fail"), touched
+
+
+def _operations(l3: DataFrame) -> DataFrame:
+    return _finish(l3.withColumn("copies", F.lit(1).cast("long")), list(DOC_KEY), (*IDENT, "copies"), ORDER)
 
+
+def _state_after(l3: DataFrame, touched: DataFrame) -> DataFrame:
     at_end = lambda c: F.max_by(F.col(c), F.col(ORDER))
     ended = {"cycle": at_end("cycle"), "schema": at_end("schema"), "table": at_end("table"), "column": at_end("column"),
              "start": at_end("start_time"), "status": at_end("status"),
@@ -70,15 +81,20 @@ def resume(parts: DataFrame, state: DataFrame, no_data_status: bool = False, cyc
     after = l3.groupBy(*DOC_KEY).agg(*[ended[n].alias(f"n_{n}") for n in CARRIED], F.max("short").alias("n_short"),
                                      F.max("_bad_num").alias("n_bad_num"))
     # a log whose new part has no rule line keeps its values
-    touched = new.groupBy(*DOC_KEY).agg(*[F.first(c).alias(c) for c in IDENT], F.max("part").alias("last_part"),
-                                        *[F.first(c).alias(c) for c in carries if c != "last_part"])
-    joined = touched.join(after.withColumn("_parsed", F.lit(True)), list(DOC_KEY), "left")
+    joined = touched.drop("last_part").withColumnRenamed("part", "last_part").join(after.withColumn("_parsed", F.lit(True)), list(DOC_KEY), "left")
 
     def now(n: str) -> Column:
         return F.when(F.col("_parsed"), F.col(f"n_{n}")).otherwise(F.col(_carry(n))).cast(CARRIED[n]).alias(f"s_{n}")
 
     bad = [(F.coalesce(F.col(f"was_{n}"), F.lit(False)) | F.coalesce(F.col(f"n_{n}"), F.lit(False))).alias(f"s_{n}") for n in BAD]
-    return ops, joined.select(*DOC_KEY, *IDENT, "last_part", *[now(n) for n in CARRIED], *bad)
+    return joined.select(*DOC_KEY, *IDENT, "last_part", *[now(n) for n in CARRIED], *bad)
+
+
+def resume(parts: DataFrame, state: DataFrame, no_data_status: bool = False, cycle_index: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Raw operations of new parts (``PART_LINES``) given ``state`` (``STATE``, one row a log), and the state of the logs they
+    belong to afterwards."""
+    l3, touched = _scan(parts, state, no_data_status, cycle_index)
+    return _operations(l3), _state_after(l3, touched)
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -104,13 +120,13 @@ def state_of(spark: SparkSession, root: str, before: int | None = None) -> DataF
 def process_parts(parts: DataFrame, batch_id: int, root: str, **options) -> None:
     """One run: the operations of a batch's new parts, and the state after them. A replayed batch gives the same folders."""
     spark = parts.sparkSession
-    parts = parts.persist()
+    l3, touched = _scan(parts, state_of(spark, root, before=batch_id), **options)
+    l3 = l3.persist()  # scanned once, for the operations and for the state
     try:
-        ops, state = resume(parts, state_of(spark, root, before=batch_id), **options)
-        ops.drop("line_no").write.mode("overwrite").parquet(f"{root}/operations/batch_id={batch_id}")
-        state.write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
+        _operations(l3).drop("line_no").write.mode("overwrite").parquet(f"{root}/operations/batch_id={batch_id}")
+        _state_after(l3, touched).write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
     finally:
-        parts.unpersist()
+        l3.unpersist()
 
 
 def grown_operations(spark: SparkSession, root: str, processed_time=None) -> DataFrame:

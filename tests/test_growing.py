@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from masklens.operators import contract
 from masklens.streaming import growing
 from tests.test_maskops import LOAD, random_log
@@ -71,3 +73,18 @@ def test_stream_of_landed_parts(spark, tmp_path):
         growing.run_growing(spark, landed, root)
         growing.run_growing(spark, landed, root)
     assert rows_of(growing.grown_operations(spark, root)) == rows_of(whole(spark, logs))
+
+
+def test_a_run_parses_its_lines_once(spark, tmp_path, monkeypatch):
+    """Parsed lines are counted: the operations and the state of a run come from one scan."""
+    logs = {str(k): random_log(random.Random(k), 20) for k in range(5)}
+    rows = part_rows(spark, logs, {k: [20] for k in logs}, 0)
+    n, seen, parse = rows.count(), spark.sparkContext.accumulator(0), growing.parse_lines
+
+    def counted(line: str) -> str:
+        seen.add(1)
+        return line
+
+    monkeypatch.setattr(growing, "parse_lines", lambda lines: parse(lines.withColumn("line", F.udf(counted)("line"))))
+    growing.process_parts(rows, 0, str(tmp_path / "r"))
+    assert seen.value == n
