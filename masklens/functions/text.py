@@ -38,8 +38,11 @@ def py_strip(c: Column) -> Column:
     The trailing run is matched only from its first character (lookbehind),
     so a long run inside the text costs linear, not quadratic, time.
     """
-    return F.regexp_replace(
-        c, r"(?U)^[\s\x{1c}-\x{1f}]+|(?<![\s\x{1c}-\x{1f}])[\s\x{1c}-\x{1f}]+$|^[\s\x{1c}-\x{1f}]+$", "")
+    t = F.trim(c)
+    # trimmed of spaces, a text that begins and ends with a printable ASCII character is stripped
+    plain = F.substring(t, 1, 1).between("!", "~") & F.substring(t, -1, 1).between("!", "~")
+    return F.when(plain, t).otherwise(F.regexp_replace(
+        c, r"(?U)^[\s\x{1c}-\x{1f}]+|(?<![\s\x{1c}-\x{1f}])[\s\x{1c}-\x{1f}]+$|^[\s\x{1c}-\x{1f}]+$", ""))
 
 
 def py_split(c: Column) -> Column:
@@ -48,7 +51,7 @@ def py_split(c: Column) -> Column:
     Runs are first collapsed to one space (a compiled pattern), then split on
     that single character, which Java splits without compiling a pattern per row.
     """
-    one_space = F.regexp_replace(c, WS + "+", " ")
+    one_space = F.when(c.rlike(r"[^!-~ ]|  "), F.regexp_replace(c, WS + "+", " ")).otherwise(c)
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(one_space, " ", -1))
 
 
@@ -68,15 +71,13 @@ def parse_log_time(c: Column) -> Column:
     ok = c.rlike(_TIME_RE_PADDED)
     parts = F.regexp_extract_all(c, F.lit(r"([0-9]+)"), 1)
 
-    def part(i: int) -> Column:
-        return F.try_element_at(parts, F.lit(i)).cast("int")
+    def made(groups: Column) -> Column:
+        day, month, year, hour, minute, second = (F.try_element_at(groups, F.lit(i)).cast("int") for i in range(1, 7))
+        # make_timestamp would roll second 60 over to the next minute; strptime refuses it
+        return F.when((year >= 1) & (second <= 59), F.try_make_timestamp_ntz(year, month, day, hour, minute, second))
 
-    day, month, year, hour, minute, second = (part(i) for i in range(1, 7))
-    # make_timestamp would roll second 60 over to the next minute; strptime refuses it
-    return F.when(
-        ok & (year >= 1) & (second <= 59),
-        F.try_make_timestamp_ntz(year, month, day, hour, minute, second),
-    )
+    # a one-element transform: the groups are extracted once, not once for each of their uses
+    return F.when(ok, F.transform(F.array(parts), made)[0])
 
 
 def _float_strip(c: Column) -> Column:

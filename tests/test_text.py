@@ -61,3 +61,10 @@ def test_float_like_python(spark):
             assert g != g
         else:
             assert g == e, repr(s)
+
+
+def test_a_time_extracts_its_groups_once(spark):
+    from masklens.functions.text import parse_log_time
+
+    plan = spark.range(1).select(parse_log_time(F.col("id").cast("string")).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1
