@@ -411,8 +411,10 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
         columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256", *["kept"] * with_text]
         if not len(chunk):
             return pd.DataFrame([], columns=columns)
-        answered = dict(zip(told["bucket"], told["least"], strict=True))
-        ids, null, bounds, data, units, (mine, number, records, _), hot, sent, _, window = chunk_state(chunk, told)
+        answer_rows = told[told["least"].notna()]
+        answered = dict(zip(answer_rows["bucket"], answer_rows["least"], strict=True))
+        ids, null, bounds, data, units, (mine, number, records, _), hot, sent, _, window = chunk_state(
+            chunk, told[told["keep"].notna()])
         each = sent.size - width + 1
         stops = np.cumsum(each)
         answer = np.empty(int(stops[-1]) if len(stops) else 0, dtype=np.int64)
@@ -445,7 +447,8 @@ def remove_repeats(docs: DataFrame, path: str, *, width: int = 50, doc_id: str =
         frame["doc_id"] = pd.array([x[0] for x in out], dtype="Int64")
         return frame
 
-    both = masks.join(answers, ["chunk", "bucket"], "left")
+    # side by side, not joined: a window of a hot anchor may be answered from a bucket that has no anchor of its chunk
+    both = masks.unionByName(answers, allowMissingColumns=True)
     return chunks.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(
         settle, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<begin: long, end: long>>, "
                 "kept_sha256 string" + (", kept binary" if with_text else ""))

@@ -295,6 +295,21 @@ def test_suffixes_of_hot_anchors(spark, docs, tmp_path, monkeypatch, most):
     assert key(tuple(r) for r in got.drop("spans").collect()) == key(brute_repeats(rows, 50))
 
 
+def test_windows_of_hot_anchors_meet_in_any_bucket(spark, tmp_path, monkeypatch):
+    """More buckets than a chunk has anchors: windows of hot anchors are answered from buckets that hold none of its anchors."""
+    monkeypatch.setattr(suffixes, "HOT_SHAPES", 0)
+    monkeypatch.setattr(suffixes, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 50)
+    rnd = np.random.default_rng(6)
+    word = lambda n: "".join(rnd.choice(list("abcdefgh "), n))
+    passage = word(130)
+    rows = [(i, word(rnd.integers(20, 90)) + passage + word(rnd.integers(0, 90))) for i in range(40)]
+    rows += [(50, passage[:60]), (51, word(40)), (None, passage), (52, None)]
+    got = suffixes.remove_repeats(documents(spark, [(i, t, "s") for i, t in rows]).repartition(4), str(tmp_path / "s"), width=50)
+    key = lambda x: sorted(map(str, x))
+    assert key(tuple(r) for r in got.drop("spans").collect()) == key(brute_repeats(rows, 50))
+
+
 # 7 top-k
 
 @pytest.mark.parametrize("small", [False, True])
